@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paceline.llm.quality_rules import quality_rules
 from paceline.llm.substring_dedup import substring_dedup
 
 
@@ -17,4 +18,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op4_quality_rules)}
