@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceline.llm.license_scan import license_scan
+from paceline.llm.lm_scoring import lm_scores
 from paceline.llm.pii import replace_pii
 from paceline.llm.quality_rules import quality_rules
 from paceline.llm.source_mixing import mix_sources
@@ -37,4 +38,8 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_pii(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan)}
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op9_lm_scoring)}
