@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paceline.llm.decontamination import find_leaks
 from paceline.llm.license_scan import license_scan
 from paceline.llm.lm_scoring import lm_scores
 from paceline.llm.pii import replace_pii
@@ -42,4 +43,8 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op9_lm_scoring)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op9_lm_scoring, op10_decontamination)}
