@@ -19,21 +19,22 @@ _EDGE = r"(?<![\p{L}\p{N}._%+-])"
 _MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин")
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Госпожа")
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}+"
-# Patterns of the entity types, tried in this order at each place.
+_TITLE = r"\b(?:%s)\.? "
+# Patterns of the entity types, tried in this order at each place. A name is matched with its title.
 PATTERNS = {
     "email": _EDGE + r"[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{32,128}+|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,80}|sk-[0-9A-Za-z_-]{20,80})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,4})?(?![0-9A-Za-z])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<![\d-])(?:\d{4}[ -]){3}\d{4}(?![\d-])|(?<!\d)\d{13,19}(?!\d)",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)",
-    "male": rf"(?<=\b(?:{'|'.join(_MALE)})\.? ){_NAME}(?: {_NAME})?",
-    "female": rf"(?<=\b(?:{'|'.join(_FEMALE)})\.? ){_NAME}(?: {_NAME})?",
+    "ip": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
+    "ssn": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "card": r"(?=\d)(?:(?<![\d-])(?:\d{4}[ -]){3}\d{4}(?![\d-])|(?<!\d)\d{13,19}(?!\d))",
+    "phone": r"(?=[\d+(])(?:(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d))",
+    "male": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_MALE)}{_NAME}(?: {_NAME})?",
+    "female": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_FEMALE)}{_NAME}(?: {_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: No entity is without one of these.
-HINT = r"[0-9@]|AKIA|ASIA|gh[pousr]_|sk-|[a-fA-F]{32}|\b(?:" + "|".join(_MALE + _FEMALE) + r")\b"
+HINT = r"[0-9@]|[HMSFГ](?:rs?|s|iss|me|lle|onsieur|adame|err|rau|eñora?|ra?|осподин|оспожа)\b|A[KS]IA|gh[pousr]_|sk-|[a-fA-F]{32}"
 # Syllables of surrogate names by script, and name endings by script and gender.
 SYLLABLES = {"latin": "ba be da do ka le li ma mi na ne no ra re ri ro sa se ta ti va vi".split(), "cyrillic": "ба ва да ка ле ли ма ми на не ра ро са та ти".split(), "greek": "βα δα κα λε λι μα μι να νε ρα ρο σα τα τι".split()}
 ENDINGS = {("latin", "male"): "n", ("latin", "female"): "a", ("cyrillic", "male"): "н", ("cyrillic", "female"): "а", ("greek", "male"): "ς", ("greek", "female"): "α"}
@@ -41,20 +42,29 @@ MAX_ROUNDS = 32
 
 
 def _kind(value: Column) -> Column:
-    """The first type whose pattern makes up the whole value; names keep no title, so they are told by what is left."""
-    out = None
-    for kind in ("email", "secret", "iban", "ip", "ssn", "card", "phone"):
-        hit = value.rlike(f"^(?:{PATTERNS[kind]})$")
-        out = F.when(hit, kind) if out is None else out.when(hit, kind)
+    """The first type whose pattern makes up the whole value."""
+    first, *rest = PATTERNS.items()
+    out = F.when(value.rlike(f"^(?:{first[1]})$"), first[0])
+    for kind, pattern in rest:
+        out = out.when(value.rlike(f"^(?:{pattern})$"), kind)
     return out
 
 
+def _title(value: Column) -> Column:
+    """The title of a name with the space after it; empty for other values."""
+    return F.regexp_extract(value, "^(" + _TITLE.replace("\\b", "") % "|".join(_MALE + _FEMALE) + ")", 1)
+
+
+def _bare(value: Column) -> Column:
+    return F.substring(value, F.length(_title(value)) + 1, F.length(value))
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
 def _canonical(kind: Column, value: Column) -> Column:
-    return F.when(kind.isin("phone", "card", "ssn"), _digits(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when((kind == "secret") & ~value.rlike("[G-Zg-z_-]"), F.lower(value)).when(kind.isin("email", "male", "female"), F.lower(value)).otherwise(value)
+    return F.when(kind.isin("phone", "card", "ssn"), _digits(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when((kind == "secret") & ~value.rlike("[G-Zg-z_-]"), F.lower(value)).when(kind == "email", F.lower(value)).when(kind.isin("male", "female"), F.lower(_bare(value))).otherwise(value)
 
 
 def _byte(digest: Column, i: Column) -> Column:
@@ -116,7 +126,8 @@ def _written(kind: Column, value: Column, surrogate: Column) -> Column:
     digits = F.array_join(F.transform(chars, lambda c, i: F.when(c.between("0", "9"), F.substring(surrogate, F.length(_digits(F.substring(value, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
     spaced = F.array_join(F.transform(chars, lambda c, i: F.when(c == " ", c).otherwise(F.substring(surrogate, F.length(F.replace(F.substring(value, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1)))), "")
     cased = F.when((value == F.upper(value)) & (value != F.lower(value)), F.upper(surrogate)).otherwise(surrogate)
-    titled = F.when((value == F.upper(value)) & (F.length(value) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
+    name = _bare(value)
+    titled = F.concat(_title(value), F.when(name == F.upper(name), F.upper(surrogate)).otherwise(F.initcap(surrogate)))
     return F.when(kind.isin("phone", "card", "ssn"), digits).when(kind == "iban", spaced).when(kind.isin("male", "female"), titled).when((kind == "secret") & surrogate.rlike("[G-Zg-z_-]"), surrogate).otherwise(cased)
 
 
@@ -142,33 +153,33 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 
 def _found(rows: DataFrame) -> DataFrame:
-    """Rows with an entity hint: key, row, text, and their entities (i, kind, value, canonical)."""
-    values = F.regexp_extract_all("text", F.lit(f"({ANY})"), 1)
-    pieces = F.split("text", ANY, -1)
-    title = lambda before: F.when(before.rlike(rf"\b(?:{'|'.join(_MALE)})\.? $"), "male").otherwise("female")
+    """Rows with an entity hint: key, rest of the row, pieces of text between entities, and these (i, kind, value, canonical)."""
 
     def entity(v: Column, i: Column) -> Column:
-        kind = F.coalesce(_kind(v), title(F.substring(F.get("pieces", i), -12, 12)))
-        return F.struct(i.alias("i"), kind.alias("kind"), v.alias("value"), _canonical(kind, v).alias("canonical"))
+        return F.struct(i.alias("i"), v.alias("value"))
 
-    out = rows.withColumns({"values": values, "pieces": pieces}).withColumn("entities", F.transform("values", entity))
-    return out.withColumn("key", F.md5(F.concat_ws("|", F.col("id").cast("string"), "text"))).drop("values")
+    values = F.transform(F.regexp_extract_all("text", F.lit(f"({ANY})"), 1), entity)
+    return rows.select("row", F.md5(F.concat_ws("|", F.col("id").cast("string"), "text")).alias("key"), F.split("text", ANY, -1).alias("pieces"), values.alias("entities"))
 
 
 def replaced(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
-    """Every row as ``row`` with its new ``text`` and its ``kinds`` of entities."""
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """Every row's other columns as ``row`` with its new ``text`` and its ``kinds`` of entities.
+
+    Rows with a hint of an entity are searched once and kept in the shared folder in pieces.
+    """
+    others = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c != text_col))
+    rows = docs.select(others.alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     plain = rows.where(~hinted).select("row", "text", F.array().cast("array<string>").alias("kinds"))
-    found = _found(rows.where(hinted))
-    mentions = found.select("key", F.explode("entities").alias("e")).select("key", "e.*").dropDuplicates(["key", "i"])
+    found = stored(_found(rows.where(hinted)), "pii-found")
+    raw = found.select("key", F.explode("entities").alias("e")).select("key", "e.*").withColumn("kind", _kind(F.col("value")))
+    mentions = raw.dropDuplicates(["key", "i"]).withColumn("canonical", _canonical(F.col("kind"), F.col("value")))
     mapping = surrogates(mentions, key)
-    written = mentions.join(mapping, ["kind", "canonical"]).select("key", F.struct("i", _written(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new")).alias("m"))
-    per_row = written.groupBy("key").agg(F.transform(F.sort_array(F.collect_list("m")), lambda m: m["new"]).alias("news"))
-    joined = found.join(per_row, "key", "left")
-    news = F.coalesce("news", F.array().cast("array<string>"))
-    text = F.array_join(F.zip_with("pieces", news, lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
-    return plain.unionByName(joined.select("row", text.alias("text"), F.transform("entities", lambda e: e["kind"]).alias("kinds")))
+    written = mentions.join(mapping, ["kind", "canonical"]).select("key", F.struct("i", "kind", _written(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new")).alias("m"))
+    per_row = written.groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    joined = found.select("key", "row", "pieces").join(per_row, "key", "left")
+    text = F.array_join(F.zip_with("pieces", F.coalesce(F.col("m.new"), F.array().cast("array<string>")), lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
+    return plain.unionByName(joined.select("row", text.alias("text"), F.coalesce(F.col("m.kind"), F.array().cast("array<string>")).alias("kinds")))
 
 
 def replace_pii(docs: DataFrame, key: str = "corpus", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
