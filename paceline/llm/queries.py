@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paceline.llm.decontamination import find_leaks
 from paceline.llm.license_scan import license_scan
 from paceline.llm.lm_scoring import lm_scores
+from paceline.llm.ngram_join import ngram_components
 from paceline.llm.pii import replace_pii
 from paceline.llm.quality_rules import quality_rules
 from paceline.llm.source_mixing import mix_sources
@@ -47,4 +48,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op9_lm_scoring, op10_decontamination)}
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op7_ngram_join, op9_lm_scoring, op10_decontamination)}
