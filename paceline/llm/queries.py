@@ -13,6 +13,7 @@ from paceline.llm.pii import replace_pii
 from paceline.llm.quality_rules import quality_rules
 from paceline.llm.source_mixing import mix_sources
 from paceline.llm.substring_dedup import substring_dedup
+from paceline.llm.warc import warc_round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,4 +53,8 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op7_ngram_join, op9_lm_scoring, op10_decontamination)}
+def op6_warc_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(_table(spark, sf_dir, "pages")).drop("payload")
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op6_warc_assembly, op7_ngram_join, op9_lm_scoring, op10_decontamination)}
