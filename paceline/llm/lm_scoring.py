@@ -149,20 +149,29 @@ class Vocabulary:
 
 
 def vocabulary(totals: DataFrame, n_texts: int) -> Vocabulary:
-    """From the bucket rows: the commonest words overall, one row of bounded size each, merged in Spark."""
+    """From the bucket rows. Sums first tell the count that the commonest words reach, then only words that do are gathered."""
     spoken = totals.where("grp is null").select("words", "sizes")
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x, s in zip(b["words"].to_pylist(), b["sizes"].to_pylist(), strict=True):
+                tokens, types = np.frombuffer(s).reshape(2, -1)
+                powers = np.bincount(np.frexp(np.frombuffer(x, np.uint64).reshape(3, -1)[1].astype(float))[1], minlength=65)
+                yield pa.record_batch({"c": np.arange(CLASSES + 65, dtype=np.int32), "n": np.append(tokens.astype(np.int64), powers), "v": np.append(types.astype(np.int64), np.zeros(65, np.int64))})
+
+    found = spoken.mapInArrow(sums, "c int, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    sizes, powers = [r for r in found if r["c"] < CLASSES], {r["c"] - CLASSES: r["n"] for r in found if r["c"] >= CLASSES}
+    # words of at least 2**(k - 1), the least k with enough of them
+    cut = max((k for k in range(65) if sum(powers.get(j, 0) for j in range(k, 65)) >= WORDS), default=0)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b["words"].to_pylist():
                 h, n, c = np.frombuffer(x, np.uint64).reshape(3, -1)
-                s = np.frombuffer(s).reshape(2, -1)
-                yield pa.record_batch({"h": h.view(np.int64), "c": c.astype(np.int32), "n": n.astype(np.int64), "v": np.zeros(len(h), np.int64), "word": np.ones(len(h), bool)})
-                yield pa.record_batch({"h": np.zeros(CLASSES, np.int64), "c": np.arange(CLASSES, dtype=np.int32), "n": s[0].astype(np.int64), "v": s[1].astype(np.int64), "word": np.zeros(CLASSES, bool)})
+                use = np.frexp(n.astype(float))[1] >= cut
+                yield pa.record_batch({"h": h[use].view(np.int64), "c": c[use].astype(np.int32), "n": n[use].astype(np.int64)})
 
-    flat = spoken.mapInArrow(rows, "h long, c int, n long, v long, word boolean")
-    top = flat.where("word").orderBy(F.desc("n"), "h").limit(WORDS).collect()
-    sizes = flat.where("not word").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    top = spoken.mapInArrow(words, "h long, c int, n long").orderBy(F.desc("n"), "h").limit(WORDS).collect()
     tokens, types = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in sizes:
         tokens[r["c"]], types[r["c"]] = r["n"], r["v"]
