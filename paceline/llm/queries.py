@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceline.llm.decontamination import find_leaks
+from paceline.llm.html_extraction import extract_text
 from paceline.llm.license_scan import license_scan
 from paceline.llm.lm_scoring import lm_scores
 from paceline.llm.ngram_join import ngram_components
@@ -57,4 +58,8 @@ def op6_warc_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(_table(spark, sf_dir, "pages")).drop("payload")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op6_warc_assembly, op7_ngram_join, op9_lm_scoring, op10_decontamination)}
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op6_warc_assembly, op7_ngram_join, op8_html_extraction, op9_lm_scoring, op10_decontamination)}
