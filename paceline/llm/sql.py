@@ -1,3 +1,46 @@
-"""DuckDB SQL for the corpus queries."""
+"""DuckDB SQL for the corpus queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP1 = rf"""
+WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+least AS (SELECT k, min(doc_id) AS first_doc FROM win GROUP BY k),
+hit AS (SELECT win.doc_id, i FROM win JOIN least USING (k) WHERE first_doc < win.doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM hit, range(13) AS r(j)),
+pos AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (SELECT pos.doc_id, string_agg(word, ' ' ORDER BY pos.p) AS kept, count(*) AS n FROM pos ANTI JOIN gone ON pos.doc_id = gone.doc_id AND pos.p = gone.p GROUP BY pos.doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+OP2 = """
+WITH RECURSIVE sizes AS (SELECT source, count(*) AS size FROM documents GROUP BY source),
+sums AS (SELECT sum(pow(size::DOUBLE, 0.7)) AS shares, sum(size)::DOUBLE AS n FROM sizes),
+rates AS (SELECT source, pow(size::DOUBLE, 0.7) / shares * n / size AS rate FROM sizes, sums),
+parts AS (SELECT source, greatest(1, ceil(rate / 32.0))::INTEGER AS parts, rate / greatest(1, ceil(rate / 32.0)) AS lam FROM rates),
+cdf AS (
+  SELECT source, lam, 0 AS k, exp(-lam) AS term, exp(-lam) AS total FROM parts
+  UNION ALL SELECT source, lam, k + 1, term * lam / (k + 1), total + term * lam / (k + 1) FROM cdf WHERE k < ceil(lam + 12 * sqrt(lam) + 20)
+),
+draws AS (
+  SELECT doc_id, d.source, ('0x' || substr(md5('11|' || doc_id || '|' || j), 1, 13))::UBIGINT::DOUBLE / 4503599627370496 AS u
+  FROM (SELECT doc_id, source, unnest(range(1, parts + 1)) AS j FROM documents JOIN parts USING (source)) AS d
+),
+counts AS (SELECT doc_id, count(k) AS n FROM draws LEFT JOIN cdf ON draws.source = cdf.source AND total <= u GROUP BY doc_id)
+SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy
+FROM (SELECT d.*, unnest(range(1, n + 1)) AS copy FROM documents AS d JOIN counts USING (doc_id))
+"""
+
+_QUARTERS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * k + 1}, 5))::INTEGER >> {15 - 5 * j}) & 31) + 1, 1)" for k in range(8) for j in range(4))
+
+OP6 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_page FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_QUARTERS} AS payload_digest,
+  CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM f
+"""
+
+ORACLES: dict[str, str] = {"op1_substring_dedup": OP1, "op2_source_mixing": OP2, "op6_warc_assembly": OP6}
