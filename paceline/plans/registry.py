@@ -1,4 +1,9 @@
 """All registered queries and their equivalent SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from paceline.plans import contest_queries, history_queries, outcome_queries
+
+MODULES = (history_queries, contest_queries, outcome_queries)
+QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
