@@ -193,13 +193,14 @@ SELECT race, ticket, round(pr, 6) + 0.0 AS probability FROM t QUALIFY row_number
 
 def roi_by_week(spark: SparkSession, sf: str) -> DataFrame:
     """Return on one unit on each favourite by ISO week, with Sharpe's ratio."""
-    r = race.market(runners(spark, sf)).where("favourite = 1").withColumn("profit", F.when(F.col("won") == 1, F.col("odds") - 1).otherwise(-1.0))
+    cents = F.when(F.col("won") == 1, F.round(F.col("odds") * 100).cast("long") - 100).otherwise(F.lit(-100))
+    r = race.market(runners(spark, sf)).where("favourite = 1").withColumn("cents", cents)
     key = F.concat(F.extract(F.lit("YEAROFWEEK"), "race_date"), F.lit("-W"), F.lpad(F.weekofyear("race_date").cast("string"), 2, "0"))
-    return r.groupBy(key.alias("week")).agg(F.count(F.lit(1)).alias("bets"), F.round(F.sum("profit"), 2).alias("profit"), F.round(F.avg("profit"), 4).alias("roi"), F.round(F.try_divide(F.avg("profit"), F.stddev_samp("profit")), 4).alias("sharpe"))
+    return r.groupBy(key.alias("week")).agg(F.count(F.lit(1)).alias("bets"), F.sum("cents").alias("profit"), (F.sum("cents").cast("double") / (100 * F.count(F.lit(1)))).alias("roi"), F.round(F.try_divide(F.avg("cents"), F.stddev_samp("cents")), 4).alias("sharpe"))
 
 
-ROI_WEEK = f"""{R}, f AS (SELECT *, CASE WHEN won = 1 THEN odds - 1 ELSE -1 END::DOUBLE AS profit FROM r QUALIFY row_number() OVER (PARTITION BY race ORDER BY odds, no) = 1)
-SELECT isoyear(race_date) || '-W' || lpad(weekofyear(race_date)::VARCHAR, 2, '0') AS week, count(*) AS bets, round(sum(profit), 2) AS profit, round(avg(profit), 4) AS roi, CASE WHEN stddev_samp(profit) > 0 THEN round(avg(profit) / stddev_samp(profit), 4) END AS sharpe FROM f GROUP BY 1"""
+ROI_WEEK = f"""{R}, f AS (SELECT *, CASE WHEN won = 1 THEN round(odds * 100)::BIGINT - 100 ELSE -100 END AS cents FROM r QUALIFY row_number() OVER (PARTITION BY race ORDER BY odds, no) = 1)
+SELECT isoyear(race_date) || '-W' || lpad(weekofyear(race_date)::VARCHAR, 2, '0') AS week, count(*) AS bets, sum(cents)::BIGINT AS profit, sum(cents)::DOUBLE / (100 * count(*)) AS roi, CASE WHEN stddev_samp(cents) > 0 THEN round(avg(cents) / stddev_samp(cents), 4) END AS sharpe FROM f GROUP BY 1"""
 
 
 def drawdown(spark: SparkSession, sf: str) -> DataFrame:
