@@ -75,6 +75,11 @@ def ks(df: DataFrame, value: str, first: Column) -> DataFrame:
     return cum.crossJoin(F.broadcast(tot)).agg(F.max(F.abs(F.col("ca") / F.col("na") - F.col("cb") / F.col("nb"))).alias("ks"))
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson's correlation, null where either side is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlations(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    row = df.agg(*(F.corr(c, label).alias(c) for c in columns))
+    row = df.agg(*(correlation(c, label).alias(c) for c in columns))
     return row.select(F.explode(F.array(*(F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in columns))).alias("x")).select("x.*")

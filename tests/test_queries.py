@@ -58,3 +58,28 @@ def test_simulation_is_near_the_exact_probabilities(spark):
 def test_entry(spark):
     assert entry_module.entry(spark).columns[0] == "uid"
     assert set(ORACLES) <= set(entry_module.queries())
+
+
+@pytest.mark.parametrize("name", ["model_logistic", "model_forest", "model_boosted"])
+def test_models_score_the_last_days(spark, name):
+    out = QUERIES[name](spark, SMALL).toPandas()
+    assert len(out) > 300 and out.score.between(0, 1).all()
+    assert out.score[out.won == 1].mean() > out.score[out.won == 0].mean()
+
+
+def test_calibrators_lower_the_loss_or_keep_it(spark):
+    out = {r.calibrator: r for r in QUERIES["model_report"](spark, SMALL).collect()}
+    assert set(out) == {"raw", "platt", "temperature", "isotonic"} and all(r.auc > 0.5 for r in out.values())
+    assert out["platt"].log_loss < out["raw"].log_loss + 0.02
+
+
+def test_conditions_text(spark):
+    from pyspark.sql import functions as F
+
+    from paceline.functions.conditions import conditions
+
+    texts = ["Pour chevaux de 4 à 6 ans, 2 850 mètres, autostart, 35.000 €", "Groupe II, pouliches de 3 ans, 57,5 kg, 1600 m", "Handicap, 4 ans et plus"]
+    a, b, c = (r.c for r in spark.createDataFrame([(t,) for t in texts], "t string").select(conditions(F.col("t")).alias("c")).collect())
+    assert (a.age_min, a.age_max, a.distance, a.start, a.prize) == (4, 6, 2850, "autostart", 35000.0)
+    assert (b.category, b.females_only, b.weight, b.age_min, b.age_max) == ("group 2", True, 57, 3, 3)
+    assert (c.category, c.age_min, c.age_max, c.distance) == ("handicap", 4, None, None)
