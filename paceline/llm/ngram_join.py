@@ -210,9 +210,11 @@ def _verified(rule: Rule):
 def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """a, b, linked of pairs of set hashes; each set is read from the text of its first document."""
     of = lambda side: reps.select(F.col("sig").alias(side), F.col("id").alias(f"id_{side}"))
-    text = lambda side: docs.where("id is not null").select(F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}"))
+    texts = docs.where("id is not null")
     known = pairs.join(of("a"), "a").join(of("b"), "b")
-    return known.join(text("b"), "id_b").join(text("a"), "id_a").select("a", "b", "text_a", "text_b").mapInArrow(_verified(rule), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    one = known.join(texts, known["id_b"] == texts["id"]).select("a", "b", "id_a", F.col("text").alias("text_b"))
+    both = one.join(texts, one["id_a"] == texts["id"]).select("a", "b", F.col("text").alias("text_a"), "text_b")
+    return both.mapInArrow(_verified(rule), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
 def _full_sets(rule: Rule):
@@ -289,7 +291,7 @@ def _open_links(left: DataFrame, reps: DataFrame, docs: DataFrame, rule: Rule) -
     plan = most.select("cluster", "largest", blocks(F.col("m")).alias("n_main"), blocks(F.col("all") - F.col("m")).alias("n_rest"))
     dealt = stored(rows.join(plan, "cluster").select("sig", "cluster", (F.col("part") == F.col("largest")).alias("main"), "n_main", "n_rest"), "ngram-dealt")
     texts = dealt.join(reps, "sig").join(docs.where("id is not null"), "id").select("sig", "cluster", "main", "n_main", "n_rest", "text")
-    full = texts.mapInArrow(_full_sets(rule), "sig long, cluster long, main boolean, n_main int, n_rest int, grams binary").dropDuplicates(["sig"])
+    full = texts.mapInArrow(_full_sets(rule), "sig long, cluster long, main boolean, n_main int, n_rest int, grams binary")
     own = F.pmod(F.xxhash64("sig"), F.when(F.col("main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
     upto = lambda n, one: F.transform(F.sequence(F.lit(1), n), one)
     name = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
@@ -328,7 +330,7 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col:
     first = members.groupBy("gram").agg(F.min(F.struct("sig", "n", "place")).alias("c")).select("gram", F.col("c.sig").alias("sig"), F.col("c.n").alias("n"), F.col("c.place").alias("place")).alias("a")
     star = members.alias("b").join(first, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.sig") != F.col("b.sig")) & possible("a", "b"))
     overlaps = star.groupBy(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).agg(F.count(F.lit(1)).alias("overlap"))
-    pairs = overlaps.groupBy("b").agg(F.max_by("a", F.struct("overlap", "a")).alias("a")).select("a", "b")
+    pairs = stored(overlaps.groupBy("b").agg(F.max_by("a", F.struct("overlap", "a")).alias("a")).select("a", "b"), "ngram-star")
     checked = stored(_verify(pairs, reps, docs, rule), "ngram-pairs")
     label = lambda links: connected_components(links.where("linked").select("a", "b"))
     at = members.join(label(checked), members["sig"] == F.col("node"), "left").select("gram", "sig", "n", "place", F.coalesce("component", "sig").alias("part"))

@@ -32,9 +32,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage."""
+    """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
+
+    Spark deletes shuffle files once the driver has collected the plans that
+    made them; asking for that here keeps long operators from holding the
+    shuffles of all their steps at once.
+    """
+    import gc
     import uuid
 
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
