@@ -36,7 +36,7 @@ COUNTERS, BLOCK = 1 << 20, 1 << 14
 #: Sketched count from which an n-gram's column is split over this many blocks.
 HEAVY, SALTS = 1 << 17, 64
 #: Sets in one block of rows, and n-grams multiplied at once.
-ROWS, COLUMNS = 256, 4096
+ROWS, COLUMNS = 1024, 4096
 
 
 @dataclass(frozen=True)
@@ -217,22 +217,6 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: Rule) -> D
     return both.mapInArrow(_verified(rule), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def _full_sets(rule: Rule):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sig, grams = [], []
-            for lo, hi, text, g in _slices(b["text"], rule):
-                size, s = _signatures(text, g, hi - lo)
-                cuts = np.concatenate([[0], np.cumsum(size)])
-                sig += s.tolist()
-                grams += [g[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-            ok = pa.array(np.array(sig, np.int64) == b["sig"].to_numpy())
-            out = pa.RecordBatch.from_arrays([b["sig"], b["cluster"], b["main"], b["n_main"], b["n_rest"], pa.array(grams, pa.binary())], names=["sig", "cluster", "main", "n_main", "n_rest", "grams"])
-            yield out.filter(ok)
-
-    return run
-
-
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections of sorted sets, as a sum of products of blocks of columns."""
     row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
@@ -257,8 +241,15 @@ def _block_links(rule: Rule):
     """Spanning forest of the links among the sets of a pair of blocks."""
 
     def run(table: pa.Table) -> pa.Table:
-        sig = table["sig"].to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
+        sig, sets = table["sig"].to_numpy(), []
+        same = np.zeros(len(sig), bool)
+        for lo, hi, text, grams in _slices(table["text"], rule):
+            size, found = _signatures(text, grams, hi - lo)
+            same[lo:hi] = found == sig[lo:hi]
+            sets += np.split(grams, np.cumsum(size)[:-1])
+        sig, sets = sig[same], [x for x, ok in zip(sets, same, strict=True) if ok]
+        if not sets:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         both = overlaps(sets)
         n = np.diag(both)
         linked = 100 * both >= rule.percent * (n[:, None] + n[None, :] - both)
@@ -290,15 +281,14 @@ def _open_links(left: DataFrame, reps: DataFrame, docs: DataFrame, rule: Rule) -
     blocks = lambda n: F.ceil(n / ROWS).cast("int")
     plan = most.select("cluster", "largest", blocks(F.col("m")).alias("n_main"), blocks(F.col("all") - F.col("m")).alias("n_rest"))
     dealt = stored(rows.join(plan, "cluster").select("sig", "cluster", (F.col("part") == F.col("largest")).alias("main"), "n_main", "n_rest"), "ngram-dealt")
-    texts = dealt.join(reps, "sig").join(docs.where("id is not null"), "id").select("sig", "cluster", "main", "n_main", "n_rest", "text")
-    full = texts.mapInArrow(_full_sets(rule), "sig long, cluster long, main boolean, n_main int, n_rest int, grams binary")
+    full = dealt.join(reps, "sig").join(docs.where("id is not null"), "id").select("sig", "cluster", "main", "n_main", "n_rest", "text")
     own = F.pmod(F.xxhash64("sig"), F.when(F.col("main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
     upto = lambda n, one: F.transform(F.sequence(F.lit(1), n), one)
     name = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
     # blocks of the rest have numbers from 0, those of the main component numbers below 0
     main = upto(F.col("n_rest"), lambda j: name(-1 - own, j - 1))
     rest = F.concat(upto(F.col("n_main"), lambda j: name(-j, own)), upto(F.col("n_rest"), lambda j: name(F.least(own, j - 1), F.greatest(own, j - 1))))
-    return full.select("sig", "cluster", "grams", F.explode(F.when(F.col("main"), main).otherwise(rest)).alias("k")).groupBy("cluster", "k").applyInArrow(_block_links(rule), "a long, b long")
+    return full.select("sig", "cluster", "text", F.explode(F.when(F.col("main"), main).otherwise(rest)).alias("k")).groupBy("cluster", "k").applyInArrow(_block_links(rule), "a long, b long")
 
 
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
