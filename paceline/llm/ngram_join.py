@@ -10,11 +10,9 @@ The incidence is dealt into blocks of columns. Each block's product adds the
 overlap of its columns to the pairs that it finds; pairs whose sizes or
 positions rule out enough overlap are discarded. To link a group of copies
 without all of its pairs, a first product takes one set of each column, the
-same one wherever it stands, with every other; its pairs are verified on
-their texts. Columns that still lie in different components are multiplied
-in blocks of rows: the sets that they connect are dealt into blocks, each
-pair of blocks that can join components is one dense product over all
-n-grams, and only a spanning forest of its links comes back.
+same one wherever it stands, with every other; a second takes the pairs of
+any column that still lies in different components. Pairs are verified on
+their texts.
 """
 
 from __future__ import annotations
@@ -35,8 +33,6 @@ from paceline.llm.spread import group_count, stored
 COUNTERS, BLOCK = 1 << 20, 1 << 14
 #: Sketched count from which an n-gram's column is split over this many blocks.
 HEAVY, SALTS = 1 << 17, 64
-#: Sets in one block of rows, and n-grams multiplied at once.
-ROWS, COLUMNS = 1024, 4096
 
 
 @dataclass(frozen=True)
@@ -217,80 +213,6 @@ def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: Rule) -> D
     return both.mapInArrow(_verified(rule), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of sorted sets, as a sum of products of blocks of columns."""
-    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    gram, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = many > 1
-    number = np.cumsum(shared) - 1
-    use = shared[column]
-    row, column = row[use], number[column[use]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    out = np.zeros((len(sets), len(sets)))
-    for a in range(0, int(shared.sum()), COLUMNS):
-        lo, hi = np.searchsorted(column, (a, a + COLUMNS))
-        x = np.zeros((len(sets), COLUMNS), np.float32)
-        x[row[lo:hi], column[lo:hi] - a] = 1
-        out += x @ x.T
-    np.fill_diagonal(out, [len(x) for x in sets])
-    return out
-
-
-def _block_links(rule: Rule):
-    """Spanning forest of the links among the sets of a pair of blocks."""
-
-    def run(table: pa.Table) -> pa.Table:
-        sig, sets = table["sig"].to_numpy(), []
-        same = np.zeros(len(sig), bool)
-        for lo, hi, text, grams in _slices(table["text"], rule):
-            size, found = _signatures(text, grams, hi - lo)
-            same[lo:hi] = found == sig[lo:hi]
-            sets += np.split(grams, np.cumsum(size)[:-1])
-        sig, sets = sig[same], [x for x, ok in zip(sets, same, strict=True) if ok]
-        if not sets:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        both = overlaps(sets)
-        n = np.diag(both)
-        linked = 100 * both >= rule.percent * (n[:, None] + n[None, :] - both)
-        label = np.arange(len(sig))
-        while True:  # the least label among the neighbours, until none changes
-            low = np.where(linked, label[None, :], len(sig)).min(axis=1)
-            low = low[low]
-            if (low == label).all():
-                break
-            label = low
-        to = sig[label]
-        return pa.table({"a": sig[to != sig], "b": to[to != sig]})
-
-    return run
-
-
-def _open_links(left: DataFrame, reps: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """Links (a, b) that join components within columns (gram, sig, part) that lie in several.
-
-    The sets that such columns connect are a cluster; in it, those of the
-    largest component are compared with the rest, and the rest among itself.
-    """
-    least = left.groupBy("gram").agg(F.min("sig").alias("first"))
-    edges = left.join(least, "gram").select("sig", "first").distinct()
-    cluster = connected_components(edges).select(F.col("node").alias("sig"), F.col("component").alias("cluster"))
-    rows = left.select("sig", "part").distinct().join(cluster, "sig")
-    sizes = rows.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.groupBy("cluster").agg(F.max_by("part", F.struct("n", "part")).alias("largest"), F.max("n").alias("m"), F.sum("n").alias("all"))
-    blocks = lambda n: F.ceil(n / ROWS).cast("int")
-    plan = most.select("cluster", "largest", blocks(F.col("m")).alias("n_main"), blocks(F.col("all") - F.col("m")).alias("n_rest"))
-    dealt = stored(rows.join(plan, "cluster").select("sig", "cluster", (F.col("part") == F.col("largest")).alias("main"), "n_main", "n_rest"), "ngram-dealt")
-    full = dealt.join(reps, "sig").join(docs.where("id is not null"), "id").select("sig", "cluster", "main", "n_main", "n_rest", "text")
-    own = F.pmod(F.xxhash64("sig"), F.when(F.col("main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
-    upto = lambda n, one: F.transform(F.sequence(F.lit(1), n), one)
-    name = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
-    # blocks of the rest have numbers from 0, those of the main component numbers below 0
-    main = upto(F.col("n_rest"), lambda j: name(-1 - own, j - 1))
-    rest = F.concat(upto(F.col("n_main"), lambda j: name(-j, own)), upto(F.col("n_rest"), lambda j: name(F.least(own, j - 1), F.greatest(own, j - 1))))
-    return full.select("sig", "cluster", "text", F.explode(F.when(F.col("main"), main).otherwise(rest)).alias("k")).groupBy("cluster", "k").applyInArrow(_block_links(rule), "a long, b long")
-
-
 def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Set size and component of every document: doc_id, n_shingles, component_id.
 
@@ -326,8 +248,12 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col:
     at = members.join(label(checked), members["sig"] == F.col("node"), "left").select("gram", "sig", "n", "place", F.coalesce("component", "sig").alias("part"))
     split = at.groupBy("gram").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("gram")
     left = stored(at.join(split, "gram", "left_semi"), "ngram-open")
-    more = stored(_open_links(left, reps, docs, rule), "ngram-links")
-    links = checked.where("linked").select("a", "b").unionByName(more)
+    other = left.alias("a").join(left.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.part") != F.col("b.part")) & (F.col("a.sig") < F.col("b.sig")) & possible("a", "b"))
+    tried = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = other.select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = stored(rest, "ngram-rest")
+    more = stored(_verify(rest, reps, docs, rule), "ngram-pairs")
+    links = checked.unionByName(more).where("linked").select("a", "b")
     as_ids = links.join(reps.select(F.col("sig").alias("a"), F.col("id").alias("x")), "a").join(reps.select(F.col("sig").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
     parts = connected_components(as_ids)
     of_set = reps.join(parts, reps["id"] == parts["node"], "left").select(F.col("sig").alias("set"), F.coalesce("component", "id").alias("part"))
