@@ -266,6 +266,11 @@ def _contexts(g: _Group, vocab: Vocabulary, texts: np.ndarray) -> np.ndarray:
     return np.stack([line[at - 2], line[at - 1], line[at]], axis=1)
 
 
+def round_share(docs: DataFrame, k: int) -> DataFrame:
+    """The documents of round k; each document is in exactly one round, rows with a null id by their text."""
+    return docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(ROUNDS)) == k)
+
+
 def _fit(spark_docs: DataFrame, vocab: Vocabulary) -> Model:
     """Rounds of local training in tasks, averaged by tokens; each round takes its share of the training texts."""
     spark = spark_docs.sparkSession
@@ -273,7 +278,6 @@ def _fit(spark_docs: DataFrame, vocab: Vocabulary) -> Model:
     width = len(flat)
     for k in range(ROUNDS):
         at = spark.sparkContext.broadcast((flat, noise, vocab))
-        part = spark_docs.where(F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(ROUNDS)) == k) if ROUNDS > 1 else spark_docs
 
         def local(batches: Iterator[pa.RecordBatch], at=at, k=k) -> Iterator[pa.RecordBatch]:
             flat, noise, vocab = at.value
@@ -289,7 +293,7 @@ def _fit(spark_docs: DataFrame, vocab: Vocabulary) -> Model:
             if seen:
                 yield pa.record_batch({"at": np.arange(width, dtype=np.int32), "v": model.flat().astype(np.float64) * seen, "n": np.full(width, float(seen))})
 
-        sums = part.select("id", "text").mapInArrow(local, "at int, v double, n double").groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v"))
+        sums = round_share(spark_docs, k).select("id", "text").mapInArrow(local, "at int, v double, n double").groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v"))
         mean = sums.collect()  # as many rows as the model has parameters
         for r in mean:
             flat[r["at"]] = r["v"]
