@@ -32,7 +32,7 @@ MIN_COSINE, MIN_ITEM, MIN_ANSWER = 0.15, 0.6, 0.5
 MAX_SHARE, FEATURE_PART = 0.005, 0.4
 #: Part of an item's words, rarest first, that decides which pairs can hold a long enough subsequence; over 1 - MIN_ITEM.
 RARE_PART = 0.6
-#: Passage lengths in words; an item is searched at the shortest of at least 1.5 times its own length.
+#: Passage lengths in words, doubled on until the last fits the longest item; an item is searched at the shortest of at least 1.5 times its own length.
 SCALES = (24, 48, 96, 192, 384)
 #: The benchmark is a stated query set; the driver and each task hold it whole, so its size is checked.
 MAX_BENCHMARK_BYTES = 64_000_000
@@ -45,7 +45,8 @@ class Benchmark:
     ids: list[int]
     words: list[list[int]]  # word numbers of each item
     answers: list[tuple[int, int]]  # span of each item's answer
-    scale: np.ndarray
+    scales: tuple[int, ...]  # passage lengths
+    scale: np.ndarray  # of each item
     vocabulary: np.ndarray  # sorted hashes of all words of all items
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
@@ -61,6 +62,14 @@ class Benchmark:
         return out
 
 
+def scales_for(longest: int) -> tuple[int, ...]:
+    """Passage lengths for a benchmark whose longest item has so many words."""
+    out = list(SCALES)
+    while out[-1] < 1.5 * longest:
+        out.append(2 * out[-1])
+    return tuple(out)
+
+
 def _read(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str | None) -> Benchmark:
     size = benchmark.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     if size > MAX_BENCHMARK_BYTES:
@@ -79,8 +88,9 @@ def _read(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str | No
     vocabulary = np.unique(w.hashes)
     numbers = np.searchsorted(vocabulary, w.hashes)
     words = [numbers[a:b].tolist() for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
-    scale = np.array([min(int(np.searchsorted(SCALES, 1.5 * len(x))), len(SCALES) - 1) for x in words], int)
-    return Benchmark([r[id_col] for r in rows], words, spans, scale, vocabulary)
+    scales = scales_for(max(map(len, words), default=0))
+    scale = np.searchsorted(scales, [1.5 * len(x) for x in words])
+    return Benchmark([r[id_col] for r in rows], words, spans, scales, scale, vocabulary)
 
 
 def _passages(w: tn.Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,7 +212,7 @@ class _Search:
         self.bench, self.vectors, n = bench, vectors, len(bench.words)
         items = np.stack([vectors[x].sum(axis=0) for x in bench.words]) if n else np.zeros((0, vectors.shape[1]))
         self.items = items / np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-12)
-        self.masks, self.answer_masks, self.counts = [], [], np.zeros((n, len(weights)), np.uint16)
+        self.masks, self.answer_masks, self.counts = [], [], np.zeros((n, len(weights)), np.min_scalar_type(max(map(len, bench.words), default=0)))
         #: Words of each item's rarer part, and how many of them a long enough subsequence needs.
         self.rare, self.need = np.zeros((n, len(weights)), bool), np.ones(n, int)
         for k, (x, (a, b)) in enumerate(zip(bench.words, bench.answers, strict=True)):
@@ -253,8 +263,9 @@ class _Search:
 
     def _scale(self, w: tn.Words, at: np.ndarray, scale: int, best: dict) -> None:
         mine = np.flatnonzero(self.bench.scale == scale)
-        start, end, per = _passages(w, SCALES[scale])
-        passage, k = self._pairs(w, at, mine, SCALES[scale] // 3, per)
+        length = self.bench.scales[scale]
+        start, end, per = _passages(w, length)
+        passage, k = self._pairs(w, at, mine, length // 3, per)
         for i in range(0, len(passage), STEP):
             p = passage[i : i + STEP]
             own, which = np.unique(p, return_inverse=True)
