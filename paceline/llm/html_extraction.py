@@ -1,13 +1,16 @@
 """Main text of web pages by consensus host paths.
 
 Each page scores its containers by the text of their paragraphs and names
-the best one by its generalised path of tags and classes. Spark counts the
+the best one by its generalised path of tags and classes. Forms and elements
+with names of boilerplate are dropped only after the page is read, so that one
+that wraps the page's content isn't. Spark counts the
 votes for each host; the path that wins on a host is then extracted from all
 of its pages. A page without that path falls back on its own best container.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -23,43 +26,85 @@ SALTS = 64
 # Elements of HTML by their role.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object select button canvas audio video datalist".split())
+RAW = frozenset("script style noscript template textarea title svg annotation annotation-xml iframe object select button canvas audio video datalist".split())
+#: The rest of a page without their end tag is theirs; other raw elements without one are skipped as tags. Some can't hold their own kind.
+TO_END = frozenset("script style textarea title".split())
+FLAT = frozenset("select button".split())
 DROPPED = frozenset("nav footer aside form head menu dialog".split())
 CONTAINERS = frozenset("article main section div td body blockquote".split())
 CLOSES_P = BLOCKS - {"body", "html", "option", "optgroup", "caption", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt"}
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 BAD_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|side-?bar|widget|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|cookies?|consent|notices?|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social|related|recommended|comments?|commentlist|disqus|replies|reply|respond|login|signup|search|pagination|pager)(?:$|[\s_-])", re.I)
+_EXACT = re.compile(BAD_NAME.pattern.replace(r"[\s_-]", r"\s"), re.I)
+#: What an element may be dropped by: its role or tag for good; a whole class or id, or a part of one or a form, unless it has the page's content.
+NO_DROP, HARD, NAMED, PART = 0, 1, 2, 3
+#: Share of a page's text from which an element dropped by a part of a name or as a form wraps the page, and weight of text in such.
+MOST, WRAPPED = 2 / 3, 0.5
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|main|body|text)(?:$|[\s_-])", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
 class _Node:
-    __slots__ = ("parent", "tag", "path", "end", "score", "drop", "inside")
+    __slots__ = ("parent", "tag", "path", "end", "score", "mark", "drop", "wrapped", "inside")
 
-    def __init__(self, parent: int, tag: str, path: str, drop: bool, inside: bool):
-        self.parent, self.tag, self.path, self.end, self.score, self.drop, self.inside = parent, tag, path, -1, 0.0, drop, inside
+    def __init__(self, parent: int, tag: str, path: str, mark: int, inside: bool):
+        self.parent, self.tag, self.path, self.end, self.score, self.mark, self.drop, self.wrapped, self.inside = parent, tag, path, -1, 0.0, mark, False, False, inside
 
 
 class Page:
     """Elements in page order and blocks of text (element, text) outside of boilerplate."""
 
     def __init__(self, source: str):
-        self.nodes = [_Node(-1, "", "", False, False)]
+        self.nodes = [_Node(-1, "", "", NO_DROP, False)]
+        self._found: list[tuple[int, str, int]] = []  # element, text, length of its links
+        self._endless: set[str] = set()
         self.blocks: list[tuple[int, str]] = []
         self._stack, self._text, self._at, self._linked, self._in_link = [0], [], 0, 0, 0
         self._read(source)
         self._flush()
         for i in self._stack:
             self.nodes[i].end = len(self.nodes)
+        self._decide()
+        for at, text, linked in self._found:
+            if not self.nodes[at].drop:
+                self.blocks.append((at, text))
+                self._count(at, len(text) - 2 * min(linked, len(text)))
+
+    def _decide(self) -> None:
+        """Which of the marked elements are dropped: those for good, and the others unless they have the page's content."""
+        nodes, n = self.nodes, len(self.nodes)
+        if any(x.mark in (NAMED, PART) for x in nodes):
+            hard, marked = [False] * n, [False] * n
+            for i, x in enumerate(nodes):
+                hard[i] = x.mark == HARD or (i > 0 and hard[x.parent])
+                marked[i] = x.mark != NO_DROP or (i > 0 and marked[x.parent])
+            sums = [0] * (n + 1)
+            for at, text, _ in self._found:
+                sums[at + 1] += 0 if hard[at] else len(text)
+            outside = sum(len(text) for at, text, _ in self._found if not marked[at])
+            for i in range(n):
+                sums[i + 1] += sums[i]
+            held = lambda i: sums[nodes[i].end] - sums[i]
+            mains = [i for i in range(n) if nodes[i].tag == "main" and held(i)]
+            articles = [i for i in range(n) if nodes[i].tag == "article" and held(i)]
+            for i, x in enumerate(nodes):
+                if x.mark in (NAMED, PART):
+                    k = bisect.bisect_left(mains, i)
+                    if k < len(mains) and mains[k] < x.end:
+                        x.mark = NO_DROP
+                    elif (articles and i <= articles[0] and articles[-1] < x.end and held(i) >= outside) or (not outside if x.mark == NAMED else held(i) > MOST * sums[n]):
+                        x.mark, x.wrapped = NO_DROP, True
+        for i, x in enumerate(nodes):
+            x.drop = x.mark != NO_DROP or (i > 0 and nodes[x.parent].drop)
+            x.wrapped = x.wrapped or (i > 0 and nodes[x.parent].wrapped)
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join(html.unescape("".join(self._text)).split())
             if text:
-                self.blocks.append((self._at, text))
-                self._count(self._at, len(text) - 2 * min(self._linked, len(text)))
+                self._found.append((self._at, text, self._linked))
             self._text, self._linked = [], 0
 
     def _count(self, node: int, score: float) -> None:
@@ -73,7 +118,7 @@ class Page:
 
     def _add(self, text: str) -> None:
         top = self._stack[-1]
-        if text and not self.nodes[top].drop:
+        if text:
             if not self._text:
                 if text.isspace():
                     return
@@ -83,6 +128,8 @@ class Page:
                 self._linked += len(text)
 
     def _pop(self, depth: int) -> None:
+        if any(self.nodes[i].mark for i in self._stack[depth:]):
+            self._flush()
         for i in self._stack[depth:]:
             self.nodes[i].end = len(self.nodes)
             self._in_link -= self.nodes[i].tag == "a"
@@ -112,16 +159,20 @@ class Page:
                 if t in BARRIERS[tag]:
                     break
         parent = self.nodes[self._stack[-1]]
-        drop, inside = parent.drop, parent.inside or tag in ("article", "main")
+        mark, inside = NO_DROP, parent.inside or tag in ("article", "main")
         path = parent.path
         if tag in BLOCKS:
             names = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(attributes)} if "=" in attributes else {}
             words = " ".join(v for k, v in names.items() if k != "role")
-            drop = drop or tag in DROPPED or (tag == "header" and not inside) or names.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert")
-            drop = drop or (bool(words) and tag not in ("html", "body", "article", "main") and bool(BAD_NAME.search(words)))
+            if (tag in DROPPED and tag != "form") or (tag == "header" and not inside) or names.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
+                mark = HARD
+            elif words and tag not in ("html", "body", "article", "main") and BAD_NAME.search(words):
+                mark = NAMED if _EXACT.search(words) else PART
+            elif tag == "form":
+                mark = PART
             classes = ".".join(sorted({re.sub(r"\d+", "", c) for c in names.get("class", "").split()} - {""}))
             path = f"{path}/{tag}" + (f".{classes}" if classes else "")
-        self.nodes.append(_Node(self._stack[-1], tag, path, drop, inside))
+        self.nodes.append(_Node(self._stack[-1], tag, path, mark, inside))
         self._stack.append(len(self.nodes) - 1)
         self._in_link += tag == "a"
 
@@ -144,11 +195,22 @@ class Page:
                 self._close(tag)
             elif tag in RAW:
                 if not m[3].endswith("/"):
-                    end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                    at = end.end() if end else len(source)
+                    at = self._after(tag, source, at)
             elif tag not in VOID:
                 self._open(tag, m[3])
 
+    def _after(self, tag: str, source: str, at: int) -> int:
+        """Where a raw element's text ends."""
+        if tag in self._endless:
+            return at
+        end = re.compile(rf"</{tag}\s*>" + (rf"|<{tag}(?=[\s>])" if tag in FLAT else ""), re.I).search(source, at)
+        if end is None:
+            if tag in TO_END:
+                return len(source)
+            self._endless.add(tag)
+            return at
+        return end.end() if end[0][1] == "/" else at
+
     def best(self) -> str | None:
         """Path of the container with the highest score; articles and telling names count more."""
         best, at = 0.0, None
@@ -156,7 +218,7 @@ class Page:
             if n.score > 0 and not n.drop:
                 last = n.path.rpartition("/")[2]
                 tag, _, names = last.partition(".")
-                score = n.score * (4 if tag in ("article", "main") else 2 if GOOD_NAME.search(names.replace(".", " ")) else 1)
+                score = n.score * (4 if tag in ("article", "main") else 2 if GOOD_NAME.search(names.replace(".", " ")) else 1) * (WRAPPED if n.wrapped else 1)
                 if score > best:
                     best, at = score, n.path
         return at
