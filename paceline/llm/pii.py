@@ -20,15 +20,33 @@ _MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин")
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Госпожа")
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}+"
 _TITLE = r"\b(?:%s)\.? "
+# Lengths of IBANs and the countries that use them.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBANS = "|".join(rf"(?:{'|'.join(c.split())})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+# Telephone numbers by groups of three and four digits, in one piece, by pairs, and with a long subscriber number.
+_PHONES = (
+    r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)",
+    r"(?<![\d+])\+\d{8,15}(?!\d)",
+    r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?|0)[1-9](?:[ .-]?\d{2}){4}(?!\d)",
+    r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)[ .-]?\d{2,4})?(?:[ .-]\d{2,4}){3,5}(?!\d)",
+    r"(?<![\d+])(?:[6-9]\d{2}[ .-]\d{2}|9\d[ .-]\d{3})(?:[ .-]\d{2}){2}(?![\d.-]\d|\d)",
+    r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,5}[ ./-]\d{4,9}(?:-\d{1,4})?(?!\d)",
+    r"(?<![\d+])\+\d{1,3}[ .-]?\(\d{1,5}\)[ ./-]?\d{4,9}(?:-\d{1,4})?(?!\d)",
+    r"(?<![\d+])(?:\(0[1-9]\d{1,4}\) ?|0[1-9]\d{1,3} ?[ /-] ?)(?:\d{5,8}(?:-\d{1,4})?|\d{2,3}(?: \d{2,3}){1,3})(?!\d)",
+)
 # Patterns of the entity types, tried in this order at each place. A name is matched with its title.
 PATTERNS = {
     "email": _EDGE + r"[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{32,128}+|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,80}|sk-[0-9A-Za-z_-]{20,80})(?![0-9A-Za-z])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?\d{4}){3,7}(?: ?\d{1,4})?(?![0-9A-Za-z])",
+    "iban": rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}\d{{2}})(?:{_IBANS}|[A-Z]{{2}}\d{{2}}(?: ?\d{{4}}){{3,7}}(?: ?\d{{1,4}})?)(?![0-9A-Za-z])",
     "ip": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "ssn": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?=\d)(?:(?<![\d-])(?:\d{4}[ -]){3}\d{4}(?![\d-])|(?<!\d)\d{13,19}(?!\d))",
-    "phone": r"(?=[\d+(])(?:(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d))",
+    "phone": rf"(?=[\d+(])(?:{'|'.join(_PHONES)})",
     "male": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_MALE)}{_NAME}(?: {_NAME})?",
     "female": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_FEMALE)}{_NAME}(?: {_NAME})?",
 }
