@@ -44,8 +44,8 @@ TEMPLATES = (
 )
 #: Index words stand in at most this many templates; a template needs this many of them, or all it has, at one offset.
 MAX_TEMPLATES, MIN_AGREEING = 5, 2
-#: Any base phrase or mandatory phrase needs one of these.
-TRIGGER = r"(?i)licen[sc]|permission|redistribut|unencumbered|creative|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
+#: Any base phrase, and one mandatory phrase of any template, needs one of these.
+TRIGGER = r"(?i)licen[sc]|permission|redistribut|unencumbered|creative|bsd|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|without[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+fee"
 
 
 def _index() -> tuple[list[tuple[str, int, int, float]], list[tuple[int, str, int, float]]]:
