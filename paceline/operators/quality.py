@@ -39,17 +39,32 @@ def calibration_error(bins: DataFrame) -> DataFrame:
     return bins.agg((F.sum(gap * F.col("n")) / F.sum("n")).alias("ece"), F.max(gap).alias("mce"), F.sum("n").alias("n"))
 
 
+#: Ranges of values that are summed side by side.
+RANGES = 64
+
+
+def running_sums(df: DataFrame, value: str, counts: list[str]) -> DataFrame:
+    """Distinct values with the sums of the counts up to and with each: windows within ranges of values, plus the sums of the ranges before."""
+    bounds = df.agg(F.percentile_approx(value, [k / RANGES for k in range(1, RANGES)])).first()[0] or []
+    part = sum(((F.col(value) > F.lit(b)).cast("int") for b in sorted(set(bounds))), F.lit(0))
+    ranged = df.withColumn("_part", F.coalesce(part, F.lit(-1)))
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES + 1 rows
+    before = ranged.groupBy("_part").agg(*(F.sum(c).alias(f"_{c}") for c in counts)).select("_part", *(F.coalesce(F.sum(f"_{c}").over(w), F.lit(0)).alias(f"_{c}") for c in counts))
+    within = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    summed = ranged.withColumns({f"sum_{c}": F.sum(c).over(within) for c in counts}).join(F.broadcast(before), "_part")
+    return summed.withColumns({f"sum_{c}": F.col(f"sum_{c}") + F.col(f"_{c}") for c in counts}).drop("_part", *(f"_{c}" for c in counts))
+
+
 def log_loss_and_auc(df: DataFrame, p: str, y: str, eps: float = 1e-15) -> DataFrame:
     """Log loss, accuracy at one half, and the area under the ROC curve by average ranks.
 
-    Ranks come from the counts per distinct score, so the window runs over
-    scores, not rows.
+    Ranks come from the counts per distinct score, summed over ranges of
+    scores side by side.
     """
     q = F.greatest(F.lit(eps), F.least(F.lit(1 - eps), F.col(p)))
     basic = df.agg(F.count(F.lit(1)).alias("n"), F.avg(-F.when(F.col(y) == 1, F.ln(q)).otherwise(F.ln(1 - q))).alias("log_loss"), F.avg(((F.col(p) >= 0.5).cast("int") == F.col(y)).cast("double")).alias("accuracy"))
     scores = df.groupBy(p).agg(F.count(F.lit(1)).alias("c"), F.sum(y).alias("pos"))
-    below = F.coalesce(F.sum("c").over(Window.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = scores.withColumn("rank", below + (F.col("c") + 1) / 2)
+    ranks = running_sums(scores, p, ["c"]).withColumn("rank", F.col("sum_c") - F.col("c") + (F.col("c") + 1) / 2)
     auc = ranks.agg(F.sum(F.col("rank") * F.col("pos")).alias("s"), F.sum("pos").alias("p"), F.sum(F.col("c") - F.col("pos")).alias("q"))
     area = auc.select(F.try_divide(F.col("s") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q")).alias("auc"))
     return basic.crossJoin(area)
@@ -69,9 +84,8 @@ def psi(df: DataFrame, value: str, reference: Column, n: int = 10, eps: float =
 def ks(df: DataFrame, value: str, first: Column) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic from the counts per distinct value."""
     g = df.groupBy(value).agg(F.count_if(first).alias("a"), F.count_if(~first).alias("b"))
-    w = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    cum = g.select(F.sum("a").over(w).alias("ca"), F.sum("b").over(w).alias("cb"), F.lit(1).alias("_"))
-    tot = cum.agg(F.max("ca").alias("na"), F.max("cb").alias("nb"))
+    cum = running_sums(g, value, ["a", "b"]).select(F.col("sum_a").alias("ca"), F.col("sum_b").alias("cb"))
+    tot = g.agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     return cum.crossJoin(F.broadcast(tot)).agg(F.max(F.abs(F.col("ca") / F.col("na") - F.col("cb") / F.col("nb"))).alias("ks"))
 
 

@@ -1,44 +1,92 @@
 """Sequential detectors with reset, as folds over one segment's ordered values.
 
-A segment (a model, a track) is one array, so segments must be bounded; the
-fold itself is a built-in aggregate, not a Python loop.
+A segment (a model, a track) is read as a sorted stream in one task, which
+holds only the detector's state; Spark's sort spills what doesn't fit.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Adds the next value (None if unknown) to a segment's state and says whether it raises an alarm.
+Step = Callable[[float | None], bool]
+
+
+def alarms(df: DataFrame, key: str, order: str, value: str, detector: Callable[[], Step]) -> DataFrame:
+    """Number of alarms of each segment and index of the last; rows of equal order go by value."""
+    rows = df.select(F.col(key).alias("key"), F.col(order).alias("order"), F.col(value).cast("double").alias("v"))
+    ordered = rows.repartition("key").sortWithinPartitions("key", "order", "v").select("key", "v")
+    schema = T.StructType([T.StructField(key, ordered.schema["key"].dataType), T.StructField("alarms", T.IntegerType()), T.StructField("last_alarm", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, step, i, n, last, kind = None, None, 0, 0, 0, None
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([key], kind), pa.array([n], pa.int32()), pa.array([last], pa.int32())], names=schema.names)
+
+        for b in batches:
+            kind = b.schema.field("key").type
+            for k, v in zip(b["key"].to_pylist(), b["v"].to_pylist(), strict=True):
+                if step is None or k != key:
+                    if step is not None:
+                        yield row()
+                    key, step, i, n, last = k, detector(), 0, 0, 0
+                i += 1
+                if step(v):
+                    n, last = n + 1, i
+        if step is not None:
+            yield row()
+
+    return ordered.mapInArrow(run, schema)
+
+
+def cusum(target: float, slack: float, limit: float) -> Callable[[], Step]:
+    """Two-sided CUSUM; both sums restart after an alarm, and at an unknown value."""
 
+    def start() -> Step:
+        up = down = 0.0
 
-def ordered_values(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    rows = F.sort_array(F.collect_list(F.struct(F.col(order), F.col(value).alias("v"))))
-    return df.groupBy(*keys).agg(F.transform(rows, lambda x: x["v"].cast("double")).alias("values"))
+        def step(v: float | None) -> bool:
+            nonlocal up, down
+            if v is None:
+                up = down = 0.0
+                return False
+            up, down = max(0.0, up + v - target - slack), max(0.0, down - v + target - slack)
+            hit = up > limit or down > limit
+            if hit:
+                up = down = 0.0
+            return hit
 
+        return step
 
-def cusum(values: Column, target: Column, slack: float, limit: float) -> Column:
-    """Two-sided CUSUM: number of alarms and index of the last; both sums restart after an alarm."""
-    start = F.struct(F.lit(0.0).alias("up"), F.lit(0.0).alias("down"), F.lit(0).alias("i"), F.lit(0).alias("alarms"), F.lit(0).alias("last"))
+    return start
 
-    def step(a: Column, v: Column) -> Column:
-        up, down = F.greatest(F.lit(0.0), a["up"] + v - target - slack), F.greatest(F.lit(0.0), a["down"] - v + target - slack)
-        hit = (up > limit) | (down > limit)
-        keep = lambda x: F.when(hit, 0.0).otherwise(x)
-        return F.struct(keep(up).alias("up"), keep(down).alias("down"), (a["i"] + 1).alias("i"), (a["alarms"] + hit.cast("int")).alias("alarms"), F.when(hit, a["i"] + 1).otherwise(a["last"]).alias("last"))
 
-    return F.aggregate(values, start, step, lambda a: F.struct(a["alarms"].alias("alarms"), a["last"].alias("last_alarm")))
+def page_hinkley(delta: float, limit: float) -> Callable[[], Step]:
+    """Page-Hinkley test for a rise of the mean; the mean keeps its index over resets of the sum, and is unknown from an unknown value on."""
 
+    def start() -> Step:
+        mean, m, least, i = 0.0, 0.0, 0.0, 0
 
-def page_hinkley(values: Column, delta: float, limit: float) -> Column:
-    """Page-Hinkley test for a rise of the mean; the mean keeps its index over resets of the sum."""
-    start = F.struct(F.lit(0.0).alias("mean"), F.lit(0.0).alias("m"), F.lit(0.0).alias("least"), F.lit(0).alias("i"), F.lit(0).alias("alarms"), F.lit(0).alias("last"))
+        def step(v: float | None) -> bool:
+            nonlocal mean, m, least, i
+            if v is None or mean is None:
+                mean = None
+                return False
+            i += 1
+            mean += (v - mean) / i
+            m += v - mean - delta
+            least = min(least, m)
+            hit = m - least > limit
+            if hit:
+                m = least = 0.0
+            return hit
 
-    def step(a: Column, v: Column) -> Column:
-        i = a["i"] + 1
-        mean = a["mean"] + (v - a["mean"]) / i
-        m = a["m"] + v - mean - delta
-        least = F.least(a["least"], m)
-        hit = m - least > limit
-        keep = lambda x: F.when(hit, 0.0).otherwise(x)
-        return F.struct(mean.alias("mean"), keep(m).alias("m"), keep(least).alias("least"), i.alias("i"), (a["alarms"] + hit.cast("int")).alias("alarms"), F.when(hit, i).otherwise(a["last"]).alias("last"))
+        return step
 
-    return F.aggregate(values, start, step, lambda a: F.struct(a["alarms"].alias("alarms"), a["last"].alias("last_alarm")))
+    return start

@@ -237,8 +237,7 @@ def monte_carlo(spark: SparkSession, sf: str) -> DataFrame:
 
 def cusum(spark: SparkSession, sf: str) -> DataFrame:
     """CUSUM and Page-Hinkley alarms of each event kind's numbers."""
-    v = sequences.ordered_values(events(spark, sf), ["kind"], "ts", "k")
-    return v.select("kind", sequences.cusum(F.col("values"), F.lit(50.0), 10.0, 100.0).alias("c")).select("kind", "c.alarms", "c.last_alarm")
+    return sequences.alarms(events(spark, sf), "kind", "ts", "k", sequences.cusum(50.0, 10.0, 100.0))
 
 
 CUSUM = f"""WITH RECURSIVE {EVENTS_SQL}, n AS (SELECT kind, k::DOUBLE AS v, row_number() OVER (PARTITION BY kind ORDER BY ts) AS i FROM e),
@@ -249,8 +248,7 @@ SELECT kind, max(alarms) AS alarms, max(last)::INTEGER AS last_alarm FROM s GROU
 
 def page_hinkley(spark: SparkSession, sf: str) -> DataFrame:
     """Page-Hinkley alarms of each event kind's numbers."""
-    v = sequences.ordered_values(events(spark, sf), ["kind"], "ts", "k")
-    return v.select("kind", sequences.page_hinkley(F.col("values"), 0.5, 400.0).alias("c")).select("kind", "c.alarms", "c.last_alarm")
+    return sequences.alarms(events(spark, sf), "kind", "ts", "k", sequences.page_hinkley(0.5, 400.0))
 
 
 PAGE = f"""WITH RECURSIVE {EVENTS_SQL}, n AS (SELECT kind, k::DOUBLE AS v, row_number() OVER (PARTITION BY kind ORDER BY ts) AS i FROM e),
