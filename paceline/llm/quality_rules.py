@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paceline.llm import textnum as tn
+from paceline.llm.spread import stored
 
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
 SYMBOLS = b"#*$%&|<>"
@@ -193,9 +194,10 @@ def _judged(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``row``, ``stats``, distances, base_failed and kept of every document."""
     spark = docs.sparkSession
     lang = lambda of: F.coalesce(F.col(f"{of}{lang_col}").cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
-    refs = references(with_stats(docs.select(text_col, *([lang_col] if lang_col in docs.columns else [])), text_col), lang("row."))
+    refs = stored(references(with_stats(docs.select(text_col, *([lang_col] if lang_col in docs.columns else [])), text_col), lang("row.")), "quality-refs")
     rows = refs.limit(MAX_BROADCAST_LANGS + 1).collect()
-    pooled = [[float(sum(x)) for x in zip(*([v * r["n_docs"] for v in r[k]] for r in rows), strict=True)] or [0.0] * n for k, n in (("ref_classes", len(CLASSES)), ("ref_words", N_COMMON + 1))]
+    sums = refs.agg(*(F.array(*(F.coalesce(F.sum(F.col(k)[i] * F.col("n_docs")), F.lit(0.0)) for i in range(n))).alias(k) for k, n in (("ref_classes", len(CLASSES)), ("ref_words", N_COMMON + 1)))).first()
+    pooled = [list(sums[k]) for k in ("ref_classes", "ref_words")]
     known = refs.where(F.col("n_docs") >= MIN_DOCS).select(F.col("lang").alias("_lang"), F.col("ref_classes").alias("_ref_classes"), F.col("ref_words").alias("_ref_words"))
     if len(rows) <= MAX_BROADCAST_LANGS:
         known = F.broadcast(spark.createDataFrame([(r["lang"], r["ref_classes"], r["ref_words"]) for r in rows if r["n_docs"] >= MIN_DOCS], known.schema))
