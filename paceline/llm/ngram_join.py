@@ -1,18 +1,24 @@
 """N-gram Jaccard join as a blocked sparse product of the document by n-gram incidence.
 
 A document is its set of word n-grams. Documents with one set are one row of
-the incidence matrix. Only the columns that can decide a pair are multiplied:
-with all n-grams in one global order, two sets that are similar enough share
-an n-gram among the first n - ceil(t n) + 1 of each. The order puts frequent
-n-grams last, by a sketch of their counts over all documents.
-
-The incidence is dealt into blocks of columns. Each block's product adds the
-overlap of its columns to the pairs that it finds; pairs whose sizes or
-positions rule out enough overlap are discarded. To link a group of copies
-without all of its pairs, a first product takes one set of each column, the
-same one wherever it stands, with every other; a second takes the pairs of
-any column that still lies in different components. Pairs are verified on
-their texts.
+the incidence matrix.
+
+Blocks: with all n-grams in one global order, two sets that are similar
+enough share an n-gram among the first n - ceil(t n) + 1 of each. The order
+puts frequent n-grams last, by a sketch of their counts over all documents.
+These deciding columns are dealt into buckets, where sets whose sizes and
+positions leave room for enough overlap are chained; the chained sets make
+the blocks of rows. A chain costs one edge a set, so a column of any number
+of copies gives as many edges as it has rows, never its pairs.
+
+Product: a block's rows come to one task with all of their n-grams. A row's
+product with the block accumulates its overlaps with all other rows over the
+full incidence; pairs below the bound that the two sizes set are discarded.
+Of the links only those that join two components are kept, and rows whose
+component already holds all that is left need no product, so a block of
+copies costs a few products. A block of more than ``block`` n-grams is cut
+into parts: first the parts on their own, then one row of each component
+found, then every row outside of a block's largest component with all rows.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,26 +36,39 @@ from paceline.llm import textnum as tn
 from paceline.llm.components import connected_components
 from paceline.llm.spread import group_count, stored
 
-#: Counters of the frequency sketch (4 bytes each), and how many make one row.
-COUNTERS, BLOCK = 1 << 20, 1 << 14
-#: Sketched count from which an n-gram's column is split over this many blocks.
-HEAVY, SALTS = 1 << 17, 64
+#: Counters of the frequency sketch (4 bytes each), how many make one row, and groups of tasks that add theirs up first.
+COUNTERS, BLOCK, SKETCH_PARTS = 1 << 20, 1 << 14, 512
+#: Blocks over which a frequent n-gram's column is split.
+SALTS = 64
+#: Members up to which all pairs of a column are held against the bounds; larger columns are chained by size.
+PAIRED = 256
+#: Rows up to which the sets in blocks, and the blocks that are cut, are broadcast (some 32 bytes each).
+MAX_BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Two sets link when 100 * intersection >= percent * union of their ``size``-word n-grams."""
+    """Two sets link when 100 * intersection >= percent * union of their ``size``-word n-grams.
+
+    Columns of n-grams counted ``heavy`` times or more are split; blocks of more than ``block`` n-grams are cut.
+    """
 
     size: int = 5
     percent: int = 80
+    heavy: int = 1 << 17
+    block: int = 1 << 20
 
     def least(self, n: np.ndarray) -> np.ndarray:
         """Smallest overlap of a set of n with any set that it links to."""
         return -(-self.percent * n // 100)
 
-    def needed(self, a: Column, b: Column) -> Column:
-        """Smallest overlap of linked sets of these sizes."""
-        return F.ceil(F.lit(self.percent) * (a + b) / F.lit(100 + self.percent))
+    def possible(self, n: np.ndarray, p: np.ndarray, m: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Whether sets of n and m n-grams that share one at places p and q can overlap enough."""
+        need = -(-self.percent * (n + m) // (100 + self.percent))
+        return (n - p >= need) & (m - q >= need) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * self.percent)
+
+    def links(self, overlap: np.ndarray, n: int, m: np.ndarray) -> np.ndarray:
+        return (overlap > 0) & (100 * overlap >= self.percent * (n + m - overlap))
 
 
 def sets(w: tn.Words, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -84,38 +104,41 @@ def _slices(column, rule: Rule) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         yield lo, hi, *sets(tn.words(data, offsets[lo : hi + 1], lower=True), rule)
 
 
-_SCAN = "id long, n int, sig long, block int, counts binary"
+_SCAN = "id long, n int, sig long, block int, part int, counts binary"
 
 
 def _scan(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, names = np.zeros(COUNTERS, np.uint32), ["id", "n", "sig", "block", "counts"]
+        sketch, schema = np.zeros(COUNTERS, np.uint32), pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.int64()), ("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
         for b in batches:
             size, sig = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
             for lo, hi, text, grams in _slices(b["text"], rule):
                 size[lo:hi], sig[lo:hi] = _signatures(text, grams, hi - lo)
                 sketch += np.bincount((grams >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-            none = pa.nulls(b.num_rows, pa.int32()), pa.nulls(b.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([b["id"], pa.array(size, pa.int32()), pa.array(sig), *none], names=names)
+            nulls = [pa.nulls(b.num_rows, f.type) for f in schema][3:]
+            yield pa.RecordBatch.from_arrays([b["id"], pa.array(size, pa.int32()), pa.array(sig), *nulls], schema=schema)
         used = [k for k in range(COUNTERS // BLOCK) if sketch[k * BLOCK : (k + 1) * BLOCK].any()]
-        parts = [sketch[k * BLOCK : (k + 1) * BLOCK].tobytes() for k in used]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int32()), pa.nulls(len(used), pa.int64()), pa.array(used, pa.int32()), pa.array(parts, pa.binary())], names=names)
+        part = [TaskContext.get().partitionId() % SKETCH_PARTS] * len(used)
+        counts = [sketch[k * BLOCK : (k + 1) * BLOCK].astype(np.uint64).tobytes() for k in used]
+        nulls = [pa.nulls(len(used), f.type) for f in schema][:3]
+        yield pa.RecordBatch.from_arrays([*nulls, pa.array(used, pa.int32()), pa.array(part, pa.int32()), pa.array(counts, pa.binary())], schema=schema)
 
     return run
 
 
 def _add_up(table: pa.Table) -> pa.Table:
     total = np.zeros(BLOCK, np.uint64)
-    for x in table["counts"].to_pylist():
-        total += np.frombuffer(x, np.uint32)
+    for x in table["counts"]:
+        total += np.frombuffer(x.as_buffer(), np.uint64)
     return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
 def _frequencies(scan: DataFrame) -> np.ndarray:
-    """The sketch over all documents (8 MB)."""
-    partial = scan.where("block is not null").select("block", "counts")
+    """The sketch over all documents (8 MB), added up by groups of tasks and then over these."""
+    partial = scan.where("block is not null").select("block", "part", "counts")
+    grouped = partial.groupBy("block", "part").applyInArrow(_add_up, "block int, counts binary")
     out = np.zeros(COUNTERS, np.uint64)
-    for r in partial.groupBy("block").applyInArrow(_add_up, "block int, counts binary").collect():
+    for r in grouped.groupBy("block").applyInArrow(_add_up, "block int, counts binary").collect():
         out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], np.uint64)
     return out
 
@@ -142,7 +165,7 @@ def _prefixes(rule: Rule, shared, buckets: int):
                 first = np.searchsorted(text, np.arange(hi - lo))
                 place = np.arange(len(text)) - first[text]
                 use = place <= size[text] - rule.least(size[text])
-                text, grams, place, heavy = text[use], grams[use], place[use], seen[use] >= HEAVY
+                text, grams, place, heavy = text[use], grams[use], place[use], seen[use] >= rule.heavy
                 deal = tn.mix(grams + np.where(heavy, sig[text].view(np.uint64) % np.uint64(SALTS), 0).astype(np.uint64))
                 order, present, begin = tn.by_bucket(tn.bucket_of(deal, buckets) * 2 + heavy)
                 cells = {c: [] for c in ("bucket", "heavy", "grams", "sigs", "sizes", "places")}
@@ -155,65 +178,209 @@ def _prefixes(rule: Rule, shared, buckets: int):
     return run
 
 
-_MEMBERS = "gram long, sig long, n int, place int"
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Indexes of edges that span the components of the graph on n nodes."""
+    root, keep = list(range(n)), []
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
+def _pairs_of(begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places inside runs of ``many`` places from ``begin``."""
+    first = np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    after = np.repeat(begin + many, many) - first - 1
+    one = np.repeat(first, after)
+    return one, one + 1 + np.arange(after.sum()) - np.repeat(np.cumsum(after) - after, after)
+
+
+_EDGES = "gram long, a long, b long"
+
+
+def _chained(rule: Rule):
+    """Edges that chain the sets of each column that can overlap enough; a part of a split column also names one of its sets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        read = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in table[c]]
+        grams, sigs, sizes, places = read("grams", np.int64), read("sigs", np.int64), read("sizes", np.int32), read("places", np.int32)
+        heavy = np.repeat(np.array(table["heavy"].to_pylist(), bool), [len(x) for x in grams])
+        g, s, n, p = (np.concatenate(x) for x in (grams, sigs, sizes, places))
+        n, p = n.astype(np.int64), p.astype(np.int64)
+        order = np.lexsort((s, n, g))
+        g, s, n, p, heavy = g[order], s[order], n[order], p[order], heavy[order]
+        new = np.append(True, (np.diff(g) != 0) | (np.diff(s) != 0))
+        g, s, n, p, heavy = g[new], s[new], n[new], p[new], heavy[new]
+        begin = np.flatnonzero(np.append(True, np.diff(g) != 0))
+        many = np.diff(np.append(begin, len(g)))
+        names, at = np.unique(s, return_inverse=True)
+        found = []
+        paired = np.flatnonzero((many > 1) & (many <= PAIRED) & ~heavy[begin])
+        for lo in range(0, len(paired), 1 << 12):
+            k = paired[lo : lo + (1 << 12)]
+            for cut in np.split(k, np.flatnonzero(np.diff(np.cumsum(many[k] * many[k]) >> 21)) + 1):
+                x, y = _pairs_of(begin[cut], many[cut])
+                ok = rule.possible(n[x], p[x], n[y], p[y])
+                found.append(np.unique(np.minimum(at[x[ok]], at[y[ok]]) * len(names) + np.maximum(at[x[ok]], at[y[ok]])))
+        chain = np.repeat((many > PAIRED) | heavy[begin], many)
+        x = np.flatnonzero(chain[:-1] & (g[:-1] == g[1:]))
+        x = x[n[x] * 100 >= n[x + 1] * rule.percent] if len(x) else x
+        found.append(np.minimum(at[x], at[x + 1]) * len(names) + np.maximum(at[x], at[x + 1]))
+        keys = np.unique(np.concatenate(found))
+        keys = keys[_forest(keys // len(names), keys % len(names), len(names))]
+        # where a split column's sizes leave a gap, each run between gaps has an end for the other parts
+        ends = np.flatnonzero(heavy & np.append(True, (g[1:] != g[:-1]) | (n[:-1] * 100 < n[1:] * rule.percent)))
+        return pa.table({"gram": pa.array([None] * len(keys) + g[ends].tolist(), pa.int64()), "a": np.concatenate([names[keys // len(names)], s[ends]]), "b": pa.array(names[keys % len(names)].tolist() + [None] * len(ends), pa.int64())})
 
+    return run
 
-def _shared_columns(table: pa.Table) -> pa.Table:
-    """Entries of the columns that hold two or more different sets, and of split columns."""
-    read = lambda c, kind: [np.frombuffer(x, kind) for x in table[c].to_pylist()]
-    grams, sigs, sizes, places = read("grams", np.int64), read("sigs", np.int64), read("sizes", np.int32), read("places", np.int32)
-    heavy = np.repeat(np.array(table["heavy"].to_pylist(), bool), [len(x) for x in grams])
-    g, s, n, p = (np.concatenate(x) for x in (grams, sigs, sizes, places))
-    order = np.lexsort((s, g))
-    g, s, n, p, heavy = g[order], s[order], n[order], p[order], heavy[order]
-    new = np.append(True, (np.diff(g) != 0) | (np.diff(s) != 0))
-    g, s, n, p, heavy = g[new], s[new], n[new], p[new], heavy[new]
-    begin = np.flatnonzero(np.append(True, np.diff(g) != 0))
-    many = np.repeat(np.diff(np.append(begin, len(g))), np.diff(np.append(begin, len(g))))
-    use = (many > 1) | heavy
-    return pa.table({"gram": g[use], "sig": s[use], "n": n[use], "place": p[use]})
 
+class _Incidence:
+    """Rows of n-grams with the columns that two or more of them share."""
+
+    def __init__(self, grams: list[np.ndarray]):
+        self.n = np.array([len(x) for x in grams], np.int64)
+        owner, flat = np.repeat(np.arange(len(grams)), self.n), np.concatenate(grams)
+        order = np.argsort(flat, kind="stable")
+        run = np.append(True, flat[order][1:] != flat[order][:-1])
+        column = np.cumsum(run) - 1
+        many = np.bincount(column)
+        use = many[column] > 1
+        self.rows, columns = owner[order][use], (np.cumsum(many > 1) - 1)[column[use]]
+        self.begin = np.append(0, np.cumsum(many[many > 1]))
+        back = np.argsort(self.rows, kind="stable")
+        self.columns = columns[back]
+        self.first = np.searchsorted(self.rows[back], np.arange(len(grams) + 1))
+        total = np.append(0, np.cumsum((self.begin[1:] - self.begin[:-1])[self.columns]))
+        self.weight = total[self.first[1:]] - total[self.first[:-1]]  # entries that a row shares columns with
+
+    def overlaps(self, row: int) -> np.ndarray:
+        """Overlaps of one row with all rows: its product with the incidence matrix."""
+        c = self.columns[self.first[row] : self.first[row + 1]]
+        many = self.begin[c + 1] - self.begin[c]
+        spots = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.begin[c], many)
+        return np.bincount(self.rows[spots], minlength=len(self.n))
+
+
+def _joined(rows: _Incidence, rule: Rule, comp: np.ndarray, ask: np.ndarray | None) -> Iterator[tuple[int, int]]:
+    """Links between components of the rows; only rows that ``ask`` are multiplied, by default as many as need be."""
+    comp = comp.copy()
+    open_ = np.ones(len(comp), bool) if ask is None else ask.copy()
+    while True:
+        left = np.flatnonzero(open_)
+        if ask is None:
+            # links of rows without a product are known unless their components differ; the largest one waits
+            labels, count = np.unique(comp[left], return_counts=True)
+            if len(labels) < 2:
+                return
+            left = left[comp[left] != labels[count.argmax()]] if count.max() > 1 else left
+        elif not len(left):
+            return
+        row = int(left[rows.weight[left].argmax()])
+        found = rule.links(rows.overlaps(row), int(rows.n[row]), rows.n) & (comp != comp[row])
+        if ask is None:
+            found &= open_
+        others, first = np.unique(comp[found], return_index=True)
+        for x in np.flatnonzero(found)[first].tolist():
+            yield row, x
+        comp[np.isin(comp, others)] = comp[row]
+        open_[row] = False
+
+
+def _product(rule: Rule):
+    """Links of a block's clusters: rows that ask are multiplied with all rows, rows that can't ask (null) with each other."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cluster, sig, comp = (table[c].to_numpy() for c in ("cluster", "sig", "comp"))
+        alone, ask = table["ask"].is_null().to_numpy(), table["ask"].fill_null(False).to_numpy()
+        order = np.lexsort((~ask, sig, cluster))
+        order = order[np.append(True, (np.diff(cluster[order]) != 0) | (np.diff(sig[order]) != 0))]
+        a, b = [], []
+        for mine in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+            if len(mine) > 1 and (alone[mine[0]] or ask[mine].any()):
+                rows = _Incidence([np.frombuffer(table["grams"][int(k)].as_buffer(), np.uint64) for k in mine])
+                for x, y in _joined(rows, rule, comp[mine], None if alone[mine[0]] else ask[mine]):
+                    a.append(sig[mine[x]])
+                    b.append(sig[mine[y]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-def _verified(rule: Rule):
-    """Pairs whose texts' sets are similar enough; a set is hashed once for each run of pairs that share it."""
+    return run
 
-    def one(text: str, sig: int) -> np.ndarray | None:
-        raw = np.frombuffer((text or "").encode(), np.uint8)
-        w = tn.words(raw, np.array([0, len(raw)]), lower=True)
-        t, grams = sets(w, rule)
-        return grams if int(_signatures(t, grams, 1)[1][0]) == sig else None
+
+def _incidence_rows(rule: Rule):
+    """The n-grams of each text whose set is the one it stands for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, x = None, None
         for b in batches:
-            ok = []
-            for a, c, s, t in zip(b["a"].to_pylist(), b["b"].to_pylist(), b["text_a"], b["text_b"], strict=True):
-                if a != last or x is None:
-                    last, x = a, one(s.as_py(), a)
-                y = one(t.as_py(), c)
-                if x is None or y is None:
-                    ok.append(False)
-                    continue
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                ok.append(100 * both >= rule.percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
+            want = b["sig"].to_numpy()
+            for lo, hi, text, grams in _slices(b["text"], rule):
+                _, sig = _signatures(text, grams, hi - lo)
+                cuts = np.searchsorted(text, np.arange(hi - lo + 1))
+                same = np.flatnonzero(sig == want[lo:hi])
+                cells = [grams[cuts[k] : cuts[k + 1]].tobytes() for k in same.tolist()]
+                yield pa.RecordBatch.from_arrays([b["cluster"].take(pa.array(lo + same)), pa.array(sig[same]), pa.array(cells, pa.binary())], names=["cluster", "sig", "grams"])
 
     return run
 
 
-def _verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """a, b, linked of pairs of set hashes; each set is read from the text of its first document."""
-    of = lambda side: reps.select(F.col("sig").alias(side), F.col("id").alias(f"id_{side}"))
-    texts = docs.where("id is not null")
-    known = pairs.join(of("a"), "a").join(of("b"), "b")
-    one = known.join(texts, known["id_b"] == texts["id"]).select("a", "b", "id_a", F.col("text").alias("text_b"))
-    both = one.join(texts, one["id_a"] == texts["id"]).select("a", "b", F.col("text").alias("text_a"), "text_b")
-    return both.mapInArrow(_verified(rule), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
-
-
-def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it is small enough."""
+    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
+
+
+def _links(clusters: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """a, b: links that span the components of the sets, given sets (sig, id, n, cluster) in clusters."""
+    sums = clusters.groupBy("cluster").agg(F.sum("n").alias("mass"))
+    wide = stored(sums.where(F.col("mass") > rule.block).select("cluster", F.ceil(F.col("mass") / rule.block).cast("int").alias("parts")), "ngram-wide")
+    total = clusters.agg(F.sum("n")).first()[0] or 0
+    buckets, any_wide = max(1, -(-total // rule.block)), not wide.isEmpty()
+    grams = clusters.select(F.col("id").alias("of"), "sig", "cluster")
+    texts = docs.where("id is not null").join(_small(grams), F.col("id") == F.col("of")).select("cluster", "sig", "text")
+    rows = texts.mapInArrow(_incidence_rows(rule), "cluster long, sig long, grams binary")
+    product = lambda df: stored(df.groupBy("block").applyInArrow(_product(rule), "a long, b long"), "ngram-links")
+    alone = lambda df, block: df.select(block.alias("block"), "cluster", F.col("sig").alias("comp"), F.lit(None).cast("boolean").alias("ask"), "sig", "grams")
+    bucket = F.pmod(F.xxhash64("cluster"), F.lit(buckets))
+    if not any_wide:
+        return product(alone(rows, bucket))
+    rows = stored(rows.join(_small(wide), "cluster", "left").dropDuplicates(["sig"]), "ngram-rows")
+    part = lambda seed, n: F.pmod(F.xxhash64("sig", F.lit(seed)), n)
+    own = lambda *c: F.xxhash64("cluster", *c)
+    links = product(alone(rows, F.when(F.col("parts").isNull(), bucket).otherwise(own(part(0, F.col("parts"))))))
+    rows = rows.where("parts is not null")
+
+    def labelled(links: DataFrame) -> DataFrame:
+        parts = connected_components(links)
+        return rows.join(parts.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("component", "sig")).drop("component")
+
+    # one row of each component, that with the most links: parts of one group of copies meet here
+    degree = links.select(F.col("a").alias("sig")).unionByName(links.select(F.col("b").alias("sig"))).groupBy("sig").agg(F.count(F.lit(1)).alias("degree"))
+    chosen = labelled(links).drop("grams").join(degree, "sig", "left").groupBy("cluster", "comp").agg(F.max_by("sig", F.struct(F.coalesce("degree", F.lit(0)), "sig")).alias("sig"))
+    heads = rows.join(chosen.select("sig"), "sig", "left_semi")
+    room = heads.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("grams") / 8) / rule.block).cast("int").alias("room"))
+    links = links.unionByName(product(alone(heads.join(_small(room), "cluster"), own(part(1, F.col("room"))))))
+    # every row outside of its cluster's largest component with all rows of the cluster
+    at = stored(labelled(links), "ngram-rows")
+    largest = at.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("many")).groupBy("cluster").agg(F.max_by("comp", F.struct("many", "comp")).alias("largest"))
+    asks = at.join(_small(largest), "cluster").where("comp <> largest")
+    sides = asks.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("grams") / 8) / rule.block).cast("int").alias("sides"))
+    asks, sides = asks.join(_small(sides), "cluster"), _small(sides)
+    spread = lambda df, mine, others, asking: df.withColumn("other", F.explode(F.sequence(F.lit(0), others - 1))).select(
+        own(*((mine, F.col("other")) if asking else (F.col("other"), mine))).alias("block"), "cluster", "comp", F.lit(asking).alias("ask"), "sig", "grams")
+    asking = spread(asks, part(2, F.col("sides")).cast("int"), F.col("parts"), True)
+    asked = spread(at.join(sides, "cluster"), part(3, F.col("parts")).cast("int"), F.col("sides"), False)
+    return links.unionByName(product(asking.unionByName(asked)))
+
+
+def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rule: Rule | None = None) -> DataFrame:
     """Set size and component of every document: doc_id, n_shingles, component_id.
 
     Two documents link when the Jaccard similarity of their sets of
@@ -224,36 +391,20 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col:
     repeated rows are all returned. Other columns are ignored; an empty table
     gives an empty result.
     """
-    rule, spark = Rule(size, percent), docs.sparkSession
+    rule, spark = rule or Rule(size, percent), docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     scan = stored(docs.mapInArrow(_scan(rule), _SCAN), "ngram-scan")
     rows = scan.where("block is null").select("id", "n", "sig")
-    reps = stored(rows.where("n > 0 and id is not null").groupBy("sig").agg(F.min("id").alias("id")), "ngram-sets")
-    buckets = group_count(docs)
+    reps = stored(rows.where("n > 0 and id is not null").groupBy("sig").agg(F.min("id").alias("id"), F.max("n").alias("n")), "ngram-sets")
     shared = spark.sparkContext.broadcast(_frequencies(scan))
-    blocks = docs.where("id is not null").mapInArrow(_prefixes(rule, shared, buckets), _PREFIX)
-    members = stored(blocks.groupBy("bucket").applyInArrow(_shared_columns, _MEMBERS), "ngram-columns")
-
-    def possible(a: str, b: str) -> Column:
-        n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-        need = rule.needed(n, m)
-        return (n - F.col(f"{a}.place") >= need) & (m - F.col(f"{b}.place") >= need) & (F.least(n, m) * 100 >= F.greatest(n, m) * rule.percent)
-
-    first = members.groupBy("gram").agg(F.min(F.struct("sig", "n", "place")).alias("c")).select("gram", F.col("c.sig").alias("sig"), F.col("c.n").alias("n"), F.col("c.place").alias("place")).alias("a")
-    star = members.alias("b").join(first, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.sig") != F.col("b.sig")) & possible("a", "b"))
-    overlaps = star.groupBy(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).agg(F.count(F.lit(1)).alias("overlap"))
-    pairs = stored(overlaps.groupBy("b").agg(F.max_by("a", F.struct("overlap", "a")).alias("a")).select("a", "b"), "ngram-star")
-    checked = stored(_verify(pairs, reps, docs, rule), "ngram-pairs")
-    label = lambda links: connected_components(links.where("linked").select("a", "b"))
-    at = members.join(label(checked), members["sig"] == F.col("node"), "left").select("gram", "sig", "n", "place", F.coalesce("component", "sig").alias("part"))
-    split = at.groupBy("gram").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("gram")
-    left = stored(at.join(split, "gram", "left_semi"), "ngram-open")
-    other = left.alias("a").join(left.alias("b"), (F.col("a.gram") == F.col("b.gram")) & (F.col("a.part") != F.col("b.part")) & (F.col("a.sig") < F.col("b.sig")) & possible("a", "b"))
-    tried = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = other.select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    rest = stored(rest, "ngram-rest")
-    more = stored(_verify(rest, reps, docs, rule), "ngram-pairs")
-    links = checked.unionByName(more).where("linked").select("a", "b")
+    columns = docs.where("id is not null").mapInArrow(_prefixes(rule, shared, group_count(docs)), _PREFIX)
+    edges = stored(columns.groupBy("bucket").applyInArrow(_chained(rule), _EDGES), "ngram-edges")
+    split = edges.where("gram is not null").select("gram", "a")
+    heads = split.groupBy("gram").agg(F.min("a").alias("b"))
+    chained = edges.where("gram is null").select("a", "b").unionByName(split.join(heads, "gram").select("a", "b"))
+    clusters = connected_components(chained)
+    blocks = stored(reps.join(clusters, reps["sig"] == clusters["node"]).select("sig", "id", "n", F.col("component").alias("cluster")), "ngram-blocks")
+    links = _links(blocks, docs, rule)
     as_ids = links.join(reps.select(F.col("sig").alias("a"), F.col("id").alias("x")), "a").join(reps.select(F.col("sig").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
     parts = connected_components(as_ids)
     of_set = reps.join(parts, reps["id"] == parts["node"], "left").select(F.col("sig").alias("set"), F.coalesce("component", "id").alias("part"))
