@@ -14,7 +14,7 @@ from paceline.llm.spread import stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; null and empty texts go, repeated rows and null ids are judged like any other."""
     return quality_filter(docs)
 
 
@@ -29,17 +29,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; with an empty benchmark all stay."""
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with surrogates for their personal data."""
-    return without_pii(docs)
+    """Documents with surrogates for their personal data, drawn with the key in ``spark.paceline.pii.key``; null texts stay null."""
+    return without_pii(docs, key=spark.conf.get("spark.paceline.pii.key", "pipeline"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to their sources' target weights, globally shuffled."""
+    """Documents repeated to their sources' target weights, globally shuffled; a null source is a source of its own."""
     return mix_sources(docs)
 
 
