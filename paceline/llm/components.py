@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.spread import stored
+from paceline.llm.spread import discard, stored
 
 MAX_ROUNDS = 60
 
@@ -26,7 +26,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest reachable node) of every node with an edge to another.
 
     ``edges`` has two columns of longs. Each round is written to the shared
-    folder; nothing is gathered on the driver but a count and a hash.
+    folder, and the round before deleted; nothing is gathered on the driver
+    but a count and a hash.
     """
     a, b = edges.columns[:2]
     now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "cc")
@@ -36,7 +37,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, False)
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        now = stored(_star(down, True), "cc")
+        last, now = now, stored(_star(down, True), "cc")
+        discard(last)
         after = mark(now)
         if after == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

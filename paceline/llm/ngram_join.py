@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from paceline.llm import textnum as tn
 from paceline.llm.components import connected_components
-from paceline.llm.spread import group_count, stored
+from paceline.llm.spread import discard, group_count, stored
 
 #: Counters of the frequency sketch (4 bytes each), how many make one row, and groups of tasks that add theirs up first.
 COUNTERS, BLOCK, SKETCH_PARTS = 1 << 20, 1 << 14, 512
@@ -407,6 +407,7 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col:
     links = _links(blocks, docs, rule)
     as_ids = links.join(reps.select(F.col("sig").alias("a"), F.col("id").alias("x")), "a").join(reps.select(F.col("sig").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
     parts = connected_components(as_ids)
+    discard(edges, blocks)
     of_set = reps.join(parts, reps["id"] == parts["node"], "left").select(F.col("sig").alias("set"), F.coalesce("component", "id").alias("part"))
     joined = rows.join(of_set, (rows["sig"] == of_set["set"]) & (rows["n"] > 0) & rows["id"].isNotNull(), "left")
     return joined.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("part", "id").alias("component_id"))

@@ -6,6 +6,12 @@ whatever their spelling or case; surrogates that two entities share, or that
 equal a real entity, are drawn anew until none is left. A surrogate is then
 written in each mention's own format: digits stay digits, letters keep their
 case and script, separators stay, and names keep the gender of their title.
+Names are replaced word by word, so a family name alone and one after a given
+name stay the same person's. Card numbers and IBANs get valid check digits;
+a bare run of 13 to 19 digits without one is no card and is left alone.
+
+Names are found by their titles only. The shared folder keeps keyed digests
+of entities and the new texts, no entity itself.
 """
 
 from __future__ import annotations
@@ -13,12 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.spread import stored
+from paceline.llm.spread import discard, stored
 
 _EDGE = r"(?<![\p{L}\p{N}._%+-])"
 _MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин")
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Госпожа")
-_NAME = r"\p{Lu}[\p{L}'’-]{1,40}+"
+_NEUTRAL = ("Dr", "Prof", "Doctor", "Professor", "Doktor", "Docteur", "Доктор")
+_NAME = r"\p{Lu}[\p{L}'’-]++"
 _TITLE = r"\b(?:%s)\.? "
 # Lengths of IBANs and the countries that use them.
 IBAN_LENGTHS = {
@@ -38,24 +45,30 @@ _PHONES = (
     r"(?<![\d+])\+\d{1,3}[ .-]?\(\d{1,5}\)[ ./-]?\d{4,9}(?:-\d{1,4})?(?!\d)",
     r"(?<![\d+])(?:\(0[1-9]\d{1,4}\) ?|0[1-9]\d{1,3} ?[ /-] ?)(?:\d{5,8}(?:-\d{1,4})?|\d{2,3}(?: \d{2,3}){1,3})(?!\d)",
 )
+# IPv6 addresses in full and with one run of zero groups left out.
+_SIX = r"(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|[0-9a-fA-F]{3,4}(?::[0-9a-fA-F]{1,4}){0,5}::(?:[0-9a-fA-F]{1,4}:){0,5}[0-9a-fA-F]{1,4}"
 # Patterns of the entity types, tried in this order at each place. A name is matched with its title.
 PATTERNS = {
-    "email": _EDGE + r"[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{32,128}+|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,80}|sk-[0-9A-Za-z_-]{20,80})(?![0-9A-Za-z])",
+    "email": _EDGE + r"[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
+    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{32,}+|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}+|sk-[0-9A-Za-z_-]{20,}+)(?![0-9A-Za-z])",
     "iban": rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}\d{{2}})(?:{_IBANS}|[A-Z]{{2}}\d{{2}}(?: ?\d{{4}}){{3,7}}(?: ?\d{{1,4}})?)(?![0-9A-Za-z])",
-    "ip": r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
+    "ip": rf"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){{3}}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)|(?=[0-9a-fA-F])(?<![\w:.])(?:{_SIX})(?![\w:])",
     "ssn": r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?=\d)(?:(?<![\d-])(?:\d{4}[ -]){3}\d{4}(?![\d-])|(?<!\d)\d{13,19}(?!\d))",
     "phone": rf"(?=[\d+(])(?:{'|'.join(_PHONES)})",
-    "male": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_MALE)}{_NAME}(?: {_NAME})?",
-    "female": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_FEMALE)}{_NAME}(?: {_NAME})?",
+    "male": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_MALE)}{_NAME}(?: {_NAME}){{0,2}}",
+    "female": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_FEMALE)}{_NAME}(?: {_NAME}){{0,2}}",
+    "person": rf"(?=\p{{Lu}}){_TITLE % '|'.join(_NEUTRAL)}{_NAME}(?: {_NAME}){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+NAMES = ("male", "female", "person")
 #: No entity is without one of these.
-HINT = r"[0-9@]|[HMSFГ](?:rs?|s|iss|me|lle|onsieur|adame|err|rau|eñora?|ra?|осподин|оспожа)\b|A[KS]IA|gh[pousr]_|sk-|[a-fA-F]{32}"
-# Syllables of surrogate names by script, and name endings by script and gender.
+HINT = r"[0-9@]|\b(?:Dr|Prof|Do[ck]t|Доктор)|[HMSFГ](?:rs?|s|iss|me|lle|onsieur|adame|err|rau|eñora?|ra?|осподин|оспожа)\b|A[KS]IA|gh[pousr]_|sk-|[a-fA-F]{32}"
+# Syllables of surrogate names by script, and endings of given names by script and gender.
 SYLLABLES = {"latin": "ba be da do ka le li ma mi na ne no ra re ri ro sa se ta ti va vi".split(), "cyrillic": "ба ва да ка ле ли ма ми на не ра ро са та ти".split(), "greek": "βα δα κα λε λι μα μι να νε ρα ρο σα τα τι".split()}
-ENDINGS = {("latin", "male"): "n", ("latin", "female"): "a", ("cyrillic", "male"): "н", ("cyrillic", "female"): "а", ("greek", "male"): "ς", ("greek", "female"): "α"}
+ENDINGS = {"latin": {"male": "n", "female": "a", "person": "e"}, "cyrillic": {"male": "н", "female": "а", "person": "е"}, "greek": {"male": "ς", "female": "α", "person": "ε"}}
+#: Ending of a family name in Cyrillic after a woman's title.
+FEMALE_FAMILY = "а"
 MAX_ROUNDS = 32
 
 
@@ -70,7 +83,7 @@ def _kind(value: Column) -> Column:
 
 def _title(value: Column) -> Column:
     """The title of a name with the space after it; empty for other values."""
-    return F.regexp_extract(value, "^(" + _TITLE.replace("\\b", "") % "|".join(_MALE + _FEMALE) + ")", 1)
+    return F.regexp_extract(value, "^(" + _TITLE.replace("\\b", "") % "|".join(_MALE + _FEMALE + _NEUTRAL) + ")", 1)
 
 
 def _bare(value: Column) -> Column:
@@ -81,8 +94,33 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
 
+def _luhn(digits: Column) -> Column:
+    """Luhn sum of a run of digits; 0 if its last digit is the check digit of the rest."""
+
+    def weight(c: Column, i: Column) -> Column:
+        twice = c.cast("int") * (i % 2 + 1)
+        return twice - F.when(twice > 9, 9).otherwise(0)
+
+    return F.aggregate(F.transform(F.split(F.reverse(digits), ""), weight), F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10
+
+
+def _mod97(text: Column) -> Column:
+    """Remainder by 97 of digits and capitals read as numbers from A = 10."""
+    step = lambda a, c: F.when(c.between("0", "9"), a * 10 + c.cast("int")).otherwise(a * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), step)
+
+
 def _canonical(kind: Column, value: Column) -> Column:
-    return F.when(kind.isin("phone", "card", "ssn"), _digits(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when((kind == "secret") & ~value.rlike("[G-Zg-z_-]"), F.lower(value)).when(kind == "email", F.lower(value)).when(kind.isin("male", "female"), F.lower(_bare(value))).otherwise(value)
+    return F.when(kind.isin("phone", "card", "ssn"), _digits(value)).when(kind == "iban", F.replace(value, F.lit(" "), F.lit(""))).when((kind == "secret") & ~value.rlike("[G-Zg-z_-]"), F.lower(value)).when(kind.isin("email", "ip"), F.lower(value)).otherwise(value)
+
+
+def _units(kind: Column, value: Column) -> Column:
+    """The parts of a mention that get surrogates: a name's words, or all of it (j, unit, canonical, part)."""
+    words = F.split(_bare(value), " ")
+    last = F.size(words) - 1
+    of_name = F.transform(words, lambda w, j: F.struct(j.alias("j"), F.when(j == last, F.lit("family")).otherwise(F.concat(F.lit("given_"), kind)).alias("unit"), F.lower(w).alias("canonical"), w.alias("part")))
+    whole = F.array(F.struct(F.lit(0).alias("j"), kind.alias("unit"), _canonical(kind, value).alias("canonical"), value.alias("part")))
+    return F.when(kind.isin(*NAMES), of_name).otherwise(whole)
 
 
 def _byte(digest: Column, i: Column) -> Column:
@@ -116,60 +154,78 @@ def _surrogate(kind: Column, canonical: Column, digest: Column) -> Column:
     phone = F.concat(F.substring(canonical, F.lit(1), code), F.substring(digits, code + 1, F.length(canonical)))
     octets = F.array_join(F.array(*((F.pmod(_byte(digest, F.lit(3 * k)), F.lit(254)) + 1).cast("string") for k in range(4))), ".")
     hexes = F.array_join(F.transform(F.split(canonical, ""), lambda c, i: F.substring(digest, F.pmod(i, F.lit(127)) + 1, F.lit(1))), "")
-    at = F.instr(canonical, F.lit("@"))
+    at, at_colon = F.instr(canonical, F.lit("@")), F.instr(canonical, F.lit(":"))
     dot = F.length(canonical) - F.length(F.substring_index(canonical, ".", -1))
     email = F.concat(_same_class(F.substring(canonical, F.lit(1), dot - 1), digest), F.substring(canonical, dot, F.length(canonical)))
     email = F.when(at > 0, email)
-    iban = F.concat(F.substring(canonical, 1, 2), F.substring(_same_class(canonical, digest), F.lit(3), F.length(canonical)))
+    country, account = F.substring(canonical, 1, 2), F.substring(_same_class(canonical, digest), F.lit(5), F.length(canonical))
+    iban = F.concat(country, F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
+    card = F.concat(F.substring(canonical, 1, 1), F.substring(digits, F.lit(2), F.length(canonical) - 2))
+    card = F.concat(card, ((10 - _luhn(F.concat(card, F.lit("0")))) % 10).cast("string"))
+    six = F.array_join(F.transform(F.split(canonical, ""), lambda c, i: F.when(c == ":", c).otherwise(F.substring(digest, F.pmod(i, F.lit(127)) + 1, F.lit(1)))), "")
     prefix = F.regexp_extract(canonical, r"^(AKIA|ASIA|gh[pousr]_|sk-)", 1)
     keyed = F.concat(prefix, F.substring(_same_class(canonical, digest), F.length(prefix) + 1, F.length(canonical)))
     script = F.when(canonical.rlike(r"\p{IsCyrillic}"), "cyrillic").when(canonical.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
-    def name(word: Column, w: Column) -> Column:
-        def made(of: str) -> Column:
-            bank = F.array(*map(F.lit, SYLLABLES[of]))
-            pick = lambda k: F.get(bank, F.pmod(_byte(digest, w * 8 + k), F.lit(len(SYLLABLES[of]))))
-            end = F.when(kind == "male", ENDINGS[of, "male"]).otherwise(ENDINGS[of, "female"])
-            return F.concat(*(pick(k) for k in range(5)), F.when(w == 0, end).otherwise(F.lit("")))
-
-        return F.when(script == "cyrillic", made("cyrillic")).when(script == "greek", made("greek")).otherwise(made("latin"))
+    def name(of: str) -> Column:
+        bank = F.array(*map(F.lit, SYLLABLES[of]))
+        pick = lambda k: F.get(bank, F.pmod(_byte(digest, F.lit(k)), F.lit(len(SYLLABLES[of]))))
+        end = F.lit("")
+        for gender, x in ENDINGS[of].items():
+            end = F.when(kind == f"given_{gender}", x).otherwise(end)
+        return F.concat(*(pick(k) for k in range(5)), end)
 
-    names = F.array_join(F.transform(F.split(canonical, " "), name), " ")
-    return F.when(kind == "email", email).when(kind == "secret", F.when(canonical.rlike("^[0-9a-f]+$"), hexes).otherwise(keyed)).when(kind == "iban", iban).when(kind == "ip", octets).when(kind == "phone", phone).when(kind.isin("card", "ssn"), digits).otherwise(names)
+    names = F.when(script == "cyrillic", name("cyrillic")).when(script == "greek", name("greek")).otherwise(name("latin"))
+    return F.when(kind == "email", email).when(kind == "secret", F.when(canonical.rlike("^[0-9a-f]+$"), hexes).otherwise(keyed)).when(kind == "iban", iban).when(kind == "ip", F.when(at_colon > 0, six).otherwise(octets)).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", digits).otherwise(names)
 
 
-def _written(kind: Column, value: Column, surrogate: Column) -> Column:
-    """A canonical surrogate in the format of a mention."""
+def _written(kind: Column, unit: Column, value: Column, surrogate: Column) -> Column:
+    """A canonical surrogate in the format of the part of a mention that it replaces."""
     chars = F.split(value, "")
     digits = F.array_join(F.transform(chars, lambda c, i: F.when(c.between("0", "9"), F.substring(surrogate, F.length(_digits(F.substring(value, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
     spaced = F.array_join(F.transform(chars, lambda c, i: F.when(c == " ", c).otherwise(F.substring(surrogate, F.length(F.replace(F.substring(value, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1)))), "")
-    cased = F.when((value == F.upper(value)) & (value != F.lower(value)), F.upper(surrogate)).otherwise(surrogate)
-    name = _bare(value)
-    titled = F.concat(_title(value), F.when(name == F.upper(name), F.upper(surrogate)).otherwise(F.initcap(surrogate)))
-    return F.when(kind.isin("phone", "card", "ssn"), digits).when(kind == "iban", spaced).when(kind.isin("male", "female"), titled).when((kind == "secret") & surrogate.rlike("[G-Zg-z_-]"), surrogate).otherwise(cased)
+    capital = (value == F.upper(value)) & (value != F.lower(value))
+    word = F.concat(surrogate, F.when((unit == "family") & (kind == "female") & value.rlike(r"\p{IsCyrillic}"), FEMALE_FAMILY).otherwise(""))
+    named = F.when(capital, F.upper(word)).otherwise(F.initcap(word))
+    return F.when(kind.isin("phone", "card", "ssn"), digits).when(kind == "iban", spaced).when(kind.isin(*NAMES), named).when((kind == "secret") & surrogate.rlike("[G-Zg-z_-]"), surrogate).when(capital, F.upper(surrogate)).otherwise(surrogate)
+
+
+def _digest(key: str, kind: Column, value: Column) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(key), kind, value), 256)
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """kind, canonical, surrogate of distinct entities; within a kind no two share one and none is a real value.
+    """entity (keyed digest), surrogate of distinct entities (kind, canonical); within a kind no two share one and none is a real value.
 
     Rounds draw again only for entities in conflict, all but the first of
-    those that share a surrogate; each round is written to the shared folder.
+    those that share a surrogate. A drawn surrogate depends on the entity's
+    digest and shape, so each round goes back to the entities for those that
+    it redraws; the table in the shared folder has digests and surrogates.
     """
-    first = stored(entities.select("kind", "canonical").distinct(), "pii-entities")
-    drawn = lambda n: _surrogate(F.col("kind"), F.col("canonical"), F.sha2(F.concat_ws("|", F.lit(key), "kind", "canonical", F.lit(str(n))), 512))
-    mapping = stored(first.withColumn("surrogate", drawn(0)), "pii-map")
+    kind, canonical = F.col("kind"), F.col("canonical")
+    first = entities.select("kind", "canonical").distinct().withColumn("entity", _digest(key, kind, canonical))
+    drawn = lambda n: _surrogate(kind, canonical, F.sha2(F.concat_ws("|", F.lit(key), "kind", "canonical", F.lit(str(n))), 512))
+    mapping = stored(first.select("entity", "kind", drawn(0).alias("surrogate")), "pii-map")
     for n in range(1, MAX_ROUNDS):
-        shared = mapping.groupBy("kind", "surrogate").agg(F.min("canonical").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select("kind", "surrogate", "owner")
-        real = mapping.select(F.col("kind"), F.col("surrogate")).join(first.withColumnRenamed("canonical", "surrogate"), ["kind", "surrogate"], "left_semi").distinct()
+        shared = mapping.groupBy("kind", "surrogate").agg(F.min("entity").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select("kind", "surrogate", "owner")
+        real = mapping.withColumn("as_entity", _digest(key, kind, F.col("surrogate"))).join(mapping.select(F.col("entity").alias("as_entity")), "as_entity", "left_semi").select("kind", "surrogate").distinct()
         clash = shared.unionByName(real.withColumn("owner", F.lit(None).cast("string"))).groupBy("kind", "surrogate").agg(F.min("owner").alias("owner"), F.count_if(F.col("owner").isNull()).alias("real"))
-        clash = stored(clash, "pii-clash")
-        if clash.isEmpty():
+        redo = stored(mapping.join(clash, ["kind", "surrogate"]).where((F.col("real") > 0) | (F.col("entity") != F.col("owner"))).select("entity"), "pii-clash")
+        if redo.isEmpty():
+            discard(redo)
             return mapping
-        again = mapping.join(clash, ["kind", "surrogate"], "left").withColumn("redo", F.coalesce((F.col("real") > 0) | (F.col("canonical") != F.col("owner")), F.lit(False)))
-        mapping = stored(again.select("kind", "canonical", F.when(F.col("redo"), drawn(n)).otherwise(F.col("surrogate")).alias("surrogate")), "pii-map")
+        again = first.join(redo, "entity").select("entity", "kind", drawn(n).alias("surrogate"))
+        last, mapping = mapping, stored(mapping.join(redo, "entity", "left_anti").unionByName(again), "pii-map")
+        discard(last, redo)
     raise RuntimeError("surrogates still collide; the value space of some kind is too small")
 
 
+def row_key() -> Column:
+    """A digest of a row's id and text; rows that agree in both share it."""
+    name = F.col("id").cast("string")
+    return F.md5(F.concat(F.coalesce(F.length(name).cast("string"), F.lit("-")), F.lit("|"), F.coalesce(name, F.lit("")), F.lit("|"), F.coalesce("text", F.lit(""))))
+
+
 def _found(rows: DataFrame) -> DataFrame:
     """Rows with an entity hint: key, rest of the row, pieces of text between entities, and these (i, kind, value, canonical)."""
 
@@ -177,7 +233,7 @@ def _found(rows: DataFrame) -> DataFrame:
         return F.struct(i.alias("i"), v.alias("value"))
 
     values = F.transform(F.regexp_extract_all("text", F.lit(f"({ANY})"), 1), entity)
-    return rows.select("row", F.md5(F.concat_ws("|", F.col("id").cast("string"), "text")).alias("key"), F.split("text", ANY, -1).alias("pieces"), values.alias("entities"))
+    return rows.select("row", row_key().alias("key"), F.split("text", ANY, -1).alias("pieces"), values.alias("entities"))
 
 
 def replaced(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
@@ -190,19 +246,31 @@ def replaced(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     plain = rows.where(~hinted).select("row", "text", F.array().cast("array<string>").alias("kinds"))
     found = stored(_found(rows.where(hinted)), "pii-found")
-    raw = found.select("key", F.explode("entities").alias("e")).select("key", "e.*").withColumn("kind", _kind(F.col("value")))
-    mentions = raw.dropDuplicates(["key", "i"]).withColumn("canonical", _canonical(F.col("kind"), F.col("value")))
-    mapping = surrogates(mentions, key)
-    written = mentions.join(mapping, ["kind", "canonical"]).select("key", F.struct("i", "kind", _written(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new")).alias("m"))
-    per_row = written.groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    kind = _kind(F.col("value"))
+    bare = F.col("value").rlike("^[0-9]+$") & (_luhn(F.col("value")) != 0)
+    raw = found.select("key", F.explode("entities").alias("e")).select("key", "e.*").withColumn("kind", kind).withColumn("kind", F.when((F.col("kind") == "card") & bare, None).otherwise(F.col("kind")))
+    mentions = raw.dropDuplicates(["key", "i"])
+    units = mentions.where("kind is not null").withColumn("u", F.explode(_units(F.col("kind"), F.col("value")))).select("key", "i", "kind", "value", "u.*")
+    mapping = surrogates(units.select(F.col("unit").alias("kind"), "canonical"), key)
+    joined = units.withColumn("entity", _digest(key, F.col("unit"), F.col("canonical"))).join(mapping.select("entity", "surrogate"), "entity")
+    parts = joined.select("key", "i", "kind", "value", F.struct("j", _written(F.col("kind"), F.col("unit"), F.col("part"), F.col("surrogate")).alias("new")).alias("p"))
+    whole = parts.groupBy("key", "i").agg(F.first("kind").alias("kind"), F.first("value").alias("value"), F.sort_array(F.collect_list("p")).alias("p"))
+    written = whole.select("key", F.struct("i", "kind", F.concat(_title(F.col("value")), F.array_join("p.new", " ")).alias("new")).alias("m"))
+    others = mentions.where("kind is null").select("key", F.struct("i", "kind", F.col("value").alias("new")).alias("m"))
+    per_row = written.unionByName(others).groupBy("key").agg(F.sort_array(F.collect_list("m")).alias("m"))
     joined = found.select("key", "row", "pieces").join(per_row, "key", "left")
     text = F.array_join(F.zip_with("pieces", F.coalesce(F.col("m.new"), F.array().cast("array<string>")), lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
-    return plain.unionByName(joined.select("row", text.alias("text"), F.coalesce(F.col("m.kind"), F.array().cast("array<string>")).alias("kinds")))
+    kinds = F.filter(F.coalesce(F.col("m.kind"), F.array().cast("array<string>")), lambda k: k.isNotNull())
+    masked = stored(joined.select("row", text.alias("text"), kinds.alias("kinds")), "pii-masked")
+    discard(found, mapping)
+    return plain.unionByName(masked)
 
 
-def replace_pii(docs: DataFrame, key: str = "corpus", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Texts with their entities replaced: doc_id, text, n_entities and counts by kind.
 
+    ``key`` is the job's secret: who has it can draw a surrogate again.
+
     Null texts stay null and empty ones empty, with no entities. Rows with a
     null or repeated id are replaced like any other; all mentions of one
     entity get one surrogate in the whole table. Other columns are ignored;
@@ -213,7 +281,7 @@ def replace_pii(docs: DataFrame, key: str = "corpus", id_col: str = "doc_id", te
     return out.select(F.col(f"row.{id_col}").alias("doc_id"), "text", F.size("kinds").cast("long").alias("n_entities"), *map(n, PATTERNS))
 
 
-def without_pii(docs: DataFrame, key: str = "corpus", id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+def without_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents with replaced texts and their other columns, the length column following the new text."""
     out = replaced(docs, key, id_col, text_col)
     fresh = {text_col: F.col("text"), length_col: F.length("text").cast("long")}

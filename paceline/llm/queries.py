@@ -17,6 +17,10 @@ from paceline.llm.substring_dedup import substring_dedup
 from paceline.llm.warc import warc_round_trip
 
 
+#: The registered query's key; a job passes a secret of its own.
+PII_KEY = "registered query"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,7 +43,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_pii(_table(spark, sf_dir, "documents"))
+    return replace_pii(_table(spark, sf_dir, "documents"), PII_KEY)
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

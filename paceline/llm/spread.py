@@ -21,28 +21,32 @@ def group_of(id_col: str, text_col: str, n: int) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; tests without one get a local folder."""
+    """The folder that all executors share. Local runs without one, such as tests, get a temporary folder."""
     import tempfile
 
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
-
-    Spark deletes shuffle files once the driver has collected the plans that
-    made them; asking for that here keeps long operators from holding the
-    shuffles of all their steps at once.
-    """
-    import gc
+    """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage."""
     import uuid
 
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote for tables that nothing will read again."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(t._stored_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

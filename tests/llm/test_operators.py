@@ -103,7 +103,7 @@ def test_large_rates_are_summed_from_parts(spark):
 def test_pii_is_consistent_and_distinct(spark):
     rows = [(1, "Mr. John Smith and Mrs Anna Lee: A.b@C.com, a.B@c.COM, +1 (017) 555-7713 / +1 017 555 7713."), (2, "Herr Müller kennt Frau Иванова; Mr. JOHN SMITH; 4953 9022 5303 5282 10.1.2.3"), (None, 'token = "0b96a8c8d79c4a5085c9196b44e15e09fd311c3c"'), (4, None), (5, ""), (1, "again a.b@c.com"), (1, "again a.b@c.com"), (6, "no entity here 12")]
     d = spark.createDataFrame([(i, t, "k", 7, "e") for i, t in rows], "doc_id long, text string, key string, n_chars long, entities string")
-    out = replace_pii(d).collect()
+    out = replace_pii(d, "k").collect()
     assert len(out) == len(rows)
     text = " ".join(r.text or "" for r in out)
     for secret in ("John", "JOHN", "Anna", "Müller", "Иванова", "b@C", "555", "4953", "10.1.2.3", "0b96a8c8d79c"):
@@ -115,14 +115,14 @@ def test_pii_is_consistent_and_distinct(spark):
     names = re.findall(r"Mr\. (\p{L}+ \p{L}+)".replace(r"\p{L}", "[^\\W\\d_]"), text)
     assert names[0].lower() == names[1].lower() and {n.isupper() for n in names} == {True, False}
     assert re.search("Frau [А-Яа-я]+а", text) and [r for r in out if r.doc_id == 6][0].text == "no entity here 12"
-    kept = without_pii(d)
+    kept = without_pii(d, "k")
     assert kept.columns == d.columns and {r.n_chars for r in kept.collect() if r.text} == {len(r.text) for r in kept.collect() if r.text}
 
 
 def test_pii_collisions_are_redrawn(spark):
     values = [f"{i}-{i + 10}-{i + 2000}" for i in range(100, 900)] + [f"10.0.{i // 250}.{i % 250}" for i in range(1500)]
     d = spark.createDataFrame([(i, f"x {v} y") for i, v in enumerate(values)], "doc_id long, text string")
-    found = [r.text for r in replace_pii(d).collect()]
+    found = [r.text for r in replace_pii(d, "k").collect()]
     real = {f"x {v} y" for v in values}
     masked = [t for t in found if t not in real]
     assert len(set(masked)) == len(masked) and len(masked) >= 1500
@@ -323,6 +323,6 @@ def test_empty_tables(spark):
     d = spark.createDataFrame([], SCHEMA)
     p = spark.createDataFrame([], "page_id long, url string, html string")
     b = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
-    for out in (substring_dedup(d), mix_sources(d), replace_pii(d), quality_rules.quality_rules(d), license_scan(d), ngram_components(d), lm_scores(d), find_leaks(d, b), extract_text(p)):
+    for out in (substring_dedup(d), mix_sources(d), replace_pii(d, "k"), quality_rules.quality_rules(d), license_scan(d), ngram_components(d), lm_scores(d), find_leaks(d, b), extract_text(p)):
         assert out.count() == 0
     assert warc_round_trip(p).count() == 0
