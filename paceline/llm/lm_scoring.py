@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ from paceline.llm.spread import group_count, group_of, stored
 WORDS, CLASSES = 767, 256
 SYMBOLS = 1 + WORDS + CLASSES  # symbol 0 is the end of a text, and what stands before its start
 DIM, BATCH, NOISE, RATE, ROUNDS = 16, 4096, 64, 0.15, 2
+#: Parameters in one piece of the model, and groups of tasks that add theirs up first.
+PIECE, SUM_PARTS = 8192, 512
 #: Documents whose crc32(id) has this remainder are held out of training.
 MODULUS, HELD_OUT = 7, 2
 
@@ -115,10 +118,11 @@ def _total(top: int):
         every, n = np.concatenate(hashes), np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()])
         kind = np.concatenate([np.frombuffer(x, np.uint8) for x in table["classes"].to_pylist()])
         distinct, first, which = np.unique(every, return_index=True, return_inverse=True)
-        total = np.bincount(which, weights=n, minlength=len(distinct)).astype(np.uint64)
+        total = np.zeros(len(distinct), np.uint64)
+        np.add.at(total, which, n.astype(np.uint64))
         kind = kind[first]
         cuts = np.cumsum([0, *map(len, hashes)])
-        counts = [np.minimum(total[which[a:b]], 2**32 - 1).astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        counts = [total[which[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         known = total > 0
         sizes = np.stack([np.bincount(kind[known], weights=total[known], minlength=CLASSES), np.bincount(kind[known], minlength=CLASSES)])
         best = np.lexsort((distinct, -total.astype(np.int64)))[:top]
@@ -271,6 +275,18 @@ def round_share(docs: DataFrame, k: int) -> DataFrame:
     return docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(ROUNDS)) == k)
 
 
+_SUMS = "v binary, n double"
+
+
+def _add_pieces(table: pa.Table) -> pa.Table:
+    """Sums of the weighted parameters of one piece, and of their weights."""
+    total = np.zeros(PIECE)
+    for x in table["v"]:
+        v = np.frombuffer(x.as_buffer())
+        total = total[: len(v)] + v
+    return pa.table({"at": table["at"][:1], "part": table["part"][:1], "v": pa.array([total.tobytes()], pa.binary()), "n": pa.array([sum(table["n"].to_pylist())])})
+
+
 def _fit(spark_docs: DataFrame, vocab: Vocabulary) -> Model:
     """Rounds of local training in tasks, averaged by tokens; each round takes its share of the training texts."""
     spark = spark_docs.sparkSession
@@ -291,12 +307,15 @@ def _fit(spark_docs: DataFrame, vocab: Vocabulary) -> Model:
                     train_on(model, squares, rows[rng.permutation(len(rows))], noise, rng)
                     seen += len(rows)
             if seen:
-                yield pa.record_batch({"at": np.arange(width, dtype=np.int32), "v": model.flat().astype(np.float64) * seen, "n": np.full(width, float(seen))})
-
-        sums = round_share(spark_docs, k).select("id", "text").mapInArrow(local, "at int, v double, n double").groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v"))
-        mean = sums.collect()  # as many rows as the model has parameters
-        for r in mean:
-            flat[r["at"]] = r["v"]
+                total, part = model.flat().astype(np.float64) * seen, TaskContext.get().partitionId() % SUM_PARTS
+                cells = [total[a : a + PIECE].tobytes() for a in range(0, width, PIECE)]
+                yield pa.record_batch({"at": pa.array(range(len(cells)), pa.int32()), "part": pa.array([part] * len(cells), pa.int32()), "v": cells, "n": [float(seen)] * len(cells)})
+
+        sums = round_share(spark_docs, k).select("id", "text").mapInArrow(local, f"at int, part int, {_SUMS}")
+        for by in (("at", "part"), ("at",)):
+            sums = sums.groupBy(*by).applyInArrow(_add_pieces, f"at int, part int, {_SUMS}")
+        for r in sums.collect():  # the model's parameters in a few pieces
+            flat[r["at"] * PIECE :][:PIECE] = np.frombuffer(r["v"]) / r["n"]
         at.unpersist()
     return Model.of(flat)
 
@@ -315,7 +334,7 @@ def _score(shared, buckets: int):
         order, found, begin = tn.by_bucket(tn.bucket_of(g.hashes, buckets))
         said = dict(zip(right["bucket"].to_pylist(), right["counts"].to_pylist(), strict=True))
         for k, a, b in zip(found.tolist(), begin[:-1], begin[1:], strict=True):
-            counts[order[a:b]] = np.frombuffer(said[k], np.uint32)
+            counts[order[a:b]] = np.frombuffer(said[k], np.uint64).astype(np.int64)
         n = len(g.ids)
         per_text = lambda x: np.bincount(g.text, weights=x, minlength=n)
         n_end = int(vocab.tokens[0])
