@@ -158,18 +158,6 @@ def by_bucket(buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, present, np.append(begin, len(order))
 
 
-def shorts(hashes: np.ndarray) -> bytes:
-    """The low seven bytes of each hash; the bucket holds the high bits."""
-    return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
-
-
-def from_shorts(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 7)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :7] = raw
-    return out.view(np.uint64).reshape(-1)
-
-
 def first_of_each(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of first occurrences in ascending order, and for every item the index into them."""
     _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
