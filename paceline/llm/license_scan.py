@@ -61,6 +61,11 @@ def _index() -> tuple[list[tuple[str, int, int, float]], list[tuple[int, str, in
     return postings, [(k, t[0], min(MIN_AGREEING, per[k]), sums[k]) for k, t in enumerate(TEMPLATES)]
 
 
+def _row_key() -> Column:
+    """A digest of a row's id and text; rows that agree in both share it."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("|"), "text"))
+
+
 def _stands(joined: Column, phrase: str) -> Column:
     return F.instr(joined, F.lit(f" {phrase} ")) > 0
 
@@ -112,8 +117,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     plain = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     words = F.when(F.col("text").rlike(TRIGGER), F.regexp_extract_all(F.translate("text", upper, upper.lower()), F.lit(f"([^{SEPARATORS}]+)"), 1))
-    base = base.select("doc_id", "text", F.regexp_count("text", F.lit(f"[^{plain}]+")).cast("long").alias("n_words"), words.alias("words"), F.when(F.col("text").rlike(TRIGGER), F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), "text"))).alias("key0"))
-    base = base.withColumn("key", F.coalesce("key0", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), "text")))))
+    base = base.select("doc_id", "text", F.regexp_count("text", F.lit(f"[^{plain}]+")).cast("long").alias("n_words"), words.alias("words"), F.when(F.col("text").rlike(TRIGGER), _row_key()).alias("key0"))
+    base = base.withColumn("key", F.coalesce("key0", _row_key()))
     candidates = base.where("key0 is not null").select("key", "words").dropDuplicates(["key"]).withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
     found = _matches(candidates, spark)
     places = {label: _places(F.col("words"), phrase) for phrase, label in BASE_PHRASES.items()}
