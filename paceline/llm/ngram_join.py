@@ -6,10 +6,12 @@ the incidence matrix.
 Blocks: with all n-grams in one global order, two sets that are similar
 enough share an n-gram among the first n - ceil(t n) + 1 of each. The order
 puts frequent n-grams last, by a sketch of their counts over all documents.
-These deciding columns are dealt into buckets, where sets whose sizes and
-positions leave room for enough overlap are chained; the chained sets make
-the blocks of rows. A chain costs one edge a set, so a column of any number
-of copies gives as many edges as it has rows, never its pairs.
+These deciding columns are dealt into buckets. The sets of a column of few
+rows are paired where sizes and positions leave room for enough overlap; a
+longer column, such as that of a group of copies, chains its sets by size at
+one edge a row, so no column gives more than a fixed number of edges a row.
+Pairs are held against a bound of their overlap from counts of their n-grams
+by hash. What is left ties sets into the blocks of rows.
 
 Product: a block's rows come to one task with all of their n-grams. A row's
 product with the block accumulates its overlaps with all other rows over the
@@ -40,8 +42,8 @@ from paceline.llm.spread import discard, group_count, stored
 COUNTERS, BLOCK, SKETCH_PARTS = 1 << 20, 1 << 14, 512
 #: Blocks over which a frequent n-gram's column is split.
 SALTS = 64
-#: Members up to which all pairs of a column are held against the bounds; larger columns are chained by size.
-PAIRED = 256
+#: N-grams of a set to one count of those that share a hash, and least number of counts.
+PER_COUNT, LEAST_COUNTS = 4, 32
 #: Rows up to which the sets in blocks, and the blocks that are cut, are broadcast (some 32 bytes each).
 MAX_BROADCAST_ROWS = 200_000
 
@@ -50,13 +52,15 @@ MAX_BROADCAST_ROWS = 200_000
 class Rule:
     """Two sets link when 100 * intersection >= percent * union of their ``size``-word n-grams.
 
-    Columns of n-grams counted ``heavy`` times or more are split; blocks of more than ``block`` n-grams are cut.
+    Columns of up to ``paired`` rows are paired, longer ones chained, and those of n-grams counted ``heavy`` times or
+    more split; blocks of more than ``block`` n-grams are cut.
     """
 
     size: int = 5
     percent: int = 80
     heavy: int = 1 << 17
     block: int = 1 << 20
+    paired: int = 256
 
     def least(self, n: np.ndarray) -> np.ndarray:
         """Smallest overlap of a set of n with any set that it links to."""
@@ -104,23 +108,42 @@ def _slices(column, rule: Rule) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         yield lo, hi, *sets(tn.words(data, offsets[lo : hi + 1], lower=True), rule)
 
 
-_SCAN = "id long, n int, sig long, block int, part int, counts binary"
+def _count_hashes(text: np.ndarray, grams: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """For each text, counts (up to 255) of its n-grams by hash; the number of counts is a power of two that follows the size."""
+    width = np.maximum(LEAST_COUNTS, 1 << np.ceil(np.log2(np.maximum(size, 1) / PER_COUNT)).clip(0).astype(np.int64))
+    begin = np.append(0, np.cumsum(width))
+    spot = begin[text] + (grams % width[text].astype(np.uint64)).astype(np.int64)
+    counts = np.minimum(np.bincount(spot, minlength=begin[-1]), 255).astype(np.uint8).tobytes()
+    return [counts[a:b] if n else b"" for a, b, n in zip(begin[:-1].tolist(), begin[1:].tolist(), size.tolist(), strict=True)]
+
+
+def _most_overlap(a: bytes, b: bytes) -> int:
+    """A bound of the overlap of two sets from their counts."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if max(x.max(), y.max()) == 255:
+        return 2**62
+    width = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, width).sum(axis=0), y.reshape(-1, width).sum(axis=0)).sum())
+
+
+_SCAN = "id long, n int, sig long, hashes binary, block int, part int, counts binary"
 
 
 def _scan(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, schema = np.zeros(COUNTERS, np.uint32), pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.int64()), ("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+        sketch, schema = np.zeros(COUNTERS, np.uint32), pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.int64()), ("hashes", pa.binary()), ("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
         for b in batches:
-            size, sig = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            size, sig, hashes = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), []
             for lo, hi, text, grams in _slices(b["text"], rule):
                 size[lo:hi], sig[lo:hi] = _signatures(text, grams, hi - lo)
+                hashes += _count_hashes(text, grams, size[lo:hi])
                 sketch += np.bincount((grams >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-            nulls = [pa.nulls(b.num_rows, f.type) for f in schema][3:]
-            yield pa.RecordBatch.from_arrays([b["id"], pa.array(size, pa.int32()), pa.array(sig), *nulls], schema=schema)
+            nulls = [pa.nulls(b.num_rows, f.type) for f in schema][4:]
+            yield pa.RecordBatch.from_arrays([b["id"], pa.array(size, pa.int32()), pa.array(sig), pa.array(hashes, pa.binary()), *nulls], schema=schema)
         used = [k for k in range(COUNTERS // BLOCK) if sketch[k * BLOCK : (k + 1) * BLOCK].any()]
         part = [TaskContext.get().partitionId() % SKETCH_PARTS] * len(used)
         counts = [sketch[k * BLOCK : (k + 1) * BLOCK].astype(np.uint64).tobytes() for k in used]
-        nulls = [pa.nulls(len(used), f.type) for f in schema][:3]
+        nulls = [pa.nulls(len(used), f.type) for f in schema][:4]
         yield pa.RecordBatch.from_arrays([*nulls, pa.array(used, pa.int32()), pa.array(part, pa.int32()), pa.array(counts, pa.binary())], schema=schema)
 
     return run
@@ -204,11 +227,11 @@ def _pairs_of(begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return one, one + 1 + np.arange(after.sum()) - np.repeat(np.cumsum(after) - after, after)
 
 
-_EDGES = "gram long, a long, b long"
+_EDGES = "gram long, paired boolean, a long, b long"
 
 
-def _chained(rule: Rule):
-    """Edges that chain the sets of each column that can overlap enough; a part of a split column also names one of its sets."""
+def _tied(rule: Rule):
+    """Pairs of the short columns, chains of the long ones; a part of a split column also names the ends of its chains."""
 
     def run(table: pa.Table) -> pa.Table:
         read = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in table[c]]
@@ -223,23 +246,40 @@ def _chained(rule: Rule):
         begin = np.flatnonzero(np.append(True, np.diff(g) != 0))
         many = np.diff(np.append(begin, len(g)))
         names, at = np.unique(s, return_inverse=True)
-        found = []
-        paired = np.flatnonzero((many > 1) & (many <= PAIRED) & ~heavy[begin])
-        for lo in range(0, len(paired), 1 << 12):
-            k = paired[lo : lo + (1 << 12)]
-            for cut in np.split(k, np.flatnonzero(np.diff(np.cumsum(many[k] * many[k]) >> 21)) + 1):
-                x, y = _pairs_of(begin[cut], many[cut])
-                ok = rule.possible(n[x], p[x], n[y], p[y])
-                found.append(np.unique(np.minimum(at[x[ok]], at[y[ok]]) * len(names) + np.maximum(at[x[ok]], at[y[ok]])))
-        chain = np.repeat((many > PAIRED) | heavy[begin], many)
-        x = np.flatnonzero(chain[:-1] & (g[:-1] == g[1:]))
-        x = x[n[x] * 100 >= n[x + 1] * rule.percent] if len(x) else x
-        found.append(np.minimum(at[x], at[x + 1]) * len(names) + np.maximum(at[x], at[x + 1]))
-        keys = np.unique(np.concatenate(found))
-        keys = keys[_forest(keys // len(names), keys % len(names), len(names))]
+        key = lambda x, y: np.unique(np.minimum(at[x], at[y]) * len(names) + np.maximum(at[x], at[y]))
+        pairs = [np.zeros(0, np.int64)]
+        short = np.flatnonzero((many > 1) & (many <= rule.paired) & ~heavy[begin])
+        for cut in np.split(short, np.flatnonzero(np.diff(np.cumsum(many[short] * many[short]) >> 21)) + 1):
+            x, y = _pairs_of(begin[cut], many[cut])
+            ok = rule.possible(n[x], p[x], n[y], p[y])
+            pairs.append(key(x[ok], y[ok]))
+        pairs = np.unique(np.concatenate(pairs))
+        long = np.repeat((many > rule.paired) | heavy[begin], many)
+        x = np.flatnonzero(long[:-1] & (g[:-1] == g[1:]))
+        x = x[n[x] * 100 >= n[x + 1] * rule.percent]
+        chain = key(x, x + 1)
+        chain = chain[_forest(chain // len(names), chain % len(names), len(names))]
         # where a split column's sizes leave a gap, each run between gaps has an end for the other parts
-        ends = np.flatnonzero(heavy & np.append(True, (g[1:] != g[:-1]) | (n[:-1] * 100 < n[1:] * rule.percent)))
-        return pa.table({"gram": pa.array([None] * len(keys) + g[ends].tolist(), pa.int64()), "a": np.concatenate([names[keys // len(names)], s[ends]]), "b": pa.array(names[keys % len(names)].tolist() + [None] * len(ends), pa.int64())})
+        ends = np.flatnonzero(heavy & np.append((g[1:] != g[:-1]) | (n[:-1] * 100 < n[1:] * rule.percent), True))
+        both, alone = np.concatenate([pairs, chain]), len(ends)
+        return pa.table({
+            "gram": pa.array([None] * len(both) + g[ends].tolist(), pa.int64()),
+            "paired": pa.array([True] * len(pairs) + [False] * (len(chain) + alone), pa.bool_()),
+            "a": np.concatenate([names[both // len(names)], s[ends]]),
+            "b": pa.array(names[both % len(names)].tolist() + [None] * alone, pa.int64()),
+        })
+
+    return run
+
+
+def _bounded(rule: Rule):
+    """Pairs whose counts leave room for enough overlap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cells = zip(b["hashes_a"], b["hashes_b"], b["n_a"].to_pylist(), b["n_b"].to_pylist(), strict=True)
+            ok = [_most_overlap(x.as_buffer(), y.as_buffer()) * (100 + rule.percent) >= rule.percent * (n + m) for x, y, n, m in cells]
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
@@ -394,20 +434,24 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col:
     rule, spark = rule or Rule(size, percent), docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     scan = stored(docs.mapInArrow(_scan(rule), _SCAN), "ngram-scan")
-    rows = scan.where("block is null").select("id", "n", "sig")
-    reps = stored(rows.where("n > 0 and id is not null").groupBy("sig").agg(F.min("id").alias("id"), F.max("n").alias("n")), "ngram-sets")
+    rows = scan.where("block is null").select("id", "n", "sig", "hashes")
+    reps = stored(rows.where("n > 0 and id is not null").groupBy("sig").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("hashes").alias("hashes")), "ngram-sets")
     shared = spark.sparkContext.broadcast(_frequencies(scan))
     columns = docs.where("id is not null").mapInArrow(_prefixes(rule, shared, group_count(docs)), _PREFIX)
-    edges = stored(columns.groupBy("bucket").applyInArrow(_chained(rule), _EDGES), "ngram-edges")
+    edges = stored(columns.groupBy("bucket").applyInArrow(_tied(rule), _EDGES), "ngram-edges")
+    side = lambda k: reps.select(F.col("sig").alias(k), F.col("n").alias(f"n_{k}"), F.col("hashes").alias(f"hashes_{k}"))
+    pairs = edges.where("paired").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.select("a", "b", "n_a", "n_b", "hashes_a", "hashes_b").mapInArrow(_bounded(rule), "a long, b long")
     split = edges.where("gram is not null").select("gram", "a")
     heads = split.groupBy("gram").agg(F.min("a").alias("b"))
-    chained = edges.where("gram is null").select("a", "b").unionByName(split.join(heads, "gram").select("a", "b"))
-    clusters = connected_components(chained)
+    chains = edges.where("gram is null and not paired").select("a", "b").unionByName(split.join(heads, "gram").select("a", "b"))
+    clusters = connected_components(pairs.unionByName(chains))
     blocks = stored(reps.join(clusters, reps["sig"] == clusters["node"]).select("sig", "id", "n", F.col("component").alias("cluster")), "ngram-blocks")
     links = _links(blocks, docs, rule)
     as_ids = links.join(reps.select(F.col("sig").alias("a"), F.col("id").alias("x")), "a").join(reps.select(F.col("sig").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
     parts = connected_components(as_ids)
     discard(edges, blocks)
     of_set = reps.join(parts, reps["id"] == parts["node"], "left").select(F.col("sig").alias("set"), F.coalesce("component", "id").alias("part"))
+    rows = rows.drop("hashes")
     joined = rows.join(of_set, (rows["sig"] == of_set["set"]) & (rows["n"] > 0) & rows["id"].isNotNull(), "left")
     return joined.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.coalesce("part", "id").alias("component_id"))

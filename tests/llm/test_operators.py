@@ -249,15 +249,15 @@ def test_ngram_components(docs, rows, size, percent):
     assert collections.Counter(r for r in found if r[0] is not None) == collections.Counter(brute_components(rows, size, percent))
 
 
-@pytest.mark.parametrize("heavy, block", [(1, 1 << 20), (1 << 17, 150), (1, 60)])
+@pytest.mark.parametrize("heavy, block", [(1, 1 << 20), (1 << 17, 300)])
 def test_ngram_components_of_split_columns_and_cut_blocks(spark, heavy, block):
     rng = random.Random(heavy + block)
     hub = [f"w{i}" for i in range(60)]
-    texts = [" ".join(hub)] + [" ".join(rng.choice(["x", "y", w]) if rng.random() < p else w for w in hub) for p in (0.01, 0.02, 0.05, 0.1) for _ in range(30)]
+    texts = [" ".join(hub)] + [" ".join(rng.choice(["x", "y", w]) if rng.random() < p else w for w in hub) for p in (0.01, 0.02, 0.05, 0.1) for _ in range(12)]
     texts += [" ".join(hub[a : a + n]) for a, n in ((0, 55), (5, 55), (10, 30), (30, 30), (12, 30), (0, 3), (0, 3))] + [" ".join(f"z{rng.randrange(9)}" for _ in range(20)) for _ in range(10)]
     rng.shuffle(texts)
     rows = list(enumerate(texts))
-    rule = Rule(4, 85, heavy, block)
+    rule = Rule(4, 85, heavy, block, paired=8)
     found = ngram_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rule=rule).collect()
     assert collections.Counter(tuple(r) for r in found) == collections.Counter(brute_components(rows, 4, 85))
 
