@@ -2,7 +2,8 @@
 
 Four frames are kept apart on purpose: earlier days only (strict day), the
 last n rows of earlier days, a trailing number of days, and every row before
-this one in a total order (sequential).
+this one in a total order (sequential). A row whose entity is null keeps its
+place in the output and has no history.
 """
 
 from __future__ import annotations
@@ -40,12 +41,37 @@ def rate(hits: Column, n: Column) -> Column:
     return F.try_divide(hits.cast("double"), n)
 
 
+def known(keys: Keys) -> Column:
+    """Whether all of an entity's keys are there."""
+    out = F.lit(True)
+    for k in _keys(keys):
+        out = out & F.col(k).isNotNull()
+    return out
+
+
 def history(df: DataFrame, entity: Keys, frame: WindowSpec, prefix: str, won: str = "won", placed: str = "placed") -> DataFrame:
     """Runs, wins, places and win rate within a frame."""
-    runs, wins, places = F.count(F.lit(1)).over(frame), F.coalesce(F.sum(won).over(frame), F.lit(0)), F.coalesce(F.sum(placed).over(frame), F.lit(0))
+    own = known(entity)
+    runs, wins, places = F.count(F.when(own, 1)).over(frame), F.coalesce(F.sum(F.when(own, F.col(won))).over(frame), F.lit(0)), F.coalesce(F.sum(F.when(own, F.col(placed))).over(frame), F.lit(0))
     return df.withColumns({f"{prefix}_runs": runs, f"{prefix}_wins": wins, f"{prefix}_places": places}).withColumn(f"{prefix}_win_rate", rate(F.col(f"{prefix}_wins"), F.col(f"{prefix}_runs")))
 
 
+def daily_history(df: DataFrame, keys: list[str], prefix: str, sums: dict[str, str] | None = None, days: int | None = None, day: str = "day") -> DataFrame:
+    """Runs, wins, win rate and other sums of earlier days, or of the ``days`` before.
+
+    The rows are first added up by day, so that a frame has at most one row a
+    day however busy the entity is, and joined back on the entity and its day.
+    """
+    sums = {"wins": "won"} | (sums or {})
+    by_day = df.where(known(keys)).groupBy(*keys, day).agg(F.count(F.lit(1)).alias("_runs"), *(F.sum(c).alias(f"_{n}") for n, c in sums.items()))
+    frame = strict_day(keys, day) if days is None else trailing_days(keys, days, day)
+    total = lambda n: F.coalesce(F.sum(f"_{n}").over(frame), F.lit(0)).alias(f"{prefix}_{n}")
+    past = by_day.select(*keys, day, total("runs"), *(total(n) for n in sums))
+    names = [f"{prefix}_{n}" for n in ("runs", *sums)]
+    out = df.join(past, [*keys, day], "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
+    return out.withColumn(f"{prefix}_win_rate", rate(F.col(f"{prefix}_wins"), F.col(f"{prefix}_runs")))
+
+
 def last_n_of_earlier_days(df: DataFrame, entity: Keys, n: int, order: list[str], values: list[str], out: str = "last", day: str = "day") -> DataFrame:
     """Array ``out`` of the last n rows (newest first) of earlier days, as structs of ``values``.
 
@@ -55,10 +81,11 @@ def last_n_of_earlier_days(df: DataFrame, entity: Keys, n: int, order: list[str]
     keys = _keys(entity)
     row = F.struct(*order, *(v for v in values if v not in order))
     newest = Window.partitionBy(*keys, day).orderBy(*(F.desc(c) for c in order))
-    days = df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).groupBy(*keys, day).agg(F.reverse(F.sort_array(F.collect_list(row))).alias("_rows"))
+    days = df.where(known(keys)).withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).groupBy(*keys, day).agg(F.reverse(F.sort_array(F.collect_list(row))).alias("_rows"))
     frame = Window.partitionBy(*keys).orderBy(day).rowsBetween(-n, -1)
     flat = F.flatten(F.reverse(F.collect_list("_rows").over(frame)))
-    return df.join(days.select(*keys, day, F.slice(flat, 1, n).alias(out)), [*keys, day])
+    found = df.join(days.select(*keys, day, F.slice(flat, 1, n).alias("_last")), [*keys, day], "left")
+    return found.withColumn(out, F.coalesce("_last", F.filter(F.array(row), lambda _: F.lit(False)))).drop("_last")
 
 
 def streak(df: DataFrame, entity: Keys, order: list[str], hit: str, out: str, day: str = "day") -> DataFrame:
