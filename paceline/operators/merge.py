@@ -102,3 +102,36 @@ def pivot_ordinals(df: DataFrame, keys: list[str], kind: str, kinds: list[str],
     numbered = df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
     cells = [F.max(F.when((F.col(kind) == k) & (F.col("_n") == i), F.col(value))).alias(f"{k.lower()}_{i}") for k in kinds for i in range(1, most + 1)]
     return numbered.groupBy(*keys).agg(*cells)
+
+
+def fill_holes(first: DataFrame, second: DataFrame, keys: list[str], columns: list[str], identity: list[str], names: tuple[str, str]) -> DataFrame:
+    """Full outer merge where the first's nulls are filled from the second.
+
+    Identity columns of a row that the first has are never taken from the second.
+    """
+    own = lambda df, p: df.select(*keys, *(F.col(c).alias(f"_{p}_{c}") for c in [*columns, *identity]), F.lit(True).alias(f"_{p}"))
+    both = own(first, "a").join(own(second, "b"), keys, "full")
+    taken = [F.when(F.col("_a"), F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")).alias(c) for c in identity]
+    return both.select(*keys, *taken, *(F.coalesce(f"_a_{c}", f"_b_{c}").alias(c) for c in columns), F.concat_ws("+", F.when(F.col("_a"), names[0]), F.when(F.col("_b"), names[1])).alias("source"))
+
+
+def two_key_merge(first: DataFrame, second: DataFrame, key1: list[str], key2: list[str], columns: list[str], once: list[Column]) -> DataFrame:
+    """Rows of the first with the second's columns by key 1, else by key 2; then the second's rows that neither key matches."""
+    by1 = second.select(*key1, *(F.col(c).alias(f"_1_{c}") for c in columns), F.lit(True).alias("_m1"))
+    by2 = newest(second, key2, once).select(*key2, *(F.col(c).alias(f"_2_{c}") for c in columns), F.lit(True).alias("_m2"))
+    out = first.join(by1, key1, "left").join(by2, key2, "left")
+    matched = F.when(F.col("_m1"), "first").when(F.col("_m2"), "second").otherwise("none")
+    out = out.select(*first.columns, *(F.when(F.col("_m1"), F.col(f"_1_{c}")).otherwise(F.col(f"_2_{c}")).alias(c) for c in columns), matched.alias("matched"))
+    rest = second.join(first, key1, "left_anti").join(first, key2, "left_anti")
+    return out.unionByName(rest.withColumn("matched", F.lit("only second")), allowMissingColumns=True)
+
+
+def key_overlap(sources: dict[str, DataFrame], key: str) -> DataFrame:
+    """Shared and own keys of each pair of sources: one shuffle of all keys, then a few sums; no source meets another in a join."""
+    tagged = reduce(lambda a, b: a.unionByName(b), [df.select(F.col(key).alias("_key"), F.lit(n).alias("_s")).distinct() for n, df in sources.items()])
+    held = tagged.groupBy("_key").agg(*(F.max((F.col("_s") == n).cast("int")).alias(n) for n in sources))
+    names = list(sources)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    one = lambda a, b: F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.sum(F.col(a) * F.col(b)).alias("shared"), F.sum(F.col(a) * (1 - F.col(b))).alias("only_a"), F.sum(F.col(b) * (1 - F.col(a))).alias("only_b"))
+    out = held.agg(F.array(*(one(a, b) for a, b in pairs)).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    return out.withColumn("percent", F.round(F.try_divide(100.0 * F.col("shared"), F.col("shared") + F.col("only_a") + F.col("only_b")), 6))
