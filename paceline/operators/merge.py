@@ -15,6 +15,8 @@ def filled(c: str, kind: str = "string") -> Column:
         return x.isNotNull() & x
     if kind == "string":
         return x.isNotNull() & (x != "")
+    if kind == "time":
+        return x.isNotNull()
     return x.isNotNull() & (x != 0)
 
 
@@ -42,7 +44,7 @@ def last_filled_wins(sources: list[DataFrame], keys: list[str], columns: list[st
     tagged = [s.select(*keys, *(c if c in s.columns else F.lit(None).alias(c) for c in columns), F.lit(i).alias("_src")) for i, s in enumerate(sources)]
     both = reduce(lambda a, b: a.unionByName(b), tagged)
     types = dict(both.dtypes)
-    ok = lambda c: filled(c, "boolean" if types[c] == "boolean" else "string" if types[c] == "string" else "number")
+    ok = lambda c: filled(c, types[c] if types[c] in ("boolean", "string") else "time" if types[c].startswith(("date", "timestamp")) else "number")
     # a null order value never wins, so the greatest source number among filled values decides
     picked = [F.max_by(c, F.when(ok(c), F.col("_src"))).alias(c) for c in columns]
     return both.groupBy(*keys).agg(*picked, F.count_distinct("_src").cast("int").alias("n_sources"))
@@ -97,11 +99,12 @@ def majority(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
 
 
 def pivot_ordinals(df: DataFrame, keys: list[str], kind: str, kinds: list[str], value: str, order: list[str], most: int) -> DataFrame:
-    """Long to wide with an ordinal for repeated kinds: kind_1, kind_2, ... up to ``most``."""
+    """Long to wide with an ordinal for repeated kinds: kind_1, kind_2, ... up to ``most``, and all after them in order in kind_rest."""
     w = Window.partitionBy(*keys, kind).orderBy(*order)
-    numbered = df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
+    numbered = df.withColumn("_n", F.row_number().over(w))
     cells = [F.max(F.when((F.col(kind) == k) & (F.col("_n") == i), F.col(value))).alias(f"{k.lower()}_{i}") for k in kinds for i in range(1, most + 1)]
-    return numbered.groupBy(*keys).agg(*cells)
+    later = lambda k: F.sort_array(F.collect_list(F.when((F.col(kind) == k) & (F.col("_n") > most), F.struct("_n", F.col(value).cast("string").alias("v")))))
+    return numbered.groupBy(*keys).agg(*cells, *(F.array_join(later(k)["v"], "-").alias(f"{k.lower()}_rest") for k in kinds))
 
 
 def fill_holes(first: DataFrame, second: DataFrame, keys: list[str], columns: list[str], identity: list[str], names: tuple[str, str]) -> DataFrame:

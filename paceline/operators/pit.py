@@ -57,19 +57,23 @@ def history(df: DataFrame, entity: Keys, frame: WindowSpec, prefix: str, won: st
 
 
 def daily_history(df: DataFrame, keys: list[str], prefix: str, sums: dict[str, str] | None = None, days: int | None = None, day: str = "day") -> DataFrame:
-    """Runs, wins, win rate and other sums of earlier days, or of the ``days`` before.
+    """Runs, wins, win rate and other sums of earlier days, or of the ``days`` before."""
+    return daily_histories(df, keys, {prefix: days}, sums, day)
+
+
+def daily_histories(df: DataFrame, keys: list[str], frames: dict[str, int | None], sums: dict[str, str] | None = None, day: str = "day") -> DataFrame:
+    """Runs, wins, win rate and other sums within several frames: prefix and number of days before, or None for all earlier ones.
 
     The rows are first added up by day, so that a frame has at most one row a
     day however busy the entity is, and joined back on the entity and its day.
     """
     sums = {"wins": "won"} | (sums or {})
     by_day = df.where(known(keys)).groupBy(*keys, day).agg(F.count(F.lit(1)).alias("_runs"), *(F.sum(c).alias(f"_{n}") for n, c in sums.items()))
-    frame = strict_day(keys, day) if days is None else trailing_days(keys, days, day)
-    total = lambda n: F.coalesce(F.sum(f"_{n}").over(frame), F.lit(0)).alias(f"{prefix}_{n}")
-    past = by_day.select(*keys, day, total("runs"), *(total(n) for n in sums))
-    names = [f"{prefix}_{n}" for n in ("runs", *sums)]
-    out = df.join(past, [*keys, day], "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
-    return out.withColumn(f"{prefix}_win_rate", rate(F.col(f"{prefix}_wins"), F.col(f"{prefix}_runs")))
+    frame = lambda days: strict_day(keys, day) if days is None else trailing_days(keys, days, day)
+    totals = {f"{p}_{n}": F.coalesce(F.sum(f"_{n}").over(frame(days)), F.lit(0)) for p, days in frames.items() for n in ("runs", *sums)}
+    past = by_day.select(*keys, day, *(c.alias(n) for n, c in totals.items()))
+    out = df.join(past, [*keys, day], "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in totals})
+    return out.withColumns({f"{p}_win_rate": rate(F.col(f"{p}_wins"), F.col(f"{p}_runs")) for p in frames})
 
 
 def last_n_of_earlier_days(df: DataFrame, entity: Keys, n: int, order: list[str], values: list[str], out: str = "last", day: str = "day") -> DataFrame:

@@ -145,11 +145,11 @@ SELECT event_id, coalesce(o1.o_orderkey, o2.o_orderkey) AS o_orderkey, CASE WHEN
 
 
 def payout_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    """Long payouts to one wide row per contest, with an ordinal for repeated kinds."""
+    """Long payouts to one wide row per contest: an ordinal for repeated kinds, and the payouts past the second as text."""
     return merge.pivot_ordinals(runners(spark, sf), ["race"], "discipline", ["A", "N", "R"], "gains", ["no"], 2)
 
 
-PAYOUT = f"""{R}, n AS (SELECT *, row_number() OVER (PARTITION BY race, discipline ORDER BY no) AS k FROM r) SELECT race, {", ".join(f"max(CASE WHEN discipline = '{d}' AND k = {i} THEN gains END) AS {d.lower()}_{i}" for d in "ANR" for i in (1, 2))} FROM n WHERE k <= 2 GROUP BY race"""
+PAYOUT = f"""{R}, n AS (SELECT *, row_number() OVER (PARTITION BY race, discipline ORDER BY no) AS k FROM r) SELECT race, {", ".join(f"max(CASE WHEN discipline = '{d}' AND k = {i} THEN gains END) AS {d.lower()}_{i}" for d in "ANR" for i in (1, 2))}, {", ".join(f"coalesce(string_agg(CASE WHEN discipline = '{d}' AND k > 2 THEN gains::VARCHAR END, '-' ORDER BY k), '') AS {d.lower()}_rest" for d in "ANR")} FROM n GROUP BY race"""
 
 
 def golden_record(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,11 +218,15 @@ SELECT track, count(*) AS runs, count(DISTINCT race) AS races, sum(favourite)::B
 
 
 def coverage_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    """Runs of each discipline by year, one column a year."""
-    return runners(spark, sf).withColumn("year", F.year("race_date")).groupBy("discipline").pivot("year", list(range(1995, 2002))).count().select("discipline", *(F.coalesce(str(y), F.lit(0)).alias(f"y{y}") for y in range(1995, 2002)))
+    """Runs of each discipline in each year of the table, with a zero where it had none, and its share of the year."""
+    n = runners(spark, sf).groupBy("discipline", F.year("race_date").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    cells = n.select("discipline").distinct().crossJoin(F.broadcast(n.select("year").distinct()))  # disciplines by years
+    out = cells.join(n, ["discipline", "year"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return out.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("year")), 6))
 
 
-COVERAGE = f"""{R} SELECT discipline, {", ".join(f"count(*) FILTER (year(race_date) = {y}) AS y{y}" for y in range(1995, 2002))} FROM r GROUP BY discipline"""
+COVERAGE = f"""{R}, y AS (SELECT DISTINCT year(race_date)::INTEGER AS year FROM r), d AS (SELECT DISTINCT discipline FROM r)
+SELECT d.discipline, y.year, count(uid) AS n, round(count(uid) / sum(count(uid)) OVER (PARTITION BY y.year), 6) AS share FROM d CROSS JOIN y LEFT JOIN r ON r.discipline = d.discipline AND year(race_date) = y.year GROUP BY 1, 2"""
 
 
 def completeness_rollup(spark: SparkSession, sf: str) -> DataFrame:

@@ -65,10 +65,8 @@ def trailing_days(spark: SparkSession, sf: str) -> DataFrame:
     """Jockey and trainer form over the 30, 90 and 365 days before each start."""
 
     def build(df: DataFrame, actor: str) -> DataFrame:
-        for d in (30, 90, 365):
-            w = pit.trailing_days(actor, d)
-            df = df.withColumns({f"{actor}_runs_{d}": F.count(F.lit(1)).over(w), f"{actor}_wins_{d}": F.coalesce(F.sum("won").over(w), F.lit(0)), f"{actor}_gains_{d}": F.coalesce(F.sum("gains").over(w), F.lit(0))})
-        return df
+        out = pit.daily_histories(df, [actor], {f"_{d}": d for d in (30, 90, 365)}, {"gains": "gains"})
+        return out.withColumnsRenamed({f"_{d}_{m}": f"{actor}_{m}_{d}" for d in (30, 90, 365) for m in ("runs", "wins", "gains")}).drop(*(f"_{d}_win_rate" for d in (30, 90, 365)))
 
     actors = ["jockey", "trainer"]
     return pit.per_actor(build, runners(spark, sf), actors).select("uid", *(f"{a}_{m}_{d}" for a in actors for d in (30, 90, 365) for m in ("runs", "wins", "gains")))
@@ -94,7 +92,7 @@ FROM n WINDOW w AS (PARTITION BY jockey ORDER BY day RANGE BETWEEN UNBOUNDED PRE
 
 
 def running_distinct_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct horses of a trainer, trainers of a horse and kinds of an entity so far: typed degrees of the relation graph."""
+    """Distinct horses of a trainer and of a jockey and trainers of a horse so far: typed degrees of the relation graph."""
     r = pit.running_distinct(runners(spark, sf), "trainer", "horse", ORDER, "trainer_horses")
     r = pit.running_distinct(r, "horse", "trainer", ORDER, "horse_trainers")
     r = pit.running_distinct(r, "jockey", "horse", ORDER, "jockey_horses")
@@ -187,7 +185,7 @@ FROM s WINDOW w AS (PARTITION BY track, draw ORDER BY day RANGE BETWEEN 365 PREC
 
 
 def optimal_distance(spark: SparkSession, sf: str) -> DataFrame:
-    """Best distance band of a trainer so far (two runs or more, the first seen wins ties), and whether today's is it."""
+    """Best distance band of a horse so far (two runs or more, the first seen wins ties), and whether today's is it."""
     r = runners(spark, sf).withColumn("band", F.floor(F.col("distance") / 600).cast("int"))
     out = pit.best_context(r, "horse", "band", ORDER, "uid")
     return out.select("uid", F.col("best_context").alias("best_band"), "best_rate", (F.col("best_context") == F.col("band")).cast("int").alias("at_best"))
@@ -223,7 +221,7 @@ ASOF_RATING = f"""{E} SELECT b.event_id, v.event_id AS view_id, v.k AS view_k FR
 
 
 def seasonal_rate(spark: SparkSession, sf: str) -> DataFrame:
-    """Record by season and weekday so far, and earnings of the quarter before last quarter's."""
+    """Record by season and weekday so far."""
     m = F.month("race_date")
     season = F.when(m.isin(12, 1, 2), "winter").when(m.isin(3, 4, 5), "spring").when(m.isin(6, 7, 8), "summer").otherwise("autumn")
     r = runners(spark, sf).withColumns({"season": season, "weekday": F.weekday("race_date")})

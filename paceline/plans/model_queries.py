@@ -65,7 +65,7 @@ SELECT x.draw, coalesce(own, o.model) AS model, own IS NULL AS is_fallback FROM
 
 
 def nearest_going(spark: SparkSession, sf: str) -> DataFrame:
-    """For each order, the same customer's nearest other-priority order within three days, the earlier on ties."""
+    """For each order, the same customer's nearest urgent order within thirty days, the earlier on ties."""
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("race"), F.col("o_custkey").alias("cust"), F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01")).alias("day"), "o_orderpriority")
     urgent = o.where("o_orderpriority = '1-URGENT'").select("cust", "day", F.col("race").alias("found"))
     return models.nearest(o.where("o_orderpriority <> '1-URGENT'").select("race", "cust", "day"), urgent, ["cust"], "day", 30, ["found"], "race").select("race", "found", F.col("days_apart").cast("long").alias("days_apart"))

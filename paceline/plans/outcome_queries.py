@@ -49,11 +49,12 @@ SELECT CASE WHEN day >= b THEN 'test' WHEN day >= b - 7 THEN 'purged' WHEN day >
 def walk_forward(spark: SparkSession, sf: str) -> DataFrame:
     """Expanding yearly folds: each year is tested on what came before it."""
     r = runners(spark, sf).withColumn("year", F.year("race_date"))
-    years = r.select(F.col("year").alias("fold")).distinct().where("fold > 1995")
-    return r.join(F.broadcast(years.where("fold between 1996 and 2100")), F.col("year") <= F.col("fold")).groupBy("fold").agg(F.count_if(F.col("year") < F.col("fold")).alias("n_train"), F.count_if(F.col("year") == F.col("fold")).alias("n_test"), F.sum(F.when(F.col("year") == F.col("fold"), F.col("won"))).alias("test_wins"))
+    by_year = r.groupBy(F.col("year").alias("fold")).agg(F.count(F.lit(1)).alias("n_test"), F.sum("won").alias("test_wins"))
+    before = Window.orderBy("fold").rowsBetween(Window.unboundedPreceding, -1)  # over one row a year
+    return by_year.withColumn("n_train", F.sum("n_test").over(before)).where("n_train is not null").select("fold", "n_train", "n_test", "test_wins")
 
 
-WALK = f"""{R}, y AS (SELECT *, year(race_date)::INTEGER AS year FROM r), f AS (SELECT DISTINCT year AS fold FROM y WHERE year > 1995)
+WALK = f"""{R}, y AS (SELECT *, year(race_date)::INTEGER AS year FROM r), f AS (SELECT DISTINCT year AS fold FROM y WHERE year > (SELECT min(year) FROM y))
 SELECT fold, count(*) FILTER (year < fold) AS n_train, count(*) FILTER (year = fold) AS n_test, (sum(won) FILTER (year = fold))::BIGINT AS test_wins FROM y JOIN f ON year <= fold GROUP BY fold"""
 
 
@@ -302,10 +303,11 @@ SENTIMENT = """WITH w AS (SELECT conv_id, turn, string_split_regex(lower(text),
 def html_fields(spark: SparkSession, sf: str) -> DataFrame:
     """Fields present in raw pages: title, language, links, paragraphs."""
     p = table(spark, sf, "pages")
-    return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.regexp_count("html", F.lit("<a href")).cast("long").alias("links"), F.regexp_count("html", F.lit("<p>")).cast("long").alias("paragraphs"))
+    return p.select("page_id", F.regexp_extract("html", r"(?i)<title(?:\s[^>]*)?>([^<]*)</title", 1).alias("title"), F.regexp_extract("html", r"(?i)<html\s[^>]*?lang\s*=\s*[\"']?([a-z]+)", 1).alias("lang"), F.regexp_count("html", F.lit(r"(?i)<a\s[^>]*?href\s*=")).cast("long").alias("links"), F.regexp_count("html", F.lit(r"(?i)<p(?:\s[^>]*)?>")).cast("long").alias("paragraphs"))
 
 
-HTML = """SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang, len(regexp_extract_all(html, '<a href')) AS links, len(regexp_extract_all(html, '<p>')) AS paragraphs FROM pages"""
+HTML = r"""WITH l AS (SELECT page_id, html, lower(html) AS h FROM pages)
+SELECT page_id, regexp_extract(html, '(?i)<title( [^>]*)?>([^<]*)<', 2) AS title, regexp_extract(h, '<html [^>]*?lang *= *["'']?([a-z]+)', 1) AS lang, len(list_filter(string_split(h, '<a'), lambda x: regexp_matches(x, '^\s[^>]*href\s*='))) AS links, len(list_filter(string_split(h, '<p'), lambda x: regexp_matches(x, '^(\s[^>]*)?>'))) AS paragraphs FROM l"""
 
 
 def cosine_shift(spark: SparkSession, sf: str) -> DataFrame:

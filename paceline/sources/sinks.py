@@ -51,12 +51,19 @@ def log_step(spark: SparkSession, path: str, step: str, inputs: list[str], outpu
 
 
 def lineage(spark: SparkSession, path: str, output: str) -> DataFrame:
-    """Every step and table that ``output`` comes from."""
-    spark.read.parquet(path).createOrReplaceTempView("_lineage")
+    """Every step and table that ``output`` comes from, however deep.
+
+    A chain of more steps than there are tables repeats one, so their number
+    ends the search in a log with a cycle.
+    """
+    log = spark.read.parquet(path)
+    log.createOrReplaceTempView("_lineage")
+    deepest = log.select("output").distinct().count()
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", deepest + 2)
     return spark.sql(
         """WITH RECURSIVE up (step, input, output, depth) AS (
              SELECT step, input, output, 1 FROM _lineage WHERE output = :output
-             UNION ALL SELECT l.step, l.input, l.output, depth + 1 FROM _lineage AS l JOIN up ON l.output = up.input WHERE depth < 50)
+             UNION ALL SELECT l.step, l.input, l.output, depth + 1 FROM _lineage AS l JOIN up ON l.output = up.input WHERE depth < :deepest)
            SELECT DISTINCT step, input, output, depth FROM up""",
-        args={"output": output},
+        args={"output": output, "deepest": deepest},
     )

@@ -44,10 +44,10 @@ def runners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_tracks(runners: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runners with the track (nation of the supplier) and sire (brand of the part)."""
+    """Runners with the track (nation of the supplier) and sire (brand of the part), null where the side row is missing."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("jockey"), F.col("s_nationkey").alias("track"))
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("horse"), F.col("p_brand").alias("sire"), F.col("p_type").alias("dam"))
-    return runners.join(s, "jockey").join(p, "horse")
+    return runners.join(s, "jockey", "left").join(p, "horse", "left")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ r AS (
     (position = 1)::INTEGER AS won, (position <= 3)::INTEGER AS placed, race * 100 + no AS uid
   FROM numbered AS n JOIN orders ON race = o_orderkey)
 """
-TRACKS_SQL = RUNNERS_SQL + """, rt AS (SELECT r.*, s_nationkey AS track, p_brand AS sire, p_type AS dam FROM r JOIN supplier ON jockey = s_suppkey JOIN part ON horse = p_partkey)
+TRACKS_SQL = RUNNERS_SQL + """, rt AS (SELECT r.*, s_nationkey AS track, p_brand AS sire, p_type AS dam FROM r LEFT JOIN supplier ON jockey = s_suppkey LEFT JOIN part ON horse = p_partkey)
 """
 EVENTS_SQL = """
 e AS (SELECT event_id, user_id AS entity, ts, date_diff('day', DATE '2024-01-01', ts::DATE) AS day, event_type AS kind, value,
