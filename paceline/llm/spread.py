@@ -35,8 +35,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage."""
+    import gc
     import uuid
 
+    gc.collect()  # lets go of the plans of steps that nothing refers to, which the driver would keep
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
