@@ -185,7 +185,9 @@ def warc_round_trip(pages: DataFrame, path: str | None = None, payload: bool = F
     spark = pages.sparkSession
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_warc(pages, path)
-    captures = stored(assemble(read_records(spark, path, payload)).where("response is not null"), "warc-captures")
+    records = stored(read_records(spark, path, payload), "warc-records")  # the archives are read once
+    captures = stored(assemble(records).where("response is not null"), "warc-captures")
+    discard(records)
     main = F.col("response")
     named = captures.select(F.col("metadata.page_id").alias("page_id"), main["warc_type"].alias("record_type"), main["record_id"].alias("record_id"), main["refers_to"].alias("of"), main["payload_bytes"].alias("payload_bytes"), main["payload_digest"].alias("payload_digest"), main["payload"].alias("payload"))
     responses = named.where("record_type = 'response'").select(F.col("record_id").alias("to"), F.col("page_id").alias("to_page"), F.col("payload_bytes").alias("to_bytes"), F.col("payload_digest").alias("to_digest"))
