@@ -17,8 +17,6 @@ DISTANCE_BANDS = {
 NULL_TOKENS = ("", "[]", "none", "n/a", "-", "?", "inconnu", "nan", "null")
 # Accented letters and their bare forms.
 ACCENTED, BARE = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
-# UTF-8 read as Latin-1, and what it was.
-MOJIBAKE = {"Ã©": "é", "Ã¨": "è", "Ãª": "ê", "Ã«": "ë", "Ã ": "à", "Ã¢": "â", "Ã®": "î", "Ã´": "ô", "Ã»": "û", "Ã§": "ç"}
 
 
 def binned(x: Column, cuts: tuple, labels: tuple, closed: str = "left") -> Column:
@@ -54,9 +52,9 @@ def clean_null(x: Column) -> Column:
 
 
 def repaired(x: Column) -> Column:
-    for bad, good in MOJIBAKE.items():
-        x = F.replace(x, F.lit(bad), F.lit(good))
-    return x
+    """UTF-8 that was read as Latin-1, read anew; texts that aren't such stay as they are."""
+    anew = F.try_validate_utf8(F.encode(x, "ISO-8859-1").cast("string"))
+    return F.when(x.rlike(r"^[\x{00}-\x{FF}]*$"), F.coalesce(anew, x)).otherwise(x)
 
 
 def alias(x: Column, table: dict[str, str]) -> Column:
@@ -124,3 +122,33 @@ def form_string(x: Column) -> Column:
     plain = F.regexp_replace(x, r"\([^)]*\)", "")
     tokens = F.regexp_extract_all(plain, F.lit(r"((?:\d+|[DTAR])[amphsc])"), 1)
     return F.transform(tokens, lambda t: F.struct(F.nullif(F.regexp_extract(t, r"^(\d+)", 1), F.lit("")).try_cast("int").alias("place"), F.substring(t, -1, 1).alias("discipline")))
+
+
+def row_key(*parts: Column) -> Column:
+    """Parts joined by |, a missing one as an empty text, so that keys with gaps stay apart."""
+    return F.concat_ws("|", *(F.coalesce(p.cast("string"), F.lit("")) for p in parts))
+
+
+def picks(x: Column) -> Column:
+    """Whole numbers of a combination such as 4-5-15; what isn't one is null."""
+    return F.transform(F.split(x, "-"), lambda n: n.try_cast("int"))
+
+
+def hour_minute(ms: Column) -> Column:
+    """UTC time of day of milliseconds since the epoch."""
+    return F.format_string("%02d:%02d", F.floor(ms / 3600000) % 24, F.floor(ms / 60000) % 60)
+
+
+def form_runs(x: Column) -> Column:
+    """Runs of a form text with the year that the last token such as (23) before them names: place (null if none), outcome, discipline, year."""
+    tokens = F.regexp_extract_all(x, F.lit(r"(\(\d{2}\)|(?:\d+|[DTAR])[amphsc])"), 1)
+    none = F.lit(None).cast("int")
+    shape = "struct<year:int,runs:array<struct<place:int,outcome:string,discipline:string,year:int>>>"
+
+    def step(seen: Column, t: Column) -> Column:
+        year, outcome = F.nullif(F.regexp_extract(t, r"^\((\d{2})\)$", 1), F.lit("")), F.regexp_extract(t, "^(.+).$", 1)
+        run = F.struct(outcome.try_cast("int").alias("place"), outcome.alias("outcome"), F.substring(t, -1, 1).alias("discipline"), seen["year"].alias("year"))
+        named, ran = F.struct(2000 + year.try_cast("int"), seen["runs"]).cast(shape), F.struct(seen["year"], F.concat(seen["runs"], F.array(run))).cast(shape)
+        return F.when(year.isNotNull(), named).otherwise(ran)
+
+    return F.aggregate(tokens, F.struct(none, F.array()).cast(shape), step)["runs"]
