@@ -6,6 +6,8 @@ and send each group the totals of its words.
 
 Model: words are symbols, the commonest ones each on their own and the rest
 by a class of their ending; a word of a class has its smoothed share of it.
+There are more symbols the larger the corpus. Symbol 0 is the end of a text,
+and what stands before its start.
 A symbol's logit is the product of its output vector with the sum of the
 vectors of the two symbols before, plus a bias. Training is noise-contrastive
 estimation by numpy in Spark tasks, each over its own share of all training
@@ -27,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm import textnum as tn
-from paceline.llm.spread import group_count, group_of, stored
+from paceline.llm.spread import group_count, group_of, stored, text_bytes
 
-WORDS, CLASSES = 767, 256
-SYMBOLS = 1 + WORDS + CLASSES  # symbol 0 is the end of a text, and what stands before its start
+#: Classes of word endings are this times the eighth root of the corpus's bytes, as a power of two: 256 at 0.5 GB, 1024 at 100 TB.
+CLASS_FACTOR = 21
 DIM, BATCH, NOISE, RATE, ROUNDS = 16, 4096, 64, 0.15, 2
 #: Parameters in one piece of the model, and groups of tasks that add theirs up first.
 PIECE, SUM_PARTS = 8192, 512
@@ -41,11 +43,21 @@ _TAIL = np.zeros(256, bool)
 _TAIL[list(b".,;:!?#*$%&|<>()\"'")] = True
 
 
+def class_count(n_bytes: int) -> int:
+    """Classes of the model of a corpus: a root of its size, so that the tables of all pairs of symbols stay below 70 MB each at 100 TB."""
+    return 2 ** max(1, round(np.log2(CLASS_FACTOR * max(n_bytes, 1) ** 0.125)))
+
+
+def word_count(classes: int) -> int:
+    """Words that are symbols on their own; with symbol 0 and the classes there are four times as many symbols as classes."""
+    return 3 * classes - 1
+
+
 def held_out(ids: list[int | None]) -> np.ndarray:
     return np.array([i is not None and zlib.crc32(str(i).encode()) % MODULUS == HELD_OUT for i in ids], bool)
 
 
-def ending_class(w: tn.Words, which: np.ndarray) -> np.ndarray:
+def ending_class(w: tn.Words, which: np.ndarray, n_classes: int) -> np.ndarray:
     """Class of words by their last three bytes before any closing punctuation, and whether there was any."""
     start, end = w.starts[which], w.ends[which].copy()
     bare = np.ones(len(end), np.uint64)
@@ -58,7 +70,7 @@ def ending_class(w: tn.Words, which: np.ndarray) -> np.ndarray:
         inside = end - k >= start
         byte = np.where(inside, tn._LOWER[w.data[np.maximum(end - k, 0)]], 0).astype(np.uint64) if len(end) else np.zeros(0, np.uint64)
         key = key * np.uint64(257) + byte
-    return (tn.mix(key) % np.uint64(CLASSES)).astype(np.int64)
+    return (tn.mix(key) % np.uint64(n_classes)).astype(np.int64)
 
 
 @dataclass
@@ -72,14 +84,14 @@ class _Group:
     text: np.ndarray
 
 
-def _group(table: pa.Table) -> _Group:
+def _group(table: pa.Table, n_classes: int) -> _Group:
     data, offsets = tn.text_buffers(table["text"])
     ids, hashes, classes, first, text = table["id"].to_pylist(), [], [], [np.zeros(1, np.int64)], []
     for a, b in tn.slices(offsets):
         w = tn.words(data, offsets[a : b + 1], lower=True)
         seen, _ = tn.first_of_each(w.hashes)
         hashes.append(w.hashes)
-        classes.append((w.hashes[seen], ending_class(w, seen)))
+        classes.append((w.hashes[seen], ending_class(w, seen, n_classes)))
         first.append(first[-1][-1] + w.first[1:])
         text.append(a + w.text)
     every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -90,16 +102,16 @@ def _group(table: pa.Table) -> _Group:
     return _Group(ids, held_out(ids), np.concatenate(first), which, distinct, of, np.concatenate(text) if text else np.zeros(0, np.int64))
 
 
-def _count(buckets: int):
+def _count(buckets: int, n_classes: int):
     def run(table: pa.Table) -> pa.Table:
-        g, grp = _group(table), table["grp"][0].as_py()
+        g, grp = _group(table, n_classes), table["grp"][0].as_py()
         train = ~g.held
         n = np.bincount(g.which[train[g.text]], minlength=len(g.hashes))
         order, present, begin = tn.by_bucket(tn.bucket_of(g.hashes, buckets))
         out = {"bucket": [], "grp": [], "hashes": [], "counts": [], "classes": []}
         for k, a, b in zip(present.tolist(), begin[:-1], begin[1:], strict=True):
             mine = order[a:b]
-            for c, v in zip(out, (k, grp, g.hashes[mine].tobytes(), n[mine].astype(np.uint32).tobytes(), g.classes[mine].astype(np.uint8).tobytes()), strict=True):
+            for c, v in zip(out, (k, grp, g.hashes[mine].tobytes(), n[mine].astype(np.uint32).tobytes(), g.classes[mine].astype(np.uint16).tobytes()), strict=True):
                 out[c].append(v)
         return pa.table(out, schema=_COUNTS)
 
@@ -111,12 +123,12 @@ _TOTALS = pa.schema([("grp", pa.int32()), ("bucket", pa.int32()), ("counts", pa.
 TOTALS = "grp int, bucket int, counts binary, words binary, sizes binary"
 
 
-def _total(top: int):
+def _total(n_classes: int):
     def run(table: pa.Table) -> pa.Table:
         """Totals of the words of a bucket for each group; a row without a group has its commonest words and its class sums."""
         hashes = [np.frombuffer(x, np.uint64) for x in table["hashes"].to_pylist()]
         every, n = np.concatenate(hashes), np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()])
-        kind = np.concatenate([np.frombuffer(x, np.uint8) for x in table["classes"].to_pylist()])
+        kind = np.concatenate([np.frombuffer(x, np.uint16) for x in table["classes"].to_pylist()])
         distinct, first, which = np.unique(every, return_index=True, return_inverse=True)
         total = np.zeros(len(distinct), np.uint64)
         np.add.at(total, which, n.astype(np.uint64))
@@ -124,8 +136,8 @@ def _total(top: int):
         cuts = np.cumsum([0, *map(len, hashes)])
         counts = [total[which[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         known = total > 0
-        sizes = np.stack([np.bincount(kind[known], weights=total[known], minlength=CLASSES), np.bincount(kind[known], minlength=CLASSES)])
-        best = np.lexsort((distinct, -total.astype(np.int64)))[:top]
+        sizes = np.stack([np.bincount(kind[known], weights=total[known], minlength=n_classes), np.bincount(kind[known], minlength=n_classes)])
+        best = np.lexsort((distinct, -total.astype(np.int64)))[: word_count(n_classes)]
         best = best[total[best] > 0]
         words = np.stack([distinct[best], total[best], kind[best].astype(np.uint64)])
         bucket = table["bucket"][0].as_py()
@@ -144,16 +156,19 @@ class Vocabulary:
     within: np.ndarray  # log10 of the denominator of a word's share of its class; 0 for single words
     n_tokens: int
     n_words: int
+    n_classes: int
 
     def of(self, hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        by_class = 1 + word_count(self.n_classes) + classes
         if not len(self.hashes):
-            return 1 + WORDS + classes
+            return by_class
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.symbols[at], 1 + WORDS + classes)
+        return np.where(self.hashes[at] == hashes, self.symbols[at], by_class)
 
 
-def vocabulary(totals: DataFrame, n_texts: int) -> Vocabulary:
+def vocabulary(totals: DataFrame, n_texts: int, n_classes: int) -> Vocabulary:
     """From the bucket rows. Sums first tell the count that the commonest words reach, then only words that do are gathered."""
+    n_single = word_count(n_classes)
     spoken = totals.where("grp is null").select("words", "sizes")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,12 +176,12 @@ def vocabulary(totals: DataFrame, n_texts: int) -> Vocabulary:
             for x, s in zip(b["words"].to_pylist(), b["sizes"].to_pylist(), strict=True):
                 tokens, types = np.frombuffer(s).reshape(2, -1)
                 powers = np.bincount(np.frexp(np.frombuffer(x, np.uint64).reshape(3, -1)[1].astype(float))[1], minlength=65)
-                yield pa.record_batch({"c": np.arange(CLASSES + 65, dtype=np.int32), "n": np.append(tokens.astype(np.int64), powers), "v": np.append(types.astype(np.int64), np.zeros(65, np.int64))})
+                yield pa.record_batch({"c": np.arange(n_classes + 65, dtype=np.int32), "n": np.append(tokens.astype(np.int64), powers), "v": np.append(types.astype(np.int64), np.zeros(65, np.int64))})
 
     found = spoken.mapInArrow(sums, "c int, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
-    sizes, powers = [r for r in found if r["c"] < CLASSES], {r["c"] - CLASSES: r["n"] for r in found if r["c"] >= CLASSES}
+    sizes, powers = [r for r in found if r["c"] < n_classes], {r["c"] - n_classes: r["n"] for r in found if r["c"] >= n_classes}
     # words of at least 2**(k - 1), the least k with enough of them
-    cut = max((k for k in range(65) if sum(powers.get(j, 0) for j in range(k, 65)) >= WORDS), default=0)
+    cut = max((k for k in range(65) if sum(powers.get(j, 0) for j in range(k, 65)) >= n_single), default=0)
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,8 +190,8 @@ def vocabulary(totals: DataFrame, n_texts: int) -> Vocabulary:
                 use = np.frexp(n.astype(float))[1] >= cut
                 yield pa.record_batch({"h": h[use].view(np.int64), "c": c[use].astype(np.int32), "n": n[use].astype(np.int64)})
 
-    top = spoken.mapInArrow(words, "h long, c int, n long").orderBy(F.desc("n"), "h").limit(WORDS).collect()
-    tokens, types = np.zeros(CLASSES), np.zeros(CLASSES)
+    top = spoken.mapInArrow(words, "h long, c int, n long").orderBy(F.desc("n"), "h").limit(n_single).collect()
+    tokens, types = np.zeros(n_classes), np.zeros(n_classes)
     for r in sizes:
         tokens[r["c"]], types[r["c"]] = r["n"], r["v"]
     n_words, n_tokens = int(types.sum()) + (n_texts > 0), int(tokens.sum()) + n_texts
@@ -185,9 +200,9 @@ def vocabulary(totals: DataFrame, n_texts: int) -> Vocabulary:
         types[r["c"]] -= 1
     h = np.array([r["h"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(h)
-    each = np.concatenate([[n_texts], [r["n"] for r in top], np.zeros(WORDS - len(top)), tokens])
-    within = np.concatenate([np.zeros(1 + WORDS), np.log10(tokens + types + 1)])
-    return Vocabulary(h[order], 1 + order, each, within, n_tokens, n_words)
+    each = np.concatenate([[n_texts], [r["n"] for r in top], np.zeros(n_single - len(top)), tokens])
+    within = np.concatenate([np.zeros(1 + n_single), np.log10(tokens + types + 1)])
+    return Vocabulary(h[order], 1 + order, each, within, n_tokens, n_words, n_classes)
 
 
 @dataclass
@@ -201,15 +216,16 @@ class Model:
 
     @staticmethod
     def of(flat: np.ndarray) -> Model:
-        a, b = 2 * SYMBOLS * DIM, 3 * SYMBOLS * DIM
-        return Model(flat[:a].reshape(2, SYMBOLS, DIM).copy(), flat[a:b].reshape(SYMBOLS, DIM).copy(), flat[b:].copy())
+        symbols = len(flat) // (3 * DIM + 1)
+        a, b = 2 * symbols * DIM, 3 * symbols * DIM
+        return Model(flat[:a].reshape(2, symbols, DIM).copy(), flat[a:b].reshape(symbols, DIM).copy(), flat[b:].copy())
 
     @staticmethod
     def start(tokens: np.ndarray) -> Model:
         """The unigram model: biases are log probabilities, vectors small noise."""
         rng = np.random.default_rng(3)
         small = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-        return Model(small(2, SYMBOLS, DIM), small(SYMBOLS, DIM), np.log(noise_of(tokens)).astype(np.float32))
+        return Model(small(2, len(tokens), DIM), small(len(tokens), DIM), np.log(noise_of(tokens)).astype(np.float32))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Log10 logits of symbol given each one context, bias included in the first, and log10 normalisers of context pairs."""
@@ -247,7 +263,7 @@ def train_on(model: Model, squares: Model, symbols: np.ndarray, noise: np.ndarra
         two, one, w = symbols[a : a + BATCH].T
         r = model.context[0][one] + model.context[1][two]
         q = model.target[w]
-        fake = np.minimum(np.searchsorted(cdf, rng.random(NOISE)), SYMBOLS - 1)
+        fake = np.minimum(np.searchsorted(cdf, rng.random(NOISE)), len(noise) - 1)
         good = 1 / (1 + np.exp(np.clip((r * q).sum(1) + model.bias[w] - log_kp[w], -30, 30)))
         bad = -1 / (1 + np.exp(-np.clip(r @ model.target[fake].T + model.bias[fake] - log_kp[fake], -30, 30)))
         grad_r = good[:, None] * q + bad @ model.target[fake]
@@ -302,7 +318,7 @@ def _fit(spark_docs: DataFrame, vocab: Vocabulary) -> Model:
                 data, offsets = tn.text_buffers(b["text"])
                 for lo, hi in tn.slices(offsets):
                     piece = pa.table({"id": b["id"].slice(lo, hi - lo), "text": b["text"].slice(lo, hi - lo)})
-                    g = _group(piece)
+                    g = _group(piece, vocab.n_classes)
                     rows = _contexts(g, vocab, ~g.held)
                     train_on(model, squares, rows[rng.permutation(len(rows))], noise, rng)
                     seen += len(rows)
@@ -329,7 +345,7 @@ def _score(shared, buckets: int):
         if not len(left):
             return _RESULT.empty_table()
         vocab, logits, z = shared.value
-        g = _group(left)
+        g = _group(left, vocab.n_classes)
         counts = np.zeros(len(g.hashes), np.int64)
         order, found, begin = tn.by_bucket(tn.bucket_of(g.hashes, buckets))
         said = dict(zip(right["bucket"].to_pylist(), right["counts"].to_pylist(), strict=True))
@@ -342,7 +358,7 @@ def _score(shared, buckets: int):
         logc = np.log10(counts + 1.0)
         base = per_text((logc - size)[g.which]) + np.log10(n_end + 1) - size
         symbols = vocab.of(g.hashes, g.classes)
-        share = np.where(symbols > WORDS, logc - vocab.within[symbols], 0.0)
+        share = np.where(symbols > word_count(vocab.n_classes), logc - vocab.within[symbols], 0.0)
         rows = _contexts(g, vocab, np.ones(n, bool))
         owner = np.repeat(np.arange(n), np.diff(g.first) + 1)
         lp = logits[0][rows[:, 1], rows[:, 2]] + logits[1][rows[:, 0], rows[:, 2]] - z[rows[:, 1], rows[:, 0]]
@@ -367,13 +383,14 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    n = group_count(docs)
+    n_bytes = text_bytes(docs)
+    n, n_classes = group_count(docs, total=n_bytes), class_count(n_bytes)
     dealt = docs.select("id", "text", group_of("id", "text", n).alias("grp"))
-    counts = dealt.groupBy("grp").applyInArrow(_count(n), "bucket int, grp int, hashes binary, counts binary, classes binary")
-    totals = stored(counts.groupBy("bucket").applyInArrow(_total(WORDS), TOTALS), "lm-totals")
+    counts = dealt.groupBy("grp").applyInArrow(_count(n, n_classes), "bucket int, grp int, hashes binary, counts binary, classes binary")
+    totals = stored(counts.groupBy("bucket").applyInArrow(_total(n_classes), TOTALS), "lm-totals")
     trains = F.coalesce(F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(MODULUS)) != HELD_OUT, F.lit(True))
     n_texts = docs.where(trains).count()
-    vocab = vocabulary(totals, n_texts)
+    vocab = vocabulary(totals, n_texts, n_classes)
     model = _fit(docs.where(trains), vocab)
     logits, z = model.tables()
     shared = spark.sparkContext.broadcast((vocab, logits.astype(np.float32), z.astype(np.float32)))

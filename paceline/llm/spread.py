@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 GROUP_BYTES = 8_000_000
 
 
-def group_count(docs: DataFrame, text_col: str = "text", size: int = GROUP_BYTES) -> int:
-    """How many groups of about ``size`` bytes of text the documents make."""
-    total = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
+def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
+    """Bytes of all texts."""
+    return docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
+
+
+def group_count(docs: DataFrame, text_col: str = "text", size: int = GROUP_BYTES, total: int | None = None) -> int:
+    """How many groups of about ``size`` bytes of text the documents make; ``total`` is their bytes where they are known."""
+    total = text_bytes(docs, text_col) if total is None else total
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(least, -(-total // size))
 

@@ -301,10 +301,10 @@ def test_lm_scores(docs, rows):
 def test_lm_probabilities_are_normalised_and_beat_the_unigram(spark):
     import numpy as np
 
-    from paceline.llm.lm_scoring import Model, SYMBOLS
+    from paceline.llm.lm_scoring import Model
 
     rng = np.random.default_rng(1)
-    m = Model(rng.normal(size=(2, SYMBOLS, 16)).astype(np.float32), rng.normal(size=(SYMBOLS, 16)).astype(np.float32), rng.normal(size=SYMBOLS).astype(np.float32))
+    m = Model(rng.normal(size=(2, 1024, 16)).astype(np.float32), rng.normal(size=(1024, 16)).astype(np.float32), rng.normal(size=1024).astype(np.float32))
     logits, z = m.tables()
     for one, two in ((0, 0), (5, 900), (1023, 17)):
         assert abs((10 ** (logits[0][one] + logits[1][two] - z[one, two])).sum() - 1) < 1e-6
