@@ -43,4 +43,29 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_QUARTERS} AS payload_di
 FROM f
 """
 
-ORACLES: dict[str, str] = {"op1_substring_dedup": OP1, "op2_source_mixing": OP2, "op6_warc_assembly": OP6}
+def _rounds(rounds: int) -> str:
+    """Rounds of Lloyd's algorithm one after the other: a0 assigns to c0, c1 has the floored means of a0, and so on."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, any_value(q) AS q, min({{'d': d, 'c': c}}) AS best
+  FROM (SELECT v.vec_id, v.q, c, list_sum(list_transform(list_zip(v.q, c{r}.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, c{r}) GROUP BY vec_id)""")
+        if r < rounds:
+            out.append(f"""c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m.q, c{r}.q) AS q FROM c{r} LEFT JOIN (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q
+  FROM (SELECT best.c AS c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT best, unnest(q) AS x, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY best.c, i) GROUP BY c) AS m USING (c))""")
+    return ",\n".join(out)
+
+
+OP12 = f"""
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, q FROM (SELECT sha256('2:' || vec_id) AS h, q FROM v ORDER BY h LIMIT 40)),
+{_rounds(5)},
+size AS (SELECT best.c AS c, sum(best.d)::BIGINT AS cluster_inertia FROM a5 GROUP BY best.c),
+copies AS (SELECT q, count(*) AS weight FROM v GROUP BY q)
+SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, cluster_inertia, (SELECT sum(best.d)::BIGINT FROM a5) AS inertia,
+  sha256(list_aggregate(list_transform(c5.q, lambda x: x::VARCHAR), 'string_agg', ',')) AS centroid_sha256, weight
+FROM a5 JOIN size ON best.c = size.c JOIN c5 ON best.c = c5.c JOIN copies ON a5.q = copies.q
+"""
+
+ORACLES: dict[str, str] = {"op1_substring_dedup": OP1, "op2_source_mixing": OP2, "op6_warc_assembly": OP6, "op12_centroid_clustering": OP12}
