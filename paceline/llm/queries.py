@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceline.llm.centroids import weighted_kmeans
+from paceline.llm.conversation_trie import conversation_trie
 from paceline.llm.decontamination import find_leaks
 from paceline.llm.html_extraction import extract_text
 from paceline.llm.license_scan import license_scan
@@ -71,4 +72,8 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_kmeans(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256.0, salt="2:")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op6_warc_assembly, op7_ngram_join, op8_html_extraction, op9_lm_scoring, op10_decontamination, op12_centroid_clustering)}
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op6_warc_assembly, op7_ngram_join, op8_html_extraction, op9_lm_scoring, op10_decontamination, op12_centroid_clustering, op13_conversation_trie)}

@@ -68,4 +68,30 @@ SELECT vec_id, best.c::INTEGER AS cluster, best.d AS distance, cluster_inertia,
 FROM a5 JOIN size ON best.c = size.c JOIN c5 ON best.c = c5.c JOIN copies ON a5.q = copies.q
 """
 
-ORACLES: dict[str, str] = {"op1_substring_dedup": OP1, "op2_source_mixing": OP2, "op6_warc_assembly": OP6, "op12_centroid_clustering": OP12}
+#: CRC-32 of a decimal number, bit by bit: a byte is folded in, then eight shifts follow.
+_CRC32 = "xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, 3988292384 * (s & 1)) END), 4294967295)"
+
+OP13 = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT c.conv_id, 0 AS part, i, role, text FROM convs AS c JOIN own ON own.conv_id = c.base AND i <= h
+  UNION ALL SELECT conv_id, 1, i, role, text FROM own JOIN convs USING (conv_id) WHERE i > h),
+paths AS (SELECT conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY part, i) FILTER (i IS NOT NULL), []) AS p FROM convs LEFT JOIN turns USING (conv_id) GROUP BY conv_id),
+seen AS (SELECT conv_id, len(p) AS n, d, p[1:d] AS k, CASE WHEN d > 0 THEN strlen(p[d].t) ELSE 0 END AS bytes FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends
+  FROM seen GROUP BY k, d),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+  SELECT k[1:j] AS k, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves
+  FROM (SELECT nodes.k, (n_convs - 1) * bytes AS saved, (n_children IS NULL)::INTEGER AS leaf, unnest(range(0, d + 1)) AS j FROM nodes LEFT JOIN kids USING (k)) GROUP BY 1)
+SELECT nodes.conv_id, nodes.d::BIGINT AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(nodes.ends) AS ends_sha256
+FROM nodes JOIN below USING (k) LEFT JOIN kids USING (k) LEFT JOIN nodes AS up ON nodes.d > 0 AND up.k = nodes.k[1:nodes.d - 1]
+"""
+
+ORACLES: dict[str, str] = {"op1_substring_dedup": OP1, "op2_source_mixing": OP2, "op6_warc_assembly": OP6, "op12_centroid_clustering": OP12, "op13_conversation_trie": OP13}
