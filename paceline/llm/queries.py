@@ -12,6 +12,7 @@ from paceline.llm.html_extraction import extract_text
 from paceline.llm.license_scan import license_scan
 from paceline.llm.lm_scoring import lm_scores
 from paceline.llm.ngram_join import ngram_components
+from paceline.llm.order_minhash import document_fingerprints
 from paceline.llm.pii import replace_pii
 from paceline.llm.quality_rules import quality_rules
 from paceline.llm.source_mixing import mix_sources
@@ -68,6 +69,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_kmeans(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256.0, salt="2:")
 
@@ -76,4 +81,4 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op6_warc_assembly, op7_ngram_join, op8_html_extraction, op9_lm_scoring, op10_decontamination, op12_centroid_clustering, op13_conversation_trie)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_pii_surrogates, op4_quality_rules, op5_license_scan, op6_warc_assembly, op7_ngram_join, op8_html_extraction, op9_lm_scoring, op10_decontamination, op11_order_minhash, op12_centroid_clustering, op13_conversation_trie)}
