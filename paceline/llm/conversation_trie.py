@@ -50,12 +50,13 @@ def slim_turns(conversations: DataFrame) -> DataFrame:
     return conversations.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long").alias("turn"), role.alias("role"), sha.alias("sha"), F.octet_length(text).cast("long").alias("bytes"), F.monotonically_increasing_id().alias("row"))
 
 
-_ORDER = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("sha"), F.col("row")]
+def _order() -> list[Column]:
+    return [F.col("turn").asc_nulls_first(), F.col("role"), F.col("sha"), F.col("row")]
 
 
 def rebuilt(slim: DataFrame) -> DataFrame:
     """Turns of the rebuilt conversations in parts: -1 marks the conversation, 0 is the head from elsewhere, 1 all its own turns."""
-    place = F.row_number().over(Window.partitionBy("conv").orderBy(*_ORDER))
+    place = F.row_number().over(Window.partitionBy("conv").orderBy(*_order()))
     heads = slim.withColumn("i", place).where(F.col("i") <= HEAD)
     convs = heads.where("i = 1").select("conv", (F.col("conv") - F.col("conv") % FAMILY).alias("base"), head_turns(F.col("conv")).alias("h"))
     given = heads.select(F.col("conv").alias("base"), "i", "role", "sha", "bytes")
@@ -81,9 +82,9 @@ def _carried(df: DataFrame, sums: dict[str, Column], before: dict[str, Column])
 def occurrences(conversations: DataFrame) -> DataFrame:
     """Every prefix of every rebuilt conversation: ``conv``, ``depth``, hashes ``a`` and ``b``, those of the parent, ``below`` (bytes from this turn on), ``length`` and ``pid``."""
     slim = stored(slim_turns(conversations), "trie-slim")
-    order = [F.col("conv"), F.col("part"), *_ORDER]
+    order = [F.col("conv"), F.col("part"), *_order()]
     turns = stored(rebuilt(slim).repartitionByRange(*order).withColumn("pid", F.spark_partition_id()), "trie-turns")
-    local = Window.partitionBy("pid", "conv").orderBy("part", *_ORDER)
+    local = Window.partitionBy("pid", "conv").orderBy("part", *_order())
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = {"heads": F.sum((F.col("part") == 0).cast("long")), "owns": F.sum((F.col("part") == 1).cast("long"))}
     placed = _carried(turns, counts, {"before_heads": F.sum("heads"), "before_owns": F.sum("owns")})

@@ -116,41 +116,43 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(agree / F.size(a))
 
 
-def with_next(rows: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
+def with_next(rows: DataFrame, id_col: str, text_col: str, derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Add ``next_<column>`` of the row that follows by id, then by SHA-256 of the text; after the last comes the first.
 
-    Rows stand in blocks of neighbouring ids, so one shuffle brings neighbours
+    The columns are the text and those that ``derive`` adds to the rows. Rows
+    stand in blocks of neighbouring ids, so one shuffle brings neighbours
     together and a window leads within a block. Only the last row of a block
-    looks up the first of the next one. A block with far more rows than its
-    share (equal ids, null ids, clustered ids) is split by id, text and, for
-    equal rows, by a number of copies.
+    looks up the first of the next one; of these first rows, one a block,
+    ``derive`` computes its columns a second time. A block with far more rows
+    than its share (equal ids, null ids, clustered ids) is split by id, text
+    and, for equal rows, by a number of copies.
     """
     ident, sha = F.col(id_col).cast("long"), F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
     span = rows.agg(F.count(F.lit(1)).alias("n"), F.min(ident).alias("least"), F.max(ident).alias("most")).first()
     n, width = span["n"], BLOCK
     if span["least"] is not None:
         width = max(BLOCK, BLOCK * (span["most"] - span["least"]) // n)
-    block = F.floor(ident / F.lit(width)) if width < 1 << 40 else F.floor(ident.cast("decimal(38,0)") / F.lit(width))
-    heavy = [r["block"] for r in rows.groupBy(block.cast("long").alias("block")).count().where(F.col("count") > max(4 * BLOCK, heavy_limit(rows, n))).select("block").collect()]
-    parts = [block.cast("long").alias("block")]
+    block = (F.floor(ident / F.lit(width)) if width < 1 << 40 else F.floor(ident.cast("decimal(38,0)") / F.lit(width))).cast("long")
+    heavy = [r["block"] for r in rows.groupBy(block.alias("block")).count().where(F.col("count") > max(4 * BLOCK, heavy_limit(rows, n))).select("block").collect()]
+    parts = [block.alias("block")]
     if heavy:
-        fine = block.cast("long").isin([b for b in heavy if b is not None])
-        fine = F.coalesce(fine, F.lit(None in heavy))
+        fine = F.coalesce(block.isin([b for b in heavy if b is not None]), F.lit(None in heavy))
         parts += [F.when(fine, x).alias(c) for c, x in (("fine_id", ident), ("fine_sha", sha), ("fine_copy", F.pmod(F.monotonically_increasing_id(), F.lit(COPIES))))]
     dealt = rows.withColumn("_block", F.struct(*parts)).withColumn("_sha", sha)
-    order = Window.partitionBy("_block").orderBy(F.col(id_col).asc_nulls_first(), "_sha")
-    led = dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns} | {"_ends": F.lead(F.lit(1)).over(order).isNull(), "_begins": F.row_number().over(order) == 1})
     blocks = stored(dealt.select("_block").distinct().repartitionByRange("_block").withColumn("pid", F.spark_partition_id()), "blocks")
     edges = blocks.groupBy("pid").agg(F.min("_block").alias("least")).withColumn("after", F.lead("least").over(Window.orderBy("pid")))
     first = F.first("least").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     edges = edges.select("pid", F.coalesce("after", first).alias("after"))
     follows = blocks.join(F.broadcast(edges), "pid").select("_block", F.coalesce(F.lead("_block").over(Window.partitionBy("pid").orderBy("_block")), "after").alias("after"))
-    begins = led.where("_begins").select(F.col("_block").alias("after"), *(F.col(c).alias(f"next_{c}") for c in columns))
-    given = follows.join(begins, "after").drop("after")
-    names = [*rows.columns, *(f"next_{c}" for c in columns)]
-    inner = led.where("not _ends").select(*names)
-    outer = led.where("_ends").drop(*(f"next_{c}" for c in columns)).join(given, "_block").select(*names)
-    return inner.unionByName(outer)
+    order = Window.partitionBy("_block").orderBy(F.col(id_col).asc_nulls_first(), "_sha")
+    begins = derive(dealt.withColumn("_at", F.row_number().over(order)).where("_at = 1").drop("_at"))
+    columns = [text_col, *(c for c in begins.columns if c not in dealt.columns)]
+    begins = begins.select(F.col("_block").alias("after"), *(F.col(c).alias(f"first_{c}") for c in columns))
+    led = derive(dealt).withColumns({f"next_{c}": F.lead(c).over(order) for c in columns} | {"_ends": F.lead(F.lit(1)).over(order).isNull()})
+    given = follows.join(begins, "after").drop("after").withColumnRenamed("_block", "of")
+    # The window has dealt and sorted the rows by block, so this join moves only the first rows.
+    found = led.join(given, (F.col("_block") == F.col("of")) & F.col("_ends"), "left")
+    return found.select(*(c for c in rows.columns if c not in columns), *columns, *(F.when(F.col("_ends"), F.col(f"first_{c}")).otherwise(F.col(f"next_{c}")).alias(f"next_{c}") for c in columns))
 
 
 def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,7 +170,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     other columns aren't read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = with_next(fingerprinted(rows, F.col("text"), "marks"), "doc_id", "text", ["text", "marks"])
+    rows = with_next(rows, "doc_id", "text", lambda df: fingerprinted(df, F.col("text"), "marks"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
