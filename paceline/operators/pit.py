@@ -165,3 +165,30 @@ def per_actor(build: Callable[[DataFrame, str], DataFrame], df: DataFrame, actor
     for actor in actors:
         df = build(df, actor)
     return df
+
+
+def cumulative_record(df: DataFrame, entity: str, contexts: list[str], order: list[str], last: int = 20) -> DataFrame:
+    """What an entity has done before each row, in a total order: totals, number of contexts of the first kind, the last results, and figures within each context.
+
+    Adds ``runs``, ``wins``, ``places``, ``gains``, ``n_contexts``, ``form_runs``,
+    ``form_wins`` and ``<context>_runs`` and ``_wins`` from ``won``, ``placed``
+    and ``gains``. Without an entity all are null, without a context its own.
+    """
+    before, recent = sequential(entity, *order), sequential(entity, *order, last=last)
+    total = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    first = (F.row_number().over(Window.partitionBy(entity, contexts[0]).orderBy(*order)) == 1) & F.col(contexts[0]).isNotNull()
+    figures = {"runs": F.count(F.lit(1)).over(before), "wins": total("won", before), "places": total("placed", before), "gains": total("_gains", before), "n_contexts": total("_first", before), "form_runs": F.count(F.lit(1)).over(recent), "form_wins": total("won", recent)}
+    out = df.withColumns({"_gains": F.col("gains"), "_first": first.cast("int")}).withColumns({k: F.when(known(entity), v) for k, v in figures.items() if k != "gains"} | {"_total": F.when(known(entity), figures["gains"])})
+    for c in contexts:
+        own = sequential([entity, c], *order)
+        out = out.withColumns({f"{c}_runs": F.when(known([entity, c]), F.count(F.lit(1)).over(own)), f"{c}_wins": F.when(known([entity, c]), total("won", own))})
+    return out.withColumn("gains", F.col("_total")).drop("_gains", "_first", "_total")
+
+
+def silences(df: DataFrame, entity: str, day: str, gap: int) -> DataFrame:
+    """``entity`` and ``last_day`` of every stretch of more than ``gap`` days without a row, or of at least ``gap`` up to the newest day of all."""
+    days = df.where(known(entity)).select(entity, day).distinct()
+    newest = days.agg(F.max(day).alias("_newest"))
+    after = days.withColumn("_next", F.lead(day).over(Window.partitionBy(entity).orderBy(day)))
+    out = after.join(F.broadcast(newest), F.when(F.col("_next").isNull(), F.col("_newest") - F.col(day) >= gap).otherwise(F.col("_next") - F.col(day) > gap))
+    return out.select(entity, F.col(day).alias("last_day"))
