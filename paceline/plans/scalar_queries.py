@@ -74,18 +74,6 @@ EMPTY_COLUMNS = f"""{R} SELECT 'uid' AS field, count(*) AS n_filled, count(*) =
 UNION ALL SELECT 'some', count(*) FILTER (uid % 3 = 0), count(*) FILTER (uid % 3 = 0) = 0 FROM r"""
 
 
-def ancestor_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    """Ancestors on both sides, their share of all, and whether one side names an ancestor twice."""
-    side = lambda k: F.split((F.col("p_partkey") * k).cast("string"), "(?!^)(?!$)")
-    p = table(spark, sf, "part").select("p_partkey", side(7).alias("a"), side(13).alias("b"))
-    common, total = F.size(F.array_intersect("a", "b")), F.size(F.array_union("a", "b"))
-    return p.select("p_partkey", integer(common, "n_common"), integer(total, "n_total"), real(common / total, "inbreeding"), (F.size("a") > F.size(F.array_distinct("a"))).alias("repeated"))
-
-
-ANCESTOR_OVERLAP = f"""WITH p AS (SELECT p_partkey, string_split((p_partkey * 7)::VARCHAR, '') AS a, string_split((p_partkey * 13)::VARCHAR, '') AS b FROM part)
-SELECT p_partkey, len(list_intersect(a, b))::BIGINT AS n_common, len(list_distinct(a || b))::BIGINT AS n_total, {real_sql('len(list_intersect(a, b)) / len(list_distinct(a || b))', 'inbreeding')}, len(a) > len(list_distinct(a)) AS repeated FROM p"""
-
-
 def record_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of each discipline before and after whole records that repeat are dropped."""
     line = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_suppkey", "l_quantity", "l_discount")
@@ -235,6 +223,6 @@ def final_statistics(spark: SparkSession, sf: str) -> DataFrame:
 
 FINAL_STATISTICS = f"{R} SELECT discipline, count(*) AS n, count(DISTINCT race) AS n_race, count(DISTINCT horse) AS n_horse, count(DISTINCT jockey) AS n_jockey, min(day)::BIGINT AS first_day, max(day)::BIGINT AS last_day, sum(gains)::BIGINT AS gains FROM r GROUP BY 1"
 
-_NAMES = ("row_keys", "calendar", "freshness", "interactions", "empty_columns", "ancestor_overlap", "record_dedup", "source_presence", "tip_consensus", "form_years", "conditions_fields", "repaired_texts", "top_earners", "sectional_gains", "sire_aptitude", "registry_youngest", "meeting_json", "canonical_disciplines", "final_statistics")
+_NAMES = ("row_keys", "calendar", "freshness", "interactions", "empty_columns", "record_dedup", "source_presence", "tip_consensus", "form_years", "conditions_fields", "repaired_texts", "top_earners", "sectional_gains", "sire_aptitude", "registry_youngest", "meeting_json", "canonical_disciplines", "final_statistics")
 QUERIES = {n: globals()[n] for n in _NAMES}
 ORACLES = {n: globals()[n.upper()] for n in _NAMES}

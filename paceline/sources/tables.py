@@ -77,3 +77,20 @@ EVENTS_SQL = """
 e AS (SELECT event_id, user_id AS entity, ts, date_diff('day', DATE '2024-01-01', ts::DATE) AS day, event_type AS kind, value,
   json_extract_string(props, '$.k')::INTEGER AS k, props FROM events)
 """
+
+
+def pedigree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sire and dam of every horse: the first and the last home, among those that had run on an earlier day, in the first race it ran in. No horse descends from itself."""
+    r = runners(spark, sf_dir).select("horse", "race", "day", "no", "position")
+    debut = r.groupBy("horse").agg(F.min(F.struct("day", "race")).alias("first"))
+    fields = r.join(debut.select("horse", F.col("first.day").alias("since")), "horse").where("since < day").groupBy("race").agg(F.sort_array(F.collect_set(F.struct("position", "horse"))).alias("older"))
+    met = debut.select("horse", F.col("first.race").alias("race")).join(fields, "race", "left")
+    sire = F.try_element_at("older", F.lit(1))["horse"]
+    dam = F.when(F.try_element_at("older", F.lit(-1))["horse"] != sire, F.try_element_at("older", F.lit(-1))["horse"])
+    return met.select("horse", sire.alias("sire"), dam.alias("dam"))
+
+
+PEDIGREE_SQL = RUNNERS_SQL + """, debut AS (SELECT horse, arg_min(race, (day, race)) AS race, min(day) AS since FROM r GROUP BY horse),
+older AS (SELECT r.race, list(r.horse ORDER BY r.position) AS h FROM r JOIN debut ON r.horse = debut.horse WHERE since < day GROUP BY r.race),
+ped AS (SELECT horse, h[1] AS sire, CASE WHEN h[-1] <> h[1] THEN h[-1] END AS dam FROM debut LEFT JOIN older USING (race))
+"""
