@@ -107,3 +107,48 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], day: str, within
     met = probe.join(side, [*keys, "_b"]).withColumn("_gap", F.abs(F.col("_d") - F.col("_e"))).where(F.col("_gap") <= within)
     first = Window.partitionBy(key).orderBy("_gap", "_e", *values)
     return left.join(met.withColumn("_k", F.row_number().over(first)).where("_k = 1").select(key, *values, F.col("_gap").alias("days_apart")), key, "left")
+
+
+def temperature_by_descent(train: DataFrame, df: DataFrame, score: str, label: str, steps: int = 50, within: float = 1e-9, out: str = "calibrated") -> DataFrame:
+    """One temperature for all logits by descent on the log loss; each step is one aggregation.
+
+    The loss is convex in the inverse temperature, so the step is the slope
+    over the curvature, at most doubling or halving it.
+    """
+    rows = train.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(logit(F.col(score)).alias("x"), F.col(label).cast("double").alias("y"))
+    inverse = 1.0
+    for _ in range(steps):
+        p = 1 / (1 + F.exp(-F.lit(inverse) * F.col("x")))
+        row = rows.agg(F.sum((p - F.col("y")) * F.col("x")).alias("slope"), F.sum(p * (1 - p) * F.col("x") * F.col("x")).alias("curve")).first()
+        if not row["curve"]:
+            break
+        after = min(max(inverse - row["slope"] / row["curve"], inverse / 2), inverse * 2, 100.0)
+        done, inverse = abs(after - inverse) <= within * inverse, after
+        if done:
+            break
+    return df.withColumn(out, 1 / (1 + F.exp(-F.lit(inverse) * logit(F.col(score)))))
+
+
+def stacked(df: DataFrame, test: DataFrame, features: list[str], label: str, fold: str, kinds: tuple[str, ...] = ("logistic", "forest", "boosted"), key: str = "uid") -> DataFrame:
+    """``test`` with the score of each kind of model and of a stack of them.
+
+    The stack is a logistic regression over the logits of scores that each
+    model gave to later folds than it had learned from; then the models are
+    fitted again on all of ``df``. ``key`` is unique.
+    """
+    base = None
+    for kind in kinds:
+        part = out_of_fold(df, features, label, kind, fold).select(key, label, f"{kind}_score")
+        base = part if base is None else base.join(part.drop(label), key)
+    names = [f"{k}_score" for k in kinds]
+    logits = lambda d: d.withColumns({f"_{n}": logit(F.col(n)) for n in names})
+    gather = VectorAssembler(inputCols=[f"_{n}" for n in names], outputCol="_stack")
+    meta = LogisticRegression(labelCol="_y", featuresCol="_stack", regParam=0.001, maxIter=50).fit(gather.transform(logits(base)).withColumn("_y", F.col(label).cast("double")))
+    out = test
+    for kind in kinds:
+        out = scored(fitted(df, features, label, kind), out, features, f"{kind}_score")
+    parts = [F.lit(float(c)) * logit(F.col(n)) for c, n in zip(meta.coefficients, names, strict=True)]
+    z = F.lit(float(meta.intercept))
+    for part in parts:
+        z = z + part
+    return out.withColumn("stack_score", 1 / (1 + F.exp(-z)))
