@@ -20,20 +20,38 @@ def _keys(keys: Keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def known(keys: Keys) -> Column:
+    """Whether all of an entity's keys are there."""
+    out = F.lit(True)
+    for k in _keys(keys):
+        out = out & F.col(k).isNotNull()
+    return out
+
+
+def of(entity: Keys, *alone: str) -> WindowSpec:
+    """An entity's rows. Rows without one stand apart by the columns ``alone``, so they share no history and make no hot partition."""
+    return Window.partitionBy(*_keys(entity), F.when(~known(entity), F.struct(*alone)))
+
+
+def in_order(entity: Keys, *order: str) -> WindowSpec:
+    """An entity's rows in a total order; a row without an entity is alone."""
+    return of(entity, *order).orderBy(*order)
+
+
 def strict_day(entity: Keys, day: str = "day") -> WindowSpec:
     """Rows of the entity on earlier days; rows of one day don't see each other."""
-    return Window.partitionBy(*_keys(entity)).orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
+    return of(entity, day).orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
 
 
 def trailing_days(entity: Keys, days: int, day: str = "day") -> WindowSpec:
     """Rows of the entity on the ``days`` days before this one, today excluded."""
-    return Window.partitionBy(*_keys(entity)).orderBy(day).rangeBetween(-days, -1)
+    return of(entity, day).orderBy(day).rangeBetween(-days, -1)
 
 
 def sequential(entity: Keys, *order: str, last: int | None = None, skip: int = 0) -> WindowSpec:
     """Rows of the entity before this one in a total order, or the ``last`` of them after skipping ``skip``."""
     start = Window.unboundedPreceding if last is None else -(last + skip)
-    return Window.partitionBy(*_keys(entity)).orderBy(*order).rowsBetween(start, -1 - skip)
+    return in_order(entity, *order).rowsBetween(start, -1 - skip)
 
 
 def rate(hits: Column, n: Column) -> Column:
@@ -41,14 +59,6 @@ def rate(hits: Column, n: Column) -> Column:
     return F.try_divide(hits.cast("double"), n)
 
 
-def known(keys: Keys) -> Column:
-    """Whether all of an entity's keys are there."""
-    out = F.lit(True)
-    for k in _keys(keys):
-        out = out & F.col(k).isNotNull()
-    return out
-
-
 def history(df: DataFrame, entity: Keys, frame: WindowSpec, prefix: str, won: str = "won", placed: str = "placed") -> DataFrame:
     """Runs, wins, places and win rate within a frame."""
     own = known(entity)
@@ -94,7 +104,7 @@ def last_n_of_earlier_days(df: DataFrame, entity: Keys, n: int, order: list[str]
 
 def streak(df: DataFrame, entity: Keys, order: list[str], hit: str, out: str, day: str = "day") -> DataFrame:
     """Length of the run of hits that ends with the last row of earlier days."""
-    rank = F.row_number().over(Window.partitionBy(*_keys(entity)).orderBy(*order))
+    rank = F.row_number().over(of(entity, day).orderBy(*order))
     frame = strict_day(entity, day)
     last, miss = F.max("_rn").over(frame), F.max(F.when(F.col(hit) == 0, F.col("_rn"))).over(frame)
     return df.withColumn("_rn", rank).withColumn(out, F.coalesce(last, F.lit(0)) - F.coalesce(miss, F.lit(0))).drop("_rn")
@@ -102,7 +112,7 @@ def streak(df: DataFrame, entity: Keys, order: list[str], hit: str, out: str, da
 
 def rows_since(df: DataFrame, entity: Keys, order: list[str], hit: str, out: str, day: str = "day") -> DataFrame:
     """Rows of earlier days since the last hit; null if there was none."""
-    rank = F.row_number().over(Window.partitionBy(*_keys(entity)).orderBy(*order))
+    rank = F.row_number().over(of(entity, day).orderBy(*order))
     frame = strict_day(entity, day)
     return df.withColumn("_rn", rank).withColumn(out, F.max("_rn").over(frame) - F.max(F.when(F.col(hit) == 1, F.col("_rn"))).over(frame)).drop("_rn")
 
@@ -110,7 +120,7 @@ def rows_since(df: DataFrame, entity: Keys, order: list[str], hit: str, out: str
 def running_distinct(df: DataFrame, entity: Keys, value: str, order: list[str], out: str) -> DataFrame:
     """Distinct values among the rows before this one."""
     keys = _keys(entity)
-    first = F.row_number().over(Window.partitionBy(*keys, value).orderBy(*order)) == 1
+    first = (F.row_number().over(Window.partitionBy(*keys, value).orderBy(*order)) == 1) & known(keys)
     return df.withColumn("_first", first.cast("int")).withColumn(out, F.coalesce(F.sum("_first").over(sequential(keys, *order)), F.lit(0))).drop("_first")
 
 
@@ -192,3 +202,28 @@ def silences(df: DataFrame, entity: str, day: str, gap: int) -> DataFrame:
     after = days.withColumn("_next", F.lead(day).over(Window.partitionBy(entity).orderBy(day)))
     out = after.join(F.broadcast(newest), F.when(F.col("_next").isNull(), F.col("_newest") - F.col(day) >= gap).otherwise(F.col("_next") - F.col(day) > gap))
     return out.select(entity, F.col(day).alias("last_day"))
+
+
+def rank_before(df: DataFrame, entity: str, value: str, key: str, day: str = "day") -> DataFrame:
+    """Add ``n_before``, ``n_below`` and ``n_equal``: the entity's rows of earlier days, those of a smaller and of the same ``value``.
+
+    Ranks are counted by merging runs of rows: values are cut into blocks that
+    double in width, a row meets the blocks that make up all smaller values,
+    and each block keeps a running count over the days. An entity's rows are
+    never paired with each other. ``value`` is a whole number, not negative.
+    """
+    levels = max(1, int(df.agg(F.max(value).alias("m")).first()["m"] or 0).bit_length())
+    rows = df.where(known(entity) & F.col(value).isNotNull())
+    level = F.explode(F.sequence(F.lit(0), F.lit(levels)))
+    # Level k has blocks of 2 ** k values. A value's smaller ones are the left neighbours of its blocks wherever its bit is set.
+    every = rows.select(entity, day, key, F.col(value).alias("_v"), level.alias("_k"))
+    block = F.expr("shiftright(_v, _k)")
+    added = every.groupBy(entity, "_k", block.alias("_b"), day).agg(F.count(F.lit(1)).alias("_n"))
+    odd = (block % 2 == 1) & (F.col("_k") < levels)
+    asks = every.where(odd).select(entity, "_k", (block - 1).alias("_b"), day, key, F.lit("below").alias("_what")).unionByName(every.where("_k = 0").select(entity, "_k", block.alias("_b"), day, key, F.lit("equal").alias("_what"))).unionByName(every.where(F.col("_k") == levels).select(entity, "_k", block.alias("_b"), day, key, F.lit("before").alias("_what")))
+    counted = added.select(entity, "_k", "_b", day, "_n", F.lit(None).cast(dict(df.dtypes)[key]).alias(key), F.lit(None).cast("string").alias("_what"))
+    both = counted.unionByName(asks.withColumn("_n", F.lit(0).cast("long")))
+    frame = Window.partitionBy(entity, "_k", "_b").orderBy(day).rangeBetween(Window.unboundedPreceding, -1)
+    found = both.withColumn("_sum", F.coalesce(F.sum("_n").over(frame), F.lit(0))).where("_what is not null")
+    sums = found.groupBy(key).agg(*(F.sum(F.when(F.col("_what") == w, F.col("_sum")).otherwise(0)).alias(f"n_{w}") for w in ("before", "below", "equal")))
+    return df.join(sums, key, "left").withColumns({f"n_{w}": F.coalesce(f"n_{w}", F.lit(0)) for w in ("before", "below", "equal")})

@@ -195,26 +195,26 @@ def jockey_profile(spark: SparkSession, sf: str) -> DataFrame:
     cols = [x for d in (30, 90, 365) for x in (F.count_if(within(d)).alias(f"runs_{d}"), F.sum(F.when(within(d), F.col("won")).otherwise(0)).alias(f"wins_{d}"))]
     base = r.groupBy("jockey").agg(F.count(F.lit(1)).alias("runs"), F.sum("won").alias("wins"), *cols)
     top = r.groupBy("jockey", "trainer").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.row_number().over(Window.partitionBy("jockey").orderBy(F.desc("n"), "trainer"))).where("k <= 3")
-    partners = top.groupBy("jockey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "trainer"))), lambda x: x["trainer"].cast("string")), ",").alias("partners"))
-    return base.join(partners, "jockey")
+    partners = top.groupBy(F.col("jockey").alias("of")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "trainer"))), lambda x: x["trainer"].cast("string")), ",").alias("partners"))
+    return base.join(partners, F.col("jockey").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 JOCKEY_PROFILE = f"""{R}, l AS (SELECT *, max(day) OVER (PARTITION BY jockey) AS last FROM r), t AS (SELECT jockey, trainer, row_number() OVER (PARTITION BY jockey ORDER BY n DESC, trainer) AS k FROM (SELECT jockey, trainer, count(*) AS n FROM r GROUP BY jockey, trainer)),
 p AS (SELECT jockey, string_agg(trainer::VARCHAR, ',' ORDER BY k) AS partners FROM t WHERE k <= 3 GROUP BY jockey)
-SELECT jockey, count(*) AS runs, sum(won)::BIGINT AS wins, {", ".join(f"count(*) FILTER (day >= last - {d}) AS runs_{d}, coalesce(sum(won) FILTER (day >= last - {d}), 0)::BIGINT AS wins_{d}" for d in (30, 90, 365))}, any_value(partners) AS partners FROM l JOIN p USING (jockey) GROUP BY jockey"""
+SELECT l.jockey, count(*) AS runs, sum(won)::BIGINT AS wins, {", ".join(f"count(*) FILTER (day >= last - {d}) AS runs_{d}, coalesce(sum(won) FILTER (day >= last - {d}), 0)::BIGINT AS wins_{d}" for d in (30, 90, 365))}, any_value(partners) AS partners FROM l JOIN p ON l.jockey IS NOT DISTINCT FROM p.jockey GROUP BY l.jockey"""
 
 
 def track_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Track totals: favourite win rate, field sizes, commonest discipline, winners' odds, draw bias in the first third."""
     r = with_tracks(race.market(runners(spark, sf)), spark, sf)
-    modal = r.groupBy("track", "discipline").count().withColumn("k", F.row_number().over(Window.partitionBy("track").orderBy(F.desc("count"), "discipline"))).where("k = 1").select("track", F.col("discipline").alias("modal_discipline"))
+    modal = r.groupBy("track", "discipline").count().withColumn("k", F.row_number().over(Window.partitionBy("track").orderBy(F.desc("count"), "discipline"))).where("k = 1").select(F.col("track").alias("of"), F.col("discipline").alias("modal_discipline"))
     low = F.col("draw") * 3 <= F.col("field_size")
     g = r.groupBy("track").agg(F.count(F.lit(1)).alias("runs"), F.count_distinct("race").alias("races"), F.sum("favourite").alias("favourites"), F.sum(F.col("favourite") * F.col("won")).alias("favourite_wins"), F.avg("field_size").alias("mean_field"), F.median("field_size").alias("median_field"), F.median(F.when(F.col("won") == 1, F.col("odds"))).alias("winner_odds"), F.sum(F.when(low, F.col("won")).otherwise(0)).alias("low_draw_wins"))
-    return g.join(modal, "track")
+    return g.join(modal, F.col("track").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 TRACK_PROFILE = f"""{RT}, m AS (SELECT *, count(*) OVER (PARTITION BY race) AS field_size, (row_number() OVER (PARTITION BY race ORDER BY odds, no) = 1)::INTEGER AS favourite FROM rt), d AS (SELECT track, discipline AS modal_discipline FROM (SELECT track, discipline, count(*) AS n FROM rt GROUP BY track, discipline) QUALIFY row_number() OVER (PARTITION BY track ORDER BY n DESC, discipline) = 1)
-SELECT track, count(*) AS runs, count(DISTINCT race) AS races, sum(favourite)::BIGINT AS favourites, sum(favourite * won)::BIGINT AS favourite_wins, avg(field_size) AS mean_field, median(field_size) AS median_field, median(CASE WHEN won = 1 THEN odds END) AS winner_odds, sum(CASE WHEN draw * 3 <= field_size THEN won ELSE 0 END)::BIGINT AS low_draw_wins, any_value(modal_discipline) AS modal_discipline FROM m JOIN d USING (track) GROUP BY track"""
+SELECT m.track, count(*) AS runs, count(DISTINCT race) AS races, sum(favourite)::BIGINT AS favourites, sum(favourite * won)::BIGINT AS favourite_wins, avg(field_size) AS mean_field, median(field_size) AS median_field, median(CASE WHEN won = 1 THEN odds END) AS winner_odds, sum(CASE WHEN draw * 3 <= field_size THEN won ELSE 0 END)::BIGINT AS low_draw_wins, any_value(modal_discipline) AS modal_discipline FROM m JOIN d ON m.track IS NOT DISTINCT FROM d.track GROUP BY m.track"""
 
 
 def coverage_matrix(spark: SparkSession, sf: str) -> DataFrame:

@@ -66,10 +66,11 @@ FROM r WINDOW {", ".join(f"w{n} AS (PARTITION BY horse ORDER BY day, race, no RO
 def form_days(spark: SparkSession, sf: str) -> DataFrame:
     """Runs, earnings and win rate over the 30, 60, 90 and 180 days before each run, its own day's earlier runs included."""
     r = runners(spark, sf)
-    rest = Window.partitionBy("horse", "day").orderBy("race", "no").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    alone = pit.of("horse", *ORDER)
+    rest = pit.of(["horse", "day"], *ORDER).orderBy("race", "no").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     cols = []
     for d in (30, 60, 90, 180):
-        w = Window.partitionBy("horse").orderBy("day").rangeBetween(-d, 0)
+        w = alone.orderBy("day").rangeBetween(-d, 0)
         so_far = lambda c, w=w: F.sum(c).over(w) - F.sum(c).over(rest)
         runs = F.count(F.lit(1)).over(w) - F.count(F.lit(1)).over(rest)
         cols += [integer(runs, f"runs_{d}"), integer(so_far("gains"), f"gains_{d}"), real(F.when(runs > 0, so_far("won") / runs), f"win_rate_{d}")]
@@ -87,7 +88,7 @@ def pair_histories(spark: SparkSession, sf: str) -> DataFrame:
     r = with_tracks(runners(spark, sf), spark, sf).withColumn("band", scalars.distance_band(F.col("distance"), "E"))
     for name, keys in PAIRS.items():
         r = pit.daily_history(r, list(keys), name)
-    before = F.lag("jockey").over(Window.partitionBy("horse").orderBy(*ORDER))
+    before = F.lag("jockey").over(pit.in_order("horse", *ORDER))
     cols = [c for p in PAIRS for c in (integer(F.col(f"{p}_runs"), f"{p}_runs"), integer(F.col(f"{p}_wins"), f"{p}_wins"), real(F.col(f"{p}_win_rate"), f"{p}_rate"), integer((F.col(f"{p}_runs") == 0).cast("int"), f"{p}_new"))]
     return r.select("uid", *cols, integer((before != F.col("jockey")).cast("int"), "jockey_changed"))
 
@@ -124,7 +125,7 @@ def run_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Change from the horse's run before: distance, class (purse), discipline, track and surface, runs at one track in a row, purse changes in the last 5 runs."""
     r = with_tracks(runners(spark, sf), spark, sf)
     purse = F.sum("gains").over(Window.partitionBy("race"))
-    w = Window.partitionBy("horse").orderBy(*ORDER)
+    w = pit.in_order("horse", *ORDER)
     r = r.withColumn("purse", purse).withColumns({"same": (F.lag("track").over(w) == F.col("track")).cast("int"), "moved": F.coalesce((F.lag("purse").over(w) != F.col("purse")).cast("int"), F.lit(0)), "rn": F.row_number().over(w)})
     broken = F.max(F.when(F.coalesce("same", F.lit(0)) == 0, F.col("rn"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
     changed = lambda c: integer((F.lag(c).over(w) != F.col(c)).cast("int"), f"{c}_changed")
@@ -159,9 +160,9 @@ FROM g"""
 def recent_tracks(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct tracks of each trainer over the 30 days before: sets by day, joined over the frame of days."""
     r = with_tracks(runners(spark, sf), spark, sf)
-    days = r.groupBy("trainer", "day").agg(F.collect_set("track").alias("tracks"))
+    days = r.where("trainer is not null").groupBy("trainer", "day").agg(F.collect_set("track").alias("tracks"))
     seen = F.size(F.array_distinct(F.flatten(F.collect_list("tracks").over(pit.trailing_days("trainer", 30)))))
-    return r.select("uid", "trainer", "day").join(days.select("trainer", "day", integer(seen, "tracks_30")), ["trainer", "day"]).select("uid", "tracks_30")
+    return r.select("uid", "trainer", "day").join(days.select("trainer", "day", integer(seen, "tracks_30")), ["trainer", "day"], "left").select("uid", F.coalesce("tracks_30", F.lit(0)).alias("tracks_30"))
 
 
 RECENT_TRACKS = f"""{RT} SELECT a.uid, count(DISTINCT b.track) AS tracks_30 FROM rt AS a LEFT JOIN rt AS b ON a.trainer = b.trainer AND b.day BETWEEN a.day - 30 AND a.day - 1 GROUP BY a.uid"""
@@ -198,8 +199,8 @@ FROM x WINDOW {", ".join(f"{n} AS (PARTITION BY {k} ORDER BY day RANGE BETWEEN 3
 
 
 def quarter_gains(spark: SparkSession, sf: str) -> DataFrame:
-    """Earnings of each horse by quarter, those of its quarter before and their ratio, the season's and the weekday's win rate so far."""
-    r = runners(spark, sf).withColumn("quarter", F.year("race_date") * 4 + F.quarter("race_date"))
+    """Earnings of each horse by quarter, those of its quarter before and their ratio, and the season's win rate so far; runs of unknown horses have no quarters."""
+    r = runners(spark, sf).where("horse is not null").withColumn("quarter", F.year("race_date") * 4 + F.quarter("race_date"))
     q = r.groupBy("horse", "quarter").agg(F.sum("gains").alias("gains"), F.sum("won").alias("wins"), F.count(F.lit(1)).alias("runs"))
     w = Window.partitionBy("horse").orderBy("quarter")
     before = F.lag("gains").over(w)
@@ -207,7 +208,7 @@ def quarter_gains(spark: SparkSession, sf: str) -> DataFrame:
     return q.select("horse", integer(F.col("quarter"), "quarter"), integer(F.col("gains"), "gains"), integer(before, "gains_before"), real(F.try_divide(F.col("gains").cast("double"), before), "ratio"), integer(F.col("quarter") - F.lag("quarter").over(w), "quarters_since"), real(F.try_divide(F.sum("wins").over(season).cast("double"), F.sum("runs").over(season)), "season_rate"))
 
 
-QUARTER_GAINS = f"""{R}, q AS (SELECT horse, year(race_date) * 4 + quarter(race_date) AS quarter, sum(gains) AS gains, sum(won) AS wins, count(*) AS runs FROM r GROUP BY 1, 2)
+QUARTER_GAINS = f"""{R}, q AS (SELECT horse, year(race_date) * 4 + quarter(race_date) AS quarter, sum(gains) AS gains, sum(won) AS wins, count(*) AS runs FROM r WHERE horse IS NOT NULL GROUP BY 1, 2)
 SELECT horse, quarter::BIGINT AS quarter, gains::BIGINT AS gains, (lag(gains) OVER w)::BIGINT AS gains_before, {real_sql('gains / lag(gains) OVER w', 'ratio')}, (quarter - lag(quarter) OVER w)::BIGINT AS quarters_since, {real_sql('sum(wins) OVER s / sum(runs) OVER s', 'season_rate')}
 FROM q WINDOW w AS (PARTITION BY horse ORDER BY quarter), s AS (PARTITION BY horse, quarter % 4 ORDER BY quarter ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
@@ -247,7 +248,7 @@ def actor_degrees(spark: SparkSession, sf: str) -> DataFrame:
     r = runners(spark, sf)
     for actor, other, name in (("jockey", "horse", "jockey_horses"), ("trainer", "horse", "trainer_horses"), ("horse", "jockey", "horse_jockeys"), ("horse", "trainer", "horse_trainers")):
         r = pit.running_distinct(r, actor, other, ORDER, name)
-    first = lambda *k: (F.row_number().over(Window.partitionBy(*k).orderBy(*ORDER)) == 1).cast("int")
+    first = lambda *k: (F.row_number().over(pit.in_order(list(k), *ORDER)) == 1).cast("int")
     names = ("jockey_horses", "trainer_horses", "horse_jockeys", "horse_trainers")
     return r.select("uid", *(integer(F.col(n), n) for n in names), integer(F.col("horse_jockeys") + F.col("horse_trainers"), "horse_degree"), integer(first("horse", "jockey"), "first_duo"), integer(first("horse", "trainer"), "first_stable"))
 
@@ -260,10 +261,8 @@ SELECT uid, {", ".join(n for _, _, n in _DEGREES)}, horse_jockeys + horse_traine
 
 def purse_percentile(spark: SparkSession, sf: str) -> DataFrame:
     """Percentile rank of the run's earnings among the horse's earlier days: mid-rank and strictly below."""
-    r = runners(spark, sf)
-    past = r.select("horse", F.col("day").alias("d"), F.col("gains").alias("g"))
-    met = r.select("uid", "horse", "day", "gains").join(past, (past["horse"] == r["horse"]) & (F.col("d") < F.col("day"))).groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("g") < F.col("gains")).alias("below"), F.count_if(F.col("g") == F.col("gains")).alias("equal"))
-    return r.select("uid").join(met, "uid", "left").select("uid", real((F.col("below") + 0.5 * F.col("equal")) / F.col("n"), "mid_rank"), real(F.col("below") / F.col("n"), "below_rank"))
+    r = pit.rank_before(runners(spark, sf), "horse", "gains", "uid")
+    return r.select("uid", real((F.col("n_below") + 0.5 * F.col("n_equal")) / F.nullif(F.col("n_before"), F.lit(0)), "mid_rank"), real(F.col("n_below") / F.nullif(F.col("n_before"), F.lit(0)), "below_rank"))
 
 
 PURSE_PERCENTILE = f"""{R} SELECT a.uid, {real_sql('(count(*) FILTER (b.gains < a.gains) + 0.5 * count(*) FILTER (b.gains = a.gains)) / nullif(count(b.uid), 0)', 'mid_rank')}, {real_sql('count(*) FILTER (b.gains < a.gains) / nullif(count(b.uid), 0)', 'below_rank')} FROM r AS a LEFT JOIN r AS b ON a.horse = b.horse AND b.day < a.day GROUP BY a.uid"""
@@ -272,7 +271,7 @@ PURSE_PERCENTILE = f"""{R} SELECT a.uid, {real_sql('(count(*) FILTER (b.gains <
 def position_series(spark: SparkSession, sf: str) -> DataFrame:
     """Slopes of the last 5 and 10 positions, volatility, variation, and momentum: slope of the three before less that of the last three."""
     r = runners(spark, sf)
-    order = Window.partitionBy("horse").orderBy(*ORDER)
+    order = pit.in_order("horse", *ORDER)
     r = r.withColumn("rn", F.row_number().over(order))
     w = lambda last, skip=0: pit.sequential("horse", *ORDER, last=last, skip=skip)
     at = lambda k: F.lag("position", k).over(order)  # noqa: E731  slope of three equal steps is half the change
@@ -290,10 +289,10 @@ FROM s WINDOW w AS (PARTITION BY horse ORDER BY day, race, no), {", ".join(f"w{n
 def series_reset(spark: SparkSession, sf: str) -> DataFrame:
     """Runs of wins, of places without a win and of misses that end before each run; a mere place ends a run of wins."""
     r = runners(spark, sf).withColumn("kind", F.when(F.col("won") == 1, "win").when(F.col("placed") == 1, "place").otherwise("miss"))
-    w = Window.partitionBy("horse").orderBy(*ORDER)
+    w = pit.in_order("horse", *ORDER)
     r = r.withColumn("turn", F.coalesce((F.lag("kind").over(w) != F.col("kind")).cast("int"), F.lit(1)))
     r = r.withColumn("series", F.sum("turn").over(w))
-    r = r.withColumn("length", F.row_number().over(Window.partitionBy("horse", "series").orderBy(*ORDER)))
+    r = r.withColumn("length", F.row_number().over(pit.in_order(["horse", "series"], *ORDER)))
     last, length = F.lag("kind").over(w), F.lag("length").over(w)
     return r.select("uid", *(integer(F.when(last == k, length).otherwise(0), f"{k}_series") for k in ("win", "place", "miss")))
 

@@ -265,10 +265,10 @@ WINDOW a AS (PARTITION BY entity ORDER BY ts ROWS BETWEEN 3 PRECEDING AND 1 PREC
 
 def equipment_change(spark: SparkSession, sf: str) -> DataFrame:
     """Changes against the horse's previous run: equipment, discipline, distance, weight, jockey; first time with an equipment."""
-    w = Window.partitionBy("horse").orderBy(*ORDER)
+    w = pit.in_order("horse", *ORDER)
     r = runners(spark, sf)
     changed = lambda c: F.when(F.lag(c).over(w).isNotNull(), (F.col(c) != F.lag(c).over(w)).cast("int")).alias(f"{c}_changed")
-    first = (F.row_number().over(Window.partitionBy("horse", "equipment").orderBy(*ORDER)) == 1).cast("int")
+    first = (F.row_number().over(pit.in_order(["horse", "equipment"], *ORDER)) == 1).cast("int")
     return r.select("uid", *map(changed, ("equipment", "discipline", "jockey")), (F.col("distance") - F.lag("distance").over(w)).alias("distance_step"), (F.col("weight") - F.lag("weight").over(w)).alias("weight_step"), (F.col("day") - F.lag("day").over(w)).cast("long").alias("rest_days"), first.alias("first_time"))
 
 
@@ -279,8 +279,8 @@ EQUIPMENT_CHANGE = f"""{R} SELECT uid, {", ".join(f"({c} <> lag({c}) OVER w)::IN
 def entity_snapshot_global(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-career totals on every row: looks ahead by design, hence the name."""
     r = runners(spark, sf)
-    g = r.groupBy("horse").agg(F.count(F.lit(1)).alias("global_runs"), F.sum("won").alias("global_wins"), F.sum("gains").alias("global_gains"))
-    return r.select("uid", "horse").join(g, "horse").select("uid", "global_runs", "global_wins", "global_gains")
+    g = r.groupBy(F.col("horse").alias("of")).agg(F.count(F.lit(1)).alias("global_runs"), F.sum("won").alias("global_wins"), F.sum("gains").alias("global_gains"))
+    return r.select("uid", "horse").join(g, F.col("horse").eqNullSafe(F.col("of")), "left").select("uid", "global_runs", "global_wins", "global_gains")
 
 
 ENTITY_SNAPSHOT = f"""{R} SELECT uid, count(*) OVER w AS global_runs, (sum(won) OVER w)::BIGINT AS global_wins, (sum(gains) OVER w)::BIGINT AS global_gains FROM r WINDOW w AS (PARTITION BY horse)"""

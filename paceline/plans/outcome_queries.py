@@ -349,8 +349,8 @@ SESSION = f"""{E}, g AS (SELECT *, (ts >= lag(ts) OVER (PARTITION BY entity ORDE
 def impute_group_median(spark: SparkSession, sf: str) -> DataFrame:
     """Missing weights by their discipline's median; columns scaled by minimum and maximum, by median and quartiles."""
     r = runners(spark, sf).withColumn("w", F.when(F.col("uid") % 7 != 0, F.col("weight").cast("double")))
-    g = r.groupBy("discipline").agg(F.median("w").alias("med"))
-    x = r.join(g, "discipline").withColumn("w", F.coalesce("w", "med"))
+    g = r.groupBy(F.col("discipline").alias("of")).agg(F.median("w").alias("med"))
+    x = r.join(g, F.col("discipline").eqNullSafe(F.col("of")), "left").withColumn("w", F.coalesce("w", "med"))
     lim = x.agg(F.min("w").alias("lo"), F.max("w").alias("hi"), F.percentile("distance", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
     return x.crossJoin(F.broadcast(lim)).select("uid", F.round("w", 6).alias("weight"), F.round((F.col("w") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)), 6).alias("scaled"), (F.round((F.col("distance") - F.col("q")[1]) / F.nullif(F.col("q")[2] - F.col("q")[0], F.lit(0.0)), 6) + F.lit(0.0)).alias("robust"))
 

@@ -36,14 +36,14 @@ def field_statistics(spark: SparkSession, sf: str) -> DataFrame:
     """Odds (mean, median, least, most, deviation) and weights of each contest, base-2 entropy over its maximum, the market's certainty, purse over its discipline's median."""
     p = _predicted(spark, sf)
     f = p.groupBy("race").agg(F.avg("odds").alias("mo"), F.percentile("odds", F.lit(0.5)).alias("med"), F.min("odds").alias("lo"), F.max("odds").alias("hi"), F.stddev_samp("odds").alias("sd"), F.avg("weight").alias("mw"), F.max("weight").alias("hw"), F.min("weight").alias("lw"), (-F.sum(F.col("p") * F.log2("p"))).alias("ent"), F.max("p").alias("top"), F.count(F.lit(1)).alias("n"), F.sum("gains").alias("purse"), F.min_by("discipline", "no").alias("discipline"))
-    middle = f.groupBy("discipline").agg(F.percentile("purse", F.lit(0.5)).alias("usual"))
-    f = f.join(F.broadcast(middle), "discipline")  # one row a discipline
+    middle = f.groupBy(F.col("discipline").alias("of")).agg(F.percentile("purse", F.lit(0.5)).alias("usual"))
+    f = f.join(middle, F.col("discipline").eqNullSafe(F.col("of")), "left")
     return f.select("race", real(F.col("mo"), "mean_odds"), real(F.col("med"), "median_odds"), real(F.col("lo"), "least_odds"), real(F.col("hi"), "most_odds"), real(F.col("sd"), "sd_odds"), real(F.col("mw"), "mean_weight"), integer(F.col("hw"), "most_weight"), integer(F.col("lw"), "least_weight"), real(F.when(F.col("n") > 1, F.col("ent") / F.log2("n")), "entropy"), real(F.col("top"), "certainty"), real(F.col("purse") / F.col("usual"), "purse_ratio"))
 
 
 FIELD_STATISTICS = f"""{P}, f AS (SELECT race, avg(odds) AS mo, median(odds) AS med, min(odds) AS lo, max(odds) AS hi, stddev_samp(odds) AS sd, avg(weight) AS mw, max(weight) AS hw, min(weight) AS lw, -sum(p * log2(p)) AS ent, max(p) AS top, count(*) AS n, sum(gains) AS purse, arg_min(discipline, no) AS discipline FROM pr GROUP BY race),
 m AS (SELECT discipline, median(purse::DOUBLE) AS usual FROM f GROUP BY 1)
-SELECT race, {real_sql('mo', 'mean_odds')}, {real_sql('med', 'median_odds')}, {real_sql('lo', 'least_odds')}, {real_sql('hi', 'most_odds')}, {real_sql('sd', 'sd_odds')}, {real_sql('mw', 'mean_weight')}, hw::BIGINT AS most_weight, lw::BIGINT AS least_weight, {real_sql('CASE WHEN n > 1 THEN ent / log2(n) END', 'entropy')}, {real_sql('top', 'certainty')}, {real_sql('purse / usual', 'purse_ratio')} FROM f JOIN m USING (discipline)"""
+SELECT race, {real_sql('mo', 'mean_odds')}, {real_sql('med', 'median_odds')}, {real_sql('lo', 'least_odds')}, {real_sql('hi', 'most_odds')}, {real_sql('sd', 'sd_odds')}, {real_sql('mw', 'mean_weight')}, hw::BIGINT AS most_weight, lw::BIGINT AS least_weight, {real_sql('CASE WHEN n > 1 THEN ent / log2(n) END', 'entropy')}, {real_sql('top', 'certainty')}, {real_sql('purse / usual', 'purse_ratio')} FROM f JOIN m ON f.discipline IS NOT DISTINCT FROM m.discipline"""
 
 
 def market_moves(spark: SparkSession, sf: str) -> DataFrame:
