@@ -118,9 +118,9 @@ def rows_since(df: DataFrame, entity: Keys, order: list[str], hit: str, out: str
 
 
 def running_distinct(df: DataFrame, entity: Keys, value: str, order: list[str], out: str) -> DataFrame:
-    """Distinct values among the rows before this one."""
+    """Distinct known values among the rows before this one."""
     keys = _keys(entity)
-    first = (F.row_number().over(Window.partitionBy(*keys, value).orderBy(*order)) == 1) & known(keys)
+    first = (F.row_number().over(Window.partitionBy(*keys, value).orderBy(*order)) == 1) & known([*keys, value])
     return df.withColumn("_first", first.cast("int")).withColumn(out, F.coalesce(F.sum("_first").over(sequential(keys, *order)), F.lit(0))).drop("_first")
 
 
