@@ -227,3 +227,28 @@ def rank_before(df: DataFrame, entity: str, value: str, key: str, day: str = "da
     found = both.withColumn("_sum", F.coalesce(F.sum("_n").over(frame), F.lit(0))).where("_what is not null")
     sums = found.groupBy(key).agg(*(F.sum(F.when(F.col("_what") == w, F.col("_sum")).otherwise(0)).alias(f"n_{w}") for w in ("before", "below", "equal")))
     return df.join(sums, key, "left").withColumns({f"n_{w}": F.coalesce(f"n_{w}", F.lit(0)) for w in ("before", "below", "equal")})
+
+
+def last_known(df: DataFrame, entity: Keys, value: str, n: int, order: list[str], frame: WindowSpec, out: str) -> DataFrame:
+    """The last n rows within ``frame`` that have a ``value``, however many without one lie between.
+
+    ``frame`` is any frame of the entity's first rows: earlier days, or all
+    rows before. Adds ``out`` (values, newest first), ``<out>_n`` (how many
+    there are in all), ``<out>_sum``, ``<out>_squares`` and ``<out>_max`` over
+    all of them. A row meets the k-th row with a value, k being the number of
+    values in its frame, so this is one equi-join.
+    """
+    keys = _keys(entity)
+    up_to = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    v = F.col(value)
+    valued = df.where(known(keys) & v.isNotNull()).select(
+        *(F.col(k).alias(f"_{k}") for k in keys),
+        F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long").alias("_at"),
+        F.reverse(F.collect_list(v).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(1 - n, 0))).alias(out),
+        F.sum(v).over(up_to).alias(f"{out}_sum"),
+        F.sum(v.cast("double") * v).over(up_to).alias(f"{out}_squares"),
+        F.max(v).over(up_to).alias(f"{out}_max"),
+    )
+    counted = df.withColumn(f"{out}_n", F.when(known(keys), F.count(v).over(frame)).otherwise(0))
+    met = [F.col(k) == F.col(f"_{k}") for k in keys]
+    return counted.join(valued, [*met, F.col(f"{out}_n") == F.col("_at")], "left").drop("_at", *(f"_{k}" for k in keys))
