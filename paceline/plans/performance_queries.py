@@ -125,7 +125,7 @@ def figure_history(spark: SparkSession, sf: str) -> DataFrame:
     fine = lambda x, name: (F.round(x, 9) + F.lit(0.0)).alias(name)
     return r.select(
         "uid", real(F.col("h_figure_max"), "figure_best"), real(arrays.mean(f), "figure_mean_5"), real(arrays.slope(F.reverse(f)), "figure_slope"), real(own, "figure_against_own"),
-        real(arrays.mean(c), "rating_mean_5"), real(change, "class_change"), flag(change < -5, "class_drop"), flag(change > 5, "class_rise"),
+        fine(arrays.mean(c), "rating_mean_5"), real(change, "class_change"), flag(change < -5, "class_drop"), flag(change > 5, "class_rise"),
         fine(F.when(F.col("price").isNotNull(), usual), "usual_odds"), fine(F.col("price") - usual, "odds_against_usual"), flag(F.round(F.col("price") - usual * 0.8, 6) < 0, "sure"),
     )
 
@@ -133,7 +133,7 @@ def figure_history(spark: SparkSession, sf: str) -> DataFrame:
 FIGURE_HISTORY = f"""{X}, f AS ({_prev("figure", True)}), g AS (SELECT uid, max(figure) AS best, avg(figure) FILTER (k <= 5) AS m5, CASE WHEN count(*) FILTER (k <= 5) >= 2 THEN regr_slope(figure, -k) FILTER (k <= 5) END AS s, CASE WHEN count(*) >= 3 THEN avg(figure) FILTER (k <= 3) END AS m3 FROM f GROUP BY uid),
 c AS ({_prev("rating", True)}), d AS (SELECT uid, avg(rating) FILTER (k <= 5) AS m5, max(rating) FILTER (k = 1) AS last FROM c GROUP BY uid),
 o AS ({_prev("price", True)}), q AS (SELECT uid, avg(price) AS usual FROM o GROUP BY uid)
-SELECT x.uid, {real_sql("g.best", "figure_best")}, {real_sql("g.m5", "figure_mean_5")}, {real_sql("g.s", "figure_slope")}, {real_sql("figure - g.m3", "figure_against_own")}, {real_sql("d.m5", "rating_mean_5")}, {real_sql("rating - last", "class_change")},
+SELECT x.uid, {real_sql("g.best", "figure_best")}, {real_sql("g.m5", "figure_mean_5")}, {real_sql("g.s", "figure_slope")}, {real_sql("figure - g.m3", "figure_against_own")}, round(d.m5, 9) + 0.0 AS rating_mean_5, {real_sql("rating - last", "class_change")},
   (round(rating - last, 6) < -5)::BIGINT AS class_drop, (round(rating - last, 6) > 5)::BIGINT AS class_rise, round(CASE WHEN price IS NOT NULL THEN usual END, 9) + 0.0 AS usual_odds, round(price - usual, 9) + 0.0 AS odds_against_usual, (round(price - usual * 0.8, 6) < 0)::BIGINT AS sure
 FROM x LEFT JOIN g USING (uid) LEFT JOIN d USING (uid) LEFT JOIN q USING (uid)"""
 
