@@ -152,3 +152,40 @@ def form_runs(x: Column) -> Column:
         return F.when(year.isNotNull(), named).otherwise(ran)
 
     return F.aggregate(tokens, F.struct(none, F.array()).cast(shape), step)["runs"]
+
+
+# Bins by name (upper cuts, closed on the right or left, labels).
+BANDS = {
+    "distance F": ((1400, 1800, 2200, 2800, 3500), "left", ("sprint", "mile", "moyenne", "classique", "longue", "marathon")),
+    "going A": ((2.5, 3.2, 3.8, 4.5), "right", ("sec", "bon", "souple", "lourd", "tres_lourd")),
+    "going B": ((2.3, 2.7, 3.1, 3.5, 4.0, 4.5, 5.0), "left", ("tres_sec", "leger", "bon", "bon_souple", "souple", "tres_souple", "lourd", "tres_lourd")),
+    "field A": ((8, 14), "right", ("small", "medium", "large")),
+    "field B": ((8, 12, 16), "right", ("petit", "moyen", "grand", "tres_grand")),
+    "field C": ((8, 13), "left", ("petit", "moyen", "grand")),
+    "odds A": ((3.0, 6.0, 10.0, 20.0, 50.0), "left", ("grand_favori", "favori", "deuxieme_favori", "outsider", "longshot", "extreme")),
+    "odds B": ((3.0, 6.0, 15.0), "left", ("favori", "deuxieme_plan", "outsider", "longshot")),
+    "rest": ((7, 21, 60, 180), "right", ("enchaine", "frais", "repose", "longue_absence", "tres_longue_absence")),
+}
+
+
+def band(x: Column, name: str) -> Column:
+    """Bin of a field size, days of rest, odds, a penetrometer reading or a distance, by the name of its cuts."""
+    cuts, closed, labels = BANDS[name]
+    return binned(x, cuts, labels, closed)
+
+
+def started(status: Column) -> Column:
+    """Whether an entrant took part: anything but a declared non-starter, an unknown status too."""
+    return ~status.eqNullSafe(F.lit("non_partant"))
+
+
+def dosage(text: Column) -> Column:
+    """Dosage of a pedigree text such as ``DP = 6-2-10-2-0 (20) DI = 1.86 CD = 0.60``: profile, total, index and centre; null without one."""
+    pattern = r"DP\s*=\s*([\d\-\s]+?)\s*\((\d+)\)\s*DI\s*=\s*([\d.]+)\s*CD\s*=\s*([\-\d.]+)"
+    part = lambda i: F.regexp_extract(text, pattern, i)
+    return F.when(text.rlike(pattern), F.struct(F.trim(part(1)).alias("profile"), F.try_to_number(part(2), F.lit("999999")).cast("int").alias("total"), part(3).try_cast("double").alias("index"), part(4).try_cast("double").alias("centre")))
+
+
+def hour_of(text: Column) -> Column:
+    """Hour of the first time in a text, such as ``14h05`` or ``9:30``; null without one."""
+    return F.regexp_extract(text, r"(\d{1,2})[hH:]\d{2}", 1).try_cast("int")
