@@ -3,7 +3,8 @@
 Each page scores its containers by the text of their paragraphs and names
 the best one by its generalised path of tags and classes. Forms and elements
 with names of boilerplate are dropped only after the page is read, so that one
-that wraps the page's content isn't. Spark counts the
+that wraps the page's content isn't: content is told by structure (main,
+articles, the title with paragraphs), never by length. Spark counts the
 votes for each host; the path that wins on a host is then extracted from all
 of its pages. A page without that path falls back on its own best container.
 """
@@ -36,11 +37,18 @@ CLOSES_P = BLOCKS - {"body", "html", "option", "optgroup", "caption", "legend",
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 BAD_NAME = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|sidebar|side-?bar|widget|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|cookies?|consent|notices?|popup|modal|overlay|newsletter|subscribe|subscription|share|sharing|social|related|recommended|comments?|commentlist|disqus|replies|reply|respond|login|signup|search|pagination|pager)(?:$|[\s_-])", re.I)
-_EXACT = re.compile(BAD_NAME.pattern.replace(r"[\s_-]", r"\s"), re.I)
-#: What an element may be dropped by: its role or tag for good; a whole class or id, or a part of one or a form, unless it has the page's content.
-NO_DROP, HARD, NAMED, PART = 0, 1, 2, 3
-#: Share of a page's text from which an element dropped by a part of a name or as a form wraps the page, and weight of text in such.
-MOST, WRAPPED = 2 / 3, 0.5
+#: Names that say something about the element, not that it is boilerplate: ``has-sidebar``, ``content-with-sidebar``, ``comments-open``.
+STATE = re.compile(r"^(?:has|no|with|without|is|show|hide)[_-]|[_-](?:with|without|no)[_-]|[_-](?:open|opened|closed|enabled|disabled|on|off|active|inactive|count)$", re.I)
+#: Words that are also said of content when they stand alone, such as the classes of ``social science`` or ``related research``.
+AMBIGUOUS_NAME = re.compile(r"^(?:social|related|recommended|search|share|sharing|reply|banner|notices?|menu|overlay|widget)$", re.I)
+COMMENT_NAME = re.compile(r"(?:^|[_-])(?:comments?|commentlist|disqus|replies|reply|respond)(?:$|[_-])", re.I)
+#: What an element may be dropped by: its role or tag for good; a name or a form, unless its structure shows the page's content; a word of two meanings, unless a second sign speaks for content.
+NO_DROP, HARD, NAMED, COMMENT, AMBIGUOUS = 0, 1, 2, 3, 4
+#: Weight of text in an element that has a name of boilerplate and the page's content.
+WRAPPED = 0.5
+#: A content article that has no first-level heading has so many paragraphs; a named element of two meanings has so many, or a heading and one, and less than this share of links.
+PARAGRAPHS, LINKED = 2, 0.3
+HEADINGS = frozenset("h1 h2 h3 h4".split())
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|main|body|text)(?:$|[\s_-])", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -73,28 +81,43 @@ class Page:
                 self._count(at, len(text) - 2 * min(linked, len(text)))
 
     def _decide(self) -> None:
-        """Which of the marked elements are dropped: those for good, and the others unless they have the page's content."""
+        """Which of the marked elements are dropped: those for good, and the others unless their structure shows content. How long they are doesn't count."""
         nodes, n = self.nodes, len(self.nodes)
-        if any(x.mark in (NAMED, PART) for x in nodes):
-            hard, marked = [False] * n, [False] * n
+        if any(x.mark > HARD for x in nodes):
+            hard, marked, listed = [False] * n, [False] * n, [False] * n
             for i, x in enumerate(nodes):
-                hard[i] = x.mark == HARD or (i > 0 and hard[x.parent])
-                marked[i] = x.mark != NO_DROP or (i > 0 and marked[x.parent])
-            sums = [0] * (n + 1)
-            for at, text, _ in self._found:
-                sums[at + 1] += 0 if hard[at] else len(text)
-            outside = sum(len(text) for at, text, _ in self._found if not marked[at])
-            for i in range(n):
-                sums[i + 1] += sums[i]
-            held = lambda i: sums[nodes[i].end] - sums[i]
-            mains = [i for i in range(n) if nodes[i].tag == "main" and held(i)]
-            articles = [i for i in range(n) if nodes[i].tag == "article" and held(i)]
+                up = x.parent if i else 0
+                hard[i], marked[i], listed[i] = x.mark == HARD or (i > 0 and hard[up]), x.mark != NO_DROP or (i > 0 and marked[up]), x.tag == "li" or (i > 0 and listed[up])
+            length, linked, paragraphs = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+            outside = False
+            for at, text, links in self._found:
+                if hard[at]:
+                    continue
+                outside = outside or not marked[at]
+                length[at + 1] += len(text)
+                linked[at + 1] += min(links, len(text))
+                while nodes[at].tag not in BLOCKS and at:
+                    at = nodes[at].parent
+                paragraphs[at + 1] += nodes[at].tag == "p"
+            for sums in (length, linked, paragraphs):
+                for i in range(n):
+                    sums[i + 1] += sums[i]
+            held = lambda i, sums: sums[nodes[i].end] - sums[i]
+            among = lambda i, places: bisect.bisect_left(places, nodes[i].end) - bisect.bisect_left(places, i)
+            mains = [i for i in range(n) if nodes[i].tag == "main" and held(i, length)]
+            titles = [i for i in range(n) if nodes[i].tag == "h1" and not hard[i] and held(i, length)][:1]
+            articles = [i for i in range(n) if nodes[i].tag == "article" and not listed[i] and not hard[i] and (among(i, titles) or held(i, paragraphs) >= PARAGRAPHS)]
+            headed = [i for i in range(n) if nodes[i].tag in HEADINGS]
+            free = [i for i in (*mains, *articles) if not marked[i]]
             for i, x in enumerate(nodes):
-                if x.mark in (NAMED, PART):
-                    k = bisect.bisect_left(mains, i)
-                    if k < len(mains) and mains[k] < x.end:
+                if x.mark in (NAMED, COMMENT):
+                    if among(i, mains):
                         x.mark = NO_DROP
-                    elif (articles and i <= articles[0] and articles[-1] < x.end and held(i) >= outside) or (not outside if x.mark == NAMED else held(i) > MOST * sums[n]):
+                    elif x.mark == NAMED and (not outside or (among(i, titles) and held(i, paragraphs)) or (among(i, articles) and among(i, articles) == len(articles))):
+                        x.mark, x.wrapped = NO_DROP, True
+                elif x.mark == AMBIGUOUS:
+                    shown = held(i, paragraphs) >= PARAGRAPHS or (held(i, paragraphs) and among(i, headed)) or among(i, mains) or among(i, articles)
+                    if not outside or (shown and held(i, linked) < LINKED * held(i, length) and (x.inside or not free)):
                         x.mark, x.wrapped = NO_DROP, True
         for i, x in enumerate(nodes):
             x.drop = x.mark != NO_DROP or (i > 0 and nodes[x.parent].drop)
@@ -163,19 +186,29 @@ class Page:
         path = parent.path
         if tag in BLOCKS:
             names = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(attributes)} if "=" in attributes else {}
-            words = " ".join(v for k, v in names.items() if k != "role")
+            words = [w for k, v in names.items() if k != "role" for w in v.split()]
             if (tag in DROPPED and tag != "form") or (tag == "header" and not inside) or names.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
                 mark = HARD
-            elif words and tag not in ("html", "body", "article", "main") and BAD_NAME.search(words):
-                mark = NAMED if _EXACT.search(words) else PART
-            elif tag == "form":
-                mark = PART
+            elif words and tag not in ("html", "body", "article", "main"):
+                mark = self._named(words)
+            if tag == "form" and mark == NO_DROP:
+                mark = NAMED
             classes = ".".join(sorted({re.sub(r"\d+", "", c) for c in names.get("class", "").split()} - {""}))
             path = f"{path}/{tag}" + (f".{classes}" if classes else "")
         self.nodes.append(_Node(self._stack[-1], tag, path, mark, inside))
         self._stack.append(len(self.nodes) - 1)
         self._in_link += tag == "a"
 
+    @staticmethod
+    def _named(words: list[str]) -> int:
+        """What the names of an element say of it; a plain word of boilerplate says more than one of two meanings."""
+        found = NO_DROP
+        for w in words:
+            if BAD_NAME.search(w) and not STATE.search(w):
+                kind = AMBIGUOUS if AMBIGUOUS_NAME.match(w) else COMMENT if COMMENT_NAME.search(w) else NAMED
+                found = kind if found in (NO_DROP, AMBIGUOUS) else max(found, kind) if kind != AMBIGUOUS else found
+        return found
+
     def _read(self, source: str) -> None:
         at = 0
         while True:
