@@ -10,13 +10,19 @@ Names are replaced word by word, so a family name alone and one after a given
 name stay the same person's. Card numbers and IBANs get valid check digits;
 a bare run of 13 to 19 digits without one is no card and is left alone.
 
-Names are found by their titles only. The shared folder keeps keyed digests
-of entities and the new texts, no entity itself.
+Where the values of a shape run out, addresses and names grow; numbers of a
+fixed length are permuted among the real ones by a keyed order, so two
+entities never share a surrogate and no job ends for want of one.
+
+Names are found by their titles only. What stands in the shared folder while
+the job runs is keyed digests, texts encrypted with the key, and new texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paceline.llm.spread import discard, stored
@@ -34,9 +40,12 @@ IBAN_LENGTHS = {
     29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
 }
 _IBANS = "|".join(rf"(?:{'|'.join(c.split())})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
-# Telephone numbers by groups of three and four digits, in one piece, by pairs, and with a long subscriber number.
+# Telephone numbers by groups of three and four digits (with a plus, a bracket or a zero before them, or of three, three and four), in one piece, by pairs, and with a long subscriber number.
 _PHONES = (
-    r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)",
+    r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)",
+    r"(?<![\d+])\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\d)",
+    r"(?<![\d+.,])(?<!\d[ -])0[1-9]\d{0,2}[ .-]\d{3,4}[ .-]\d{3,4}(?!\d|[.,-]\d)",
+    r"(?<![\d+.,-])(?<!\d )(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|\d{3} \d{3} \d{4})(?!\d|[.,-]\d)",
     r"(?<![\d+])\+\d{8,15}(?!\d)",
     r"(?<![\d+])(?:\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?|0)[1-9](?:[ .-]?\d{2}){4}(?!\d)",
     r"(?<![\d+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)[ .-]?\d{2,4})?(?:[ .-]\d{2,4}){3,5}(?!\d)",
@@ -69,7 +78,8 @@ SYLLABLES = {"latin": "ba be da do ka le li ma mi na ne no ra re ri ro sa se ta
 ENDINGS = {"latin": {"male": "n", "female": "a", "person": "e"}, "cyrillic": {"male": "н", "female": "а", "person": "е"}, "greek": {"male": "ς", "female": "α", "person": "ε"}}
 #: Ending of a family name in Cyrillic after a woman's title.
 FEMALE_FAMILY = "а"
-MAX_ROUNDS = 32
+#: Rounds in which entities in conflict draw again, and the one from which addresses and names grow by a letter or a syllable a round.
+MAX_ROUNDS, GROWS_FROM = 12, 4
 
 
 def _kind(value: Column) -> Column:
@@ -147,8 +157,8 @@ def _same_class(value: Column, digest: Column) -> Column:
     return F.array_join(F.transform(F.split(value, ""), one), "")
 
 
-def _surrogate(kind: Column, canonical: Column, digest: Column) -> Column:
-    """The surrogate of a canonical value, in canonical form."""
+def _surrogate(kind: Column, canonical: Column, digest: Column, grown: int = 0) -> Column:
+    """The surrogate of a canonical value, in canonical form; addresses, keys with a prefix and names are ``grown`` by so many letters or syllables."""
     digits = F.array_join(F.transform(F.split(canonical, ""), lambda c, i: F.pmod(_byte(digest, i), F.lit(10)).cast("string")), "")
     code = F.when((kind == "phone") & (F.length(canonical) > 10), F.length(canonical) - 10).otherwise(F.lit(0))
     phone = F.concat(F.substring(canonical, F.lit(1), code), F.substring(digits, code + 1, F.length(canonical)))
@@ -156,7 +166,8 @@ def _surrogate(kind: Column, canonical: Column, digest: Column) -> Column:
     hexes = F.array_join(F.transform(F.split(canonical, ""), lambda c, i: F.substring(digest, F.pmod(i, F.lit(127)) + 1, F.lit(1))), "")
     at, at_colon = F.instr(canonical, F.lit("@")), F.instr(canonical, F.lit(":"))
     dot = F.length(canonical) - F.length(F.substring_index(canonical, ".", -1))
-    email = F.concat(_same_class(F.substring(canonical, F.lit(1), dot - 1), digest), F.substring(canonical, dot, F.length(canonical)))
+    more = F.translate(F.substring(digest, F.lit(65), F.lit(grown)), "0123456789", "ghijklmnop")
+    email = F.concat(more, _same_class(F.substring(canonical, F.lit(1), dot - 1), digest), F.substring(canonical, dot, F.length(canonical)))
     email = F.when(at > 0, email)
     country, account = F.substring(canonical, 1, 2), F.substring(_same_class(canonical, digest), F.lit(5), F.length(canonical))
     iban = F.concat(country, F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
@@ -164,7 +175,7 @@ def _surrogate(kind: Column, canonical: Column, digest: Column) -> Column:
     card = F.concat(card, ((10 - _luhn(F.concat(card, F.lit("0")))) % 10).cast("string"))
     six = F.array_join(F.transform(F.split(canonical, ""), lambda c, i: F.when(c == ":", c).otherwise(F.substring(digest, F.pmod(i, F.lit(127)) + 1, F.lit(1)))), "")
     prefix = F.regexp_extract(canonical, r"^(AKIA|ASIA|gh[pousr]_|sk-)", 1)
-    keyed = F.concat(prefix, F.substring(_same_class(canonical, digest), F.length(prefix) + 1, F.length(canonical)))
+    keyed = F.concat(prefix, F.substring(_same_class(canonical, digest), F.length(prefix) + 1, F.length(canonical)), more)
     script = F.when(canonical.rlike(r"\p{IsCyrillic}"), "cyrillic").when(canonical.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
     def name(of: str) -> Column:
@@ -173,7 +184,7 @@ def _surrogate(kind: Column, canonical: Column, digest: Column) -> Column:
         end = F.lit("")
         for gender, x in ENDINGS[of].items():
             end = F.when(kind == f"given_{gender}", x).otherwise(end)
-        return F.concat(*(pick(k) for k in range(5)), end)
+        return F.concat(*(pick(k) for k in range(5 + grown)), end)
 
     names = F.when(script == "cyrillic", name("cyrillic")).when(script == "greek", name("greek")).otherwise(name("latin"))
     return F.when(kind == "email", email).when(kind == "secret", F.when(canonical.rlike("^[0-9a-f]+$"), hexes).otherwise(keyed)).when(kind == "iban", iban).when(kind == "ip", F.when(at_colon > 0, six).otherwise(octets)).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", digits).otherwise(names)
@@ -194,17 +205,42 @@ def _digest(key: str, kind: Column, value: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), kind, value), 256)
 
 
+def _shape(kind: Column, canonical: Column) -> Column:
+    """What a surrogate keeps of a value of fixed length: its length and what stands before the part that is drawn."""
+    kept = F.when(kind == "phone", F.substring(canonical, F.lit(1), F.greatest(F.length(canonical) - 10, F.lit(0)))).when(kind == "card", F.substring(canonical, 1, 1)).when(kind == "iban", F.substring(canonical, 1, 2)).when(kind == "ip", F.regexp_replace(canonical, "[^:.]+", "x")).otherwise("")
+    return F.concat_ws("|", kept, F.when(kind != "ip", F.length(canonical).cast("string")))
+
+
+def permuted(members: DataFrame) -> DataFrame:
+    """entity, kind and as ``surrogate`` the canonical value of the entity that follows in its (kind, shape), by the order of their keyed digests; after the last comes the first.
+
+    Digests are dealt to buckets by their first digits, so no task needs all
+    entities of a shape; the last of a bucket takes the first of the next one,
+    from a table of at most 4096 rows a shape.
+    """
+    rows = members.withColumn("bucket", F.substring("entity", 1, 3))
+    within = Window.partitionBy("kind", "shape", "bucket").orderBy("entity")
+    led = rows.withColumn("next", F.lead("canonical").over(within))
+    firsts = rows.groupBy("kind", "shape", "bucket").agg(F.min_by("canonical", "entity").alias("own"))
+    along = Window.partitionBy("kind", "shape").orderBy("bucket")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = firsts.select("kind", "shape", "bucket", F.coalesce(F.lead("own").over(along), F.first("own").over(whole)).alias("after"))
+    return led.join(after, ["kind", "shape", "bucket"]).select("entity", "kind", F.coalesce("next", "after").alias("surrogate"))
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """entity (keyed digest), surrogate of distinct entities (kind, canonical); within a kind no two share one and none is a real value.
+    """entity (keyed digest), surrogate of distinct entities (kind, canonical); within a kind no two share one, and none is a real value while there are others.
 
     Rounds draw again only for entities in conflict, all but the first of
     those that share a surrogate. A drawn surrogate depends on the entity's
     digest and shape, so each round goes back to the entities for those that
     it redraws; the table in the shared folder has digests and surrogates.
+    Shapes in which conflicts are left after the last round are so full that
+    their real values are permuted.
     """
     kind, canonical = F.col("kind"), F.col("canonical")
     first = entities.select("kind", "canonical").distinct().withColumn("entity", _digest(key, kind, canonical))
-    drawn = lambda n: _surrogate(kind, canonical, F.sha2(F.concat_ws("|", F.lit(key), "kind", "canonical", F.lit(str(n))), 512))
+    drawn = lambda n: _surrogate(kind, canonical, F.sha2(F.concat_ws("|", F.lit(key), "kind", "canonical", F.lit(str(n))), 512), max(0, n - GROWS_FROM + 1))
     mapping = stored(first.select("entity", "kind", drawn(0).alias("surrogate")), "pii-map")
     for n in range(1, MAX_ROUNDS):
         shared = mapping.groupBy("kind", "surrogate").agg(F.min("entity").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select("kind", "surrogate", "owner")
@@ -214,10 +250,17 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         if redo.isEmpty():
             discard(redo)
             return mapping
+        if n == MAX_ROUNDS - 1:
+            shaped = first.withColumn("shape", _shape(kind, canonical))
+            full = shaped.join(redo, "entity").select("kind", "shape").distinct()
+            swapped = permuted(shaped.join(full, ["kind", "shape"], "left_semi"))
+            last, mapping = mapping, stored(mapping.join(swapped.select("entity"), "entity", "left_anti").unionByName(swapped), "pii-map")
+            discard(last, redo)
+            return mapping
         again = first.join(redo, "entity").select("entity", "kind", drawn(n).alias("surrogate"))
         last, mapping = mapping, stored(mapping.join(redo, "entity", "left_anti").unionByName(again), "pii-map")
         discard(last, redo)
-    raise RuntimeError("surrogates still collide; the value space of some kind is too small")
+    return mapping
 
 
 def row_key() -> Column:
@@ -236,6 +279,15 @@ def _found(rows: DataFrame) -> DataFrame:
     return rows.select("row", row_key().alias("key"), F.split("text", ANY, -1).alias("pieces"), values.alias("entities"))
 
 
+def _sealed(found: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``found`` kept in the shared folder with its texts encrypted by the job's key, and the stored table itself."""
+    secret = F.unhex(F.lit(hashlib.sha256(f"sealed|{key}".encode()).hexdigest()))
+    sealed = ["pieces", "entities"]
+    kinds = {c: found.schema[c].dataType.simpleString() for c in sealed}
+    kept = stored(found.withColumns({c: F.aes_encrypt(F.to_json(c), secret) for c in sealed}), "pii-found")
+    return kept.withColumns({c: F.from_json(F.aes_decrypt(c, secret).cast("string"), kinds[c]) for c in sealed}), kept
+
+
 def replaced(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
     """Every row's other columns as ``row`` with its new ``text`` and its ``kinds`` of entities.
 
@@ -245,7 +297,7 @@ def replaced(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame
     rows = docs.select(others.alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     plain = rows.where(~hinted).select("row", "text", F.array().cast("array<string>").alias("kinds"))
-    found = stored(_found(rows.where(hinted)), "pii-found")
+    found, opened = _sealed(_found(rows.where(hinted)), key)
     kind = _kind(F.col("value"))
     bare = F.col("value").rlike("^[0-9]+$") & (_luhn(F.col("value")) != 0)
     raw = found.select("key", F.explode("entities").alias("e")).select("key", "e.*").withColumn("kind", kind).withColumn("kind", F.when((F.col("kind") == "card") & bare, None).otherwise(F.col("kind")))
@@ -262,7 +314,7 @@ def replaced(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame
     text = F.array_join(F.zip_with("pieces", F.coalesce(F.col("m.new"), F.array().cast("array<string>")), lambda p, s: F.concat(F.coalesce(p, F.lit("")), F.coalesce(s, F.lit("")))), "")
     kinds = F.filter(F.coalesce(F.col("m.kind"), F.array().cast("array<string>")), lambda k: k.isNotNull())
     masked = stored(joined.select("row", text.alias("text"), kinds.alias("kinds")), "pii-masked")
-    discard(found, mapping)
+    discard(opened, mapping)
     return plain.unionByName(masked)
 
 
