@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paceline.sources.shared import kept
+
 
 def fill_rates(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column: rows, filled rows, distinct values. One scan, then a stack of the single result row."""
@@ -39,16 +41,15 @@ def calibration_error(bins: DataFrame) -> DataFrame:
     return bins.agg((F.sum(gap * F.col("n")) / F.sum("n")).alias("ece"), F.max(gap).alias("mce"), F.sum("n").alias("n"))
 
 
-#: Ranges of values that are summed side by side.
-RANGES = 64
-
-
 def running_sums(df: DataFrame, value: str, counts: list[str]) -> DataFrame:
-    """Distinct values with the sums of the counts up to and with each: windows within ranges of values, plus the sums of the ranges before."""
-    bounds = df.agg(F.percentile_approx(value, [k / RANGES for k in range(1, RANGES)])).first()[0] or []
-    part = sum(((F.col(value) > F.lit(b)).cast("int") for b in sorted(set(bounds))), F.lit(0))
-    ranged = df.withColumn("_part", F.coalesce(part, F.lit(-1)))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES + 1 rows
+    """Rows of distinct values with the sums of the counts up to and with each.
+
+    The rows are dealt by ranges of the value and stored, so what ``df`` takes
+    is worked out once; sums run within a partition and continue by the totals
+    of the partitions before, one row each.
+    """
+    ranged = kept(df.repartitionByRange(value).withColumn("_part", F.spark_partition_id()), "ranged")
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     before = ranged.groupBy("_part").agg(*(F.sum(c).alias(f"_{c}") for c in counts)).select("_part", *(F.coalesce(F.sum(f"_{c}").over(w), F.lit(0)).alias(f"_{c}") for c in counts))
     within = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     summed = ranged.withColumns({f"sum_{c}": F.sum(c).over(within) for c in counts}).join(F.broadcast(before), "_part")
@@ -58,16 +59,23 @@ def running_sums(df: DataFrame, value: str, counts: list[str]) -> DataFrame:
 def log_loss_and_auc(df: DataFrame, p: str, y: str, eps: float = 1e-15) -> DataFrame:
     """Log loss, accuracy at one half, and the area under the ROC curve by average ranks.
 
-    Ranks come from the counts per distinct score, summed over ranges of
-    scores side by side.
+    All three come from the counts and hits per distinct score, which are
+    taken in one pass; rows without a score or an outcome are left out.
     """
+    scores = df.where(F.col(p).isNotNull() & F.col(y).isNotNull()).groupBy(p).agg(F.count(F.lit(1)).alias("c"), F.sum(F.col(y).cast("long")).alias("pos"))
     q = F.greatest(F.lit(eps), F.least(F.lit(1 - eps), F.col(p)))
-    basic = df.agg(F.count(F.lit(1)).alias("n"), F.avg(-F.when(F.col(y) == 1, F.ln(q)).otherwise(F.ln(1 - q))).alias("log_loss"), F.avg(((F.col(p) >= 0.5).cast("int") == F.col(y)).cast("double")).alias("accuracy"))
-    scores = df.groupBy(p).agg(F.count(F.lit(1)).alias("c"), F.sum(y).alias("pos"))
+    neg = F.col("c") - F.col("pos")
     ranks = running_sums(scores, p, ["c"]).withColumn("rank", F.col("sum_c") - F.col("c") + (F.col("c") + 1) / 2)
-    auc = ranks.agg(F.sum(F.col("rank") * F.col("pos")).alias("s"), F.sum("pos").alias("p"), F.sum(F.col("c") - F.col("pos")).alias("q"))
-    area = auc.select(F.try_divide(F.col("s") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q")).alias("auc"))
-    return basic.crossJoin(area)
+    sums = ranks.agg(
+        F.sum("c").alias("n"),
+        F.sum(-(F.col("pos") * F.ln(q) + neg * F.ln(1 - q))).alias("loss"),
+        F.sum(F.when(F.col(p) >= 0.5, F.col("pos")).otherwise(neg)).alias("right"),
+        F.sum(F.col("rank") * F.col("pos")).alias("s"),
+        F.sum("pos").alias("p"),
+        F.sum(neg).alias("q"),
+    )
+    area = F.try_divide(F.col("s") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q"))
+    return sums.select(F.coalesce("n", F.lit(0)).alias("n"), F.try_divide("loss", "n").alias("log_loss"), F.try_divide(F.col("right").cast("double"), "n").alias("accuracy"), area.alias("auc"))
 
 
 def psi(df: DataFrame, value: str, reference: Column, n: int = 10, eps: float = 1e-6) -> DataFrame:
@@ -82,11 +90,11 @@ def psi(df: DataFrame, value: str, reference: Column, n: int = 10, eps: float =
 
 
 def ks(df: DataFrame, value: str, first: Column) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic from the counts per distinct value."""
-    g = df.groupBy(value).agg(F.count_if(first).alias("a"), F.count_if(~first).alias("b"))
-    cum = running_sums(g, value, ["a", "b"]).select(F.col("sum_a").alias("ca"), F.col("sum_b").alias("cb"))
-    tot = g.agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
-    return cum.crossJoin(F.broadcast(tot)).agg(F.max(F.abs(F.col("ca") / F.col("na") - F.col("cb") / F.col("nb"))).alias("ks"))
+    """Two-sample Kolmogorov-Smirnov statistic from the counts per distinct value; null values are left out."""
+    g = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count_if(first).alias("a"), F.count_if(~first).alias("b"))
+    cum = running_sums(g, value, ["a", "b"])
+    tot = cum.agg(F.max("sum_a").alias("na"), F.max("sum_b").alias("nb"))
+    return cum.crossJoin(F.broadcast(tot)).agg(F.max(F.abs(F.col("sum_a") / F.col("na") - F.col("sum_b") / F.col("nb"))).alias("ks"))
 
 
 def correlation(a: str, b: str) -> Column:

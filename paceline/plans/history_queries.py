@@ -161,8 +161,7 @@ SELECT *, {", ".join(f"({c}_runs >= 2 AND {c}_wins::DOUBLE / {c}_runs > 0.25)::I
 def sire_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Offspring record of the sire on earlier days, and of sire and discipline, with a minimum sample."""
     r = with_tracks(runners(spark, sf), spark, sf)
-    r = pit.history(r, "sire", pit.strict_day("sire"), "sire")
-    r = pit.history(r, "sire", pit.strict_day(["sire", "discipline"]), "nick")
+    r = pit.daily_history(pit.daily_history(r, ["sire"], "sire"), ["sire", "discipline"], "nick")
     return r.select("uid", "sire_runs", "sire_wins", F.when(F.col("sire_runs") >= 3, F.col("sire_win_rate")).alias("sire_rate"), "nick_runs", "nick_wins", F.when(F.col("nick_runs") >= 2, F.col("nick_win_rate")).alias("nick_rate"))
 
 
@@ -174,9 +173,9 @@ SELECT *, CASE WHEN sire_runs >= 3 THEN sire_wins::DOUBLE / sire_runs END AS sir
 def track_bias_365(spark: SparkSession, sf: str) -> DataFrame:
     """Draw bias of a track over the year before: observed minus expected win rate of the same draw, from 5 runs."""
     r = with_tracks(runners(spark, sf), spark, sf).withColumn("share", 1.0 / F.count(F.lit(1)).over(Window.partitionBy("race")))
-    w = pit.trailing_days(["track", "draw"], 365)
-    n, wins, expected = F.count(F.lit(1)).over(w), F.sum("won").over(w), F.sum("share").over(w)
-    return r.select("uid", n.alias("n_draw"), F.round(F.when(n >= 5, (wins - expected) / n), 6).alias("draw_bias"))
+    r = pit.daily_history(r, ["track", "draw"], "b", {"expected": "share"}, days=365)
+    n = F.col("b_runs")
+    return r.select("uid", n.alias("n_draw"), F.round(F.when(n >= 5, (F.col("b_wins") - F.col("b_expected")) / n), 6).alias("draw_bias"))
 
 
 TRACK_BIAS = f"""{RT}, s AS (SELECT *, 1.0::DOUBLE / count(*) OVER (PARTITION BY race) AS share FROM rt)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paceline.functions import scalars
-from paceline.operators import cleaning, merge, race
+from paceline.operators import cleaning, merge, pit, race
 from paceline.plans.form_queries import integer, real, real_sql
 from paceline.sources.tables import EVENTS_SQL, RUNNERS_SQL, TRACKS_SQL, events, runners, table, with_tracks
 
@@ -80,12 +80,12 @@ SELECT event_id, {real_sql('greatest(0, 1 - abs(temp - 15) / 10 - wind / 40 * 0.
 def speed_figures(spark: SparkSession, sf: str) -> DataFrame:
     """Speed in km/h, figure against the track's past (100 + 15 deviations), class rating of three capped terms."""
     r = with_tracks(runners(spark, sf), spark, sf).withColumn("ms", 60000 + F.col("gains") % 90000)
-    w = Window.partitionBy("track").orderBy("day").rangeBetween(Window.unboundedPreceding, -1)
-    red = F.col("ms") * 1000 / F.col("distance")
-    r = r.withColumn("red", F.floor(red))
-    sd = F.stddev_pop("red").over(w)
+    r = r.withColumn("red", F.floor(F.col("ms") * 1000 / F.col("distance"))).withColumn("square", F.col("red").cast("double") * F.col("red"))
+    r = pit.daily_history(r, ["track"], "t", {"red": "red", "square": "square"})
+    mean = F.try_divide(F.col("t_red").cast("double"), "t_runs")
+    sd = F.sqrt(F.greatest(F.lit(0.0), F.try_divide("t_square", "t_runs") - mean * mean))
     rating = F.least(F.col("gains") / 100 / 5000, F.lit(50)) + F.col("won") * 30 + F.least(F.sum("gains").over(race.field()) / 100 / 2000, F.lit(20))
-    return r.select("uid", real(F.col("distance") / 1000 / (F.col("ms") / 3600000), "kmh"), (F.round(F.when(sd > 0, 100 + (F.avg("red").over(w) - F.col("red")) / sd * 15), 3) + F.lit(0.0)).alias("figure"), real(rating, "class_rating"))
+    return r.select("uid", real(F.col("distance") / 1000 / (F.col("ms") / 3600000), "kmh"), (F.round(F.when(F.round(sd, 6) > 0, 100 + (mean - F.col("red")) / sd * 15), 3) + F.lit(0.0)).alias("figure"), real(rating, "class_rating"))
 
 
 SPEED_FIGURES = f"""{RT}, x AS (SELECT *, 60000 + gains % 90000 AS ms, floor((60000 + gains % 90000) * 1000 / distance) AS red FROM rt)
