@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paceline.sources.json_records import split_json_array, split_json_map
+
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType, keep_bad: bool = False) -> DataFrame:
     """JSON lines; broken lines are dropped, or kept as text in ``_corrupt_record``."""
@@ -15,15 +17,13 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType, keep_bad: b
 
 
 def json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files that hold one JSON array each; a file is one task, so large arrays should be rewritten as lines once."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Files that hold one JSON array each, whole or cut off, read in splits."""
+    return split_json_array(spark, path, schema)
 
 
 def json_map(spark: SparkSession, path: str, schema: T.StructType, key: str = "key") -> DataFrame:
-    """Files that hold one JSON object each, whose values are the records."""
-    whole = spark.read.text(path, wholetext=True)
-    entries = F.explode(F.from_json("value", T.MapType(T.StringType(), schema))).alias(key, "_record")
-    return whole.select(entries).select(key, "_record.*")
+    """Files that hold one JSON object each, whose values are the records, read in splits."""
+    return split_json_map(spark, path, schema, key)
 
 
 def csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
@@ -47,17 +47,28 @@ def by_suffix(spark: SparkSession, path: str, schema: T.StructType | None = None
 
 
 def first_existing(spark: SparkSession, paths: list[str]) -> str:
-    """The first path that Spark's file system finds, whatever store it is in."""
+    """The first path that its file system has, whatever store it is in."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        try:
-            spark.read.format("binaryFile").load(path).limit(0).count()
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(conf).exists(at):
             return path
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
     raise FileNotFoundError(", ".join(paths))
 
 
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and its number of lines that aren't blank, ``n``; files are counted in splits."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("v"))
+    return lines.groupBy("file").agg(F.count_if(F.col("v") != "").alias("n"))
+
+
+def texts_in_any_encoding(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and ``value``, the lines of files in UTF-8 or, line by line, in Latin-1."""
+    raw = spark.read.option("encoding", "ISO-8859-1").option("lineSep", "\n").text(path)
+    # Latin-1 keeps every byte, so each line's bytes come back from its text.
+    return raw.select(F.col("_metadata.file_path").alias("file"), latin_or_utf8(F.encode("value", "ISO-8859-1")).alias("value"))
+
+
 def latin_or_utf8(raw: Column) -> Column:
     """Text of bytes in UTF-8, or in Latin-1 where they aren't valid UTF-8."""
     utf = F.try_validate_utf8(raw.cast("string"))

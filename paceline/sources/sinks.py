@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +41,27 @@ def archive(df: DataFrame, path: str, day: str) -> None:
     df.write.mode("append").partitionBy(day).parquet(path)
 
 
-def archived(spark: SparkSession, path: str, day: str, start: str, stop: str) -> DataFrame:
-    """Archive rows of a range of days; only their partitions are read."""
-    return spark.read.parquet(path).where(F.col(day).between(F.lit(start).cast("date"), F.lit(stop).cast("date")))
+def archived(spark: SparkSession, path: str, day: str, start: str, stop: str, **equal: object) -> DataFrame:
+    """Archive rows of a range of days, and of a model, contest or other column's value; only the days' partitions are read."""
+    out = spark.read.parquet(path).where(F.col(day).between(F.lit(start).cast("date"), F.lit(stop).cast("date")))
+    for column, value in equal.items():
+        out = out.where(F.col(column) == value)
+    return out
+
+
+def union_csv(tables: list[DataFrame], path: str) -> None:
+    """Rows of several tables in one CSV whose columns are all of theirs, empty where a table lacks one."""
+    csv(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(flat, tables)), path)
+
+
+def save_scaler(limits: DataFrame, path: str) -> None:
+    """Parameters of a scaler or calibrator as JSON lines, one row a column."""
+    limits.write.mode("errorifexists").json(path)
+
+
+def load_scaler(spark: SparkSession, path: str) -> dict[str, dict[str, float]]:
+    """Saved parameters by column; as many rows as there were columns."""
+    return {r["field"]: {k: v for k, v in r.asDict().items() if k != "field"} for r in spark.read.json(path).collect()}
 
 
 def log_step(spark: SparkSession, path: str, step: str, inputs: list[str], output: str) -> None:
