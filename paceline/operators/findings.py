@@ -31,7 +31,7 @@ def significance(df: DataFrame, keys: list[str], value: str, null_mean: float =
     g = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("_sd"))
     error = F.when((F.col("n") >= least) & (F.col("_sd") > 0), F.col("_sd") / F.sqrt("n"))
     out = g.withColumn("z", (F.col("mean") - null_mean) / error)
-    p = F.least(F.lit(1.0), 2 * normal_tail(F.abs("z")))
+    p = F.when(F.col("z").isNotNull(), F.least(F.lit(1.0), 2 * normal_tail(F.abs("z"))))
     return out.withColumns({"p_value": p, "low": F.col("mean") - 1.96 * error, "high": F.col("mean") + 1.96 * error}).drop("_sd")
 
 

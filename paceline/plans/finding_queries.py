@@ -119,7 +119,7 @@ def encodings_and_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines in two encodings from the first path that is there, with the number of lines of its files."""
     path, c = shared_path(spark, "latin"), _customers(spark, sf).where("segment is not null")
     line = F.concat_ws("|", "c_custkey", "segment")
-    c.where("c_custkey % 2 = 0").select(line.alias("value")).write.option("encoding", "ISO-8859-1").text(f"{path}/a")
+    c.where("c_custkey % 2 = 0").select(F.encode(line, "ISO-8859-1").cast("string").alias("value")).write.text(f"{path}/a")
     c.where("c_custkey % 2 = 1").select(line.alias("value")).write.text(f"{path}/b")
     found = readers.first_existing(spark, [f"{path}/missing", path])
     texts = readers.texts_in_any_encoding(spark, f"{found}/*").where("value <> ''")
