@@ -19,6 +19,8 @@ PART = 32.0
 #: Sources up to which their rates are broadcast (a few KB each); beyond it they are joined on source and a salt.
 MAX_BROADCAST_SOURCES = 2000
 SALTS = 64
+#: Equal rows without an id that are made again in one piece.
+PIECE = 10_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -53,6 +55,18 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, total
     return rates.withColumn("cdf", F.aggregate(F.sequence(F.lit(1), last), start, step)["cdf"]).select("mix_source", "size", "rate", "parts", "cdf")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows without an id, numbered among those that are equal in ``mix_id``.
+
+    Equal rows are counted, which Spark combines before it shuffles, and made
+    again by their number, in pieces dealt to all partitions.
+    """
+    counted = rows.groupBy("row", "mix_source", "mix_id").agg(F.count(F.lit(1)).alias("n"))
+    pieces = counted.withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"), F.lit(PIECE).cast("long")))).repartition("mix_id", "first")
+    each = F.explode(F.sequence("first", F.least(F.col("n"), F.col("first") + PIECE - 1)))
+    return pieces.select("row", "mix_source", "mix_id", each.alias("number")).select("row", "mix_source", F.concat_ws("#", "mix_id", "number").alias("mix_id"))
+
+
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, total: int | None = None, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", exponent: float = EXPONENT) -> DataFrame:
     """Documents repeated to their source's target weight and globally shuffled.
 
@@ -62,13 +76,18 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, total:
     (from 1), in partitions dealt and ordered by a keyed hash.
 
     A null source is a source of its own (weight 0 if ``weights`` are given,
-    unless they name the empty string). Rows without an id draw by their text;
-    rows with equal ids draw equal counts. An empty table gives an empty
-    result; a column of the input named ``copy`` is replaced.
+    unless they name the empty string). Rows without an id draw by their text
+    and by their number among equal rows, each on its own; rows with equal ids
+    draw equal counts. An empty table gives an empty result; a column of the
+    input named ``copy`` is replaced.
     """
     spark, columns = docs.sparkSession, [c for c in docs.columns if c != "copy"]
     rates = source_rates(docs, weights, total, source_col, exponent)
-    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(source_col).cast("string").alias("mix_source"), F.coalesce(F.col(id_col).cast("string"), F.md5(F.col(text_col).cast("string")), F.lit("")).alias("mix_id"))
+    packed = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row")
+    source = F.col(source_col).cast("string").alias("mix_source")
+    named = docs.where(F.col(id_col).isNotNull()).select(packed, source, F.col(id_col).cast("string").alias("mix_id"))
+    text = F.coalesce(F.md5(F.col(text_col).cast("string")), F.lit(""))
+    row = named.unionByName(_numbered(docs.where(F.col(id_col).isNull()).select(packed, source, text.alias("mix_id"))))
     known = rates.limit(MAX_BROADCAST_SOURCES + 1).collect()
     schema = "mix_source string, size long, rate double, parts int, cdf array<double>"
     if len(known) <= MAX_BROADCAST_SOURCES:
