@@ -23,8 +23,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without an id stay; of rows with one id and one text one stays.
     """
-    first = ngram_components(docs, size=5, percent=80).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    named = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("first_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    name = "first_id" + "_" * max(map(len, docs.columns))  # no column of the documents is as long
+    first = ngram_components(docs, size=5, percent=80).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    named = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.where("doc_id is null"))
 
 
