@@ -192,7 +192,9 @@ def references(measured: DataFrame, lang: Column) -> DataFrame:
 
 def _judged(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``row``, ``stats``, distances, base_failed and kept of every document."""
-    spark = docs.sparkSession
+    spark, own = docs.sparkSession, docs.columns
+    aside = {c: f"{c}_{max(map(len, own)) * '_'}" for c in ("_lang", "_ref_classes", "_ref_words") if c in own}
+    docs = docs.withColumnsRenamed(aside)
     lang = lambda of: F.coalesce(F.col(f"{of}{lang_col}").cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
     refs = stored(references(with_stats(docs.select(text_col, *([lang_col] if lang_col in docs.columns else [])), text_col), lang("row.")), "quality-refs")
     rows = refs.limit(MAX_BROADCAST_LANGS + 1).collect()
@@ -206,6 +208,8 @@ def _judged(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     s = F.col("stats")
     n_chars = F.aggregate(s["classes"], F.lit(0), lambda a, v: a + v)
     out = with_stats(joined, text_col, arrays).withColumn("base_failed", base_failed())
+    if aside:
+        out = out.withColumn("row", F.struct(*(F.col(f"row.`{aside.get(c, c)}`").alias(c) for c in own)))
     over = lambda distance, n, least, limit: (n >= least) & (F.col(distance) > limit[0] + limit[1] / F.sqrt(n))
     odd = over("class_distance", n_chars, MIN_CHARS, CLASS_LIMIT) | over("word_distance", s["n_words"], MIN_COMMON_WORDS, WORD_LIMIT)
     return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
