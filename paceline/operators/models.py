@@ -77,12 +77,12 @@ def isotonic(train: DataFrame, df: DataFrame, score: str, label: str, out: str =
 def votes(df: DataFrame, features: list[str], label: str, least_corr: float = 0.01, most_corr: float = 0.95) -> DataFrame:
     """Votes for each feature: it varies, it goes with the label, and it doesn't repeat an earlier feature. One scan."""
     pairs = [(a, b) for i, b in enumerate(features) for a in features[:i]]
-    row = df.agg(*(F.var_pop(f).alias(f"v_{f}") for f in features), *(correlation(f, label).alias(f"l_{f}") for f in features), *(correlation(a, b).alias(f"c_{a}_{b}") for a, b in pairs))
+    row = df.agg(*((F.min(f) < F.max(f)).alias(f"v_{f}") for f in features), *(correlation(f, label).alias(f"l_{f}") for f in features), *(correlation(a, b).alias(f"c_{a}_{b}") for a, b in pairs))
 
     def one(f: str) -> Column:
         same = F.greatest(F.lit(0.0), *(F.abs(F.coalesce(f"c_{a}_{b}", F.lit(0.0))) for a, b in pairs if b == f), F.lit(0.0))
         flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
-        v, c, d = flag(F.col(f"v_{f}") > 0), flag(F.abs(f"l_{f}") >= least_corr), flag(same <= most_corr)
+        v, c, d = flag(F.col(f"v_{f}")), flag(F.abs(f"l_{f}") >= least_corr), flag(same <= most_corr)
         return F.struct(F.lit(f).alias("feature"), v.alias("varies"), c.alias("goes_with_label"), d.alias("is_new"), (v + c + d).alias("votes"))
 
     return row.select(F.explode(F.array(*map(one, features))).alias("x")).select("x.*")

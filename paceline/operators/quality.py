@@ -98,8 +98,12 @@ def ks(df: DataFrame, value: str, first: Column) -> DataFrame:
 
 
 def correlation(a: str, b: str) -> Column:
-    """Pearson's correlation, null where either side is constant."""
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    """Pearson's correlation over the rows that have both, null where either side is constant.
+
+    A constant is told by its ends: merged over partitions, its variance may come out a little over 0.
+    """
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def correlations(df: DataFrame, columns: list[str], label: str) -> DataFrame:
