@@ -6,7 +6,7 @@ milliseconds a kilometre, which a run that didn't finish lacks, and others too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paceline.functions import arrays
@@ -31,24 +31,27 @@ x AS (SELECT *, reduction * distance / 1000 AS time, (79000 - reduction) / 100 A
 
 def performance_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Places, times, reductions and earnings over the last 5, 10 and 20 runs of earlier days: mean, deviation, ends and median; steadiness, slope and pattern of the last ten places."""
-    last = pit.last_n_of_earlier_days(_runs(spark, sf), "horse", 20, ORDER, ["place", "time", "reduction", "gains", "won", "placed", "dnf"])
-    cut = lambda n: F.slice("last", 1, n)
-    of = lambda n, c: F.transform(cut(n), lambda x: x[c])
+    figures: dict[str, tuple[int, Column]] = {"places_10": (10, F.collect_list("place")), "dnf_10": (10, F.avg("dnf"))}
+    for n in WINDOWS:
+        figures |= {f"places_{n}": (n, F.collect_list("place")), f"worst_{n}": (n, F.max("place")), f"sum_{n}": (n, F.sum("gains")), f"gains_{n}": (n, F.avg("gains"))}
+        figures |= {f"{k}_{c}_{n}": (n, f(c)) for c in ("place", "time", "reduction") for k, f in (("mean", F.avg), ("sd", F.stddev_samp), ("best", F.min))}
+        figures |= {f"{k}_{c}_{n}": (n, f(c)) for c in ("won", "placed") for k, f in (("sum", F.sum), ("rate", F.avg))}
+    last = pit.of_earlier_days(_runs(spark, sf), "horse", ORDER, {f"_{k}": v for k, v in figures.items()})
     cols: list[Column] = []
     for n in WINDOWS:
-        place, runs = of(n, "place"), F.size(cut(n))
-        cols += [real(f(place), f"place_{k}_{n}") for k, f in (("mean", arrays.mean), ("sd", arrays.sd_sample), ("median", arrays.median))]
-        cols += [integer(F.array_min(place), f"place_best_{n}"), integer(F.array_max(place), f"place_worst_{n}")]
+        at = lambda k, n=n: F.col(f"_{k}_{n}")
+        cols += [real(at("mean_place"), f"place_mean_{n}"), real(at("sd_place"), f"place_sd_{n}"), real(arrays.median(at("places")), f"place_median_{n}")]
+        cols += [integer(at("best_place"), f"place_best_{n}"), integer(at("worst"), f"place_worst_{n}")]
         for c in ("time", "reduction"):
-            cols += [real(arrays.mean(of(n, c)), f"{c}_mean_{n}"), real(arrays.sd_sample(of(n, c)), f"{c}_sd_{n}"), real(F.array_min(of(n, c)), f"{c}_best_{n}")]
-        cols += [real(arrays.mean(of(n, "gains")), f"gains_mean_{n}"), integer(F.when(runs > 0, arrays.total(of(n, "gains"))), f"gains_{n}")]
-        cols += [integer(arrays.total(of(n, c)), f"{c}_{n}") for c in ("won", "placed")] + [real(arrays.mean(of(n, c)), f"{c}_rate_{n}") for c in ("won", "placed")]
-    ten = F.reverse(of(10, "place"))
+            cols += [real(at(f"{k}_{c}"), f"{c}_{k}_{n}") for k in ("mean", "sd", "best")]
+        cols += [real(at("gains"), f"gains_mean_{n}"), integer(at("sum"), f"gains_{n}")]
+        cols += [integer(F.coalesce(at(f"sum_{c}"), F.lit(0)), f"{c}_{n}") for c in ("won", "placed")] + [real(at(f"rate_{c}"), f"{c}_rate_{n}") for c in ("won", "placed")]
+    ten = F.col("_places_10")
     steep = arrays.slope(ten, least=3)
-    steady = F.when(arrays.count(ten) >= 3, F.try_divide(arrays.sd_sample(ten), arrays.mean(ten)))
+    steady = F.when(F.size(ten) >= 3, F.try_divide(arrays.sd_sample(ten), arrays.mean(ten)))
     rounded = F.round(steep, 4)
     pattern = F.when(rounded < -0.3, "improving").when(rounded > 0.3, "declining").when(rounded.isNotNull(), "stable")
-    return last.select("uid", *cols, real(steady, "steadiness"), real(steep, "slope"), pattern.alias("pattern"), real(arrays.mean(of(10, "dnf")), "dnf_rate"))
+    return last.select("uid", *cols, real(steady, "steadiness"), real(steep, "slope"), pattern.alias("pattern"), real(F.col("_dnf_10"), "dnf_rate"))
 
 
 def _prev(value: str | None = None, sequential: bool = False) -> str:
