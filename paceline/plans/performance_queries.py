@@ -78,7 +78,7 @@ SELECT w.*, {real_sql("c", "steadiness")}, {real_sql("s", "slope")}, CASE WHEN r
 
 def time_history(spark: SparkSession, sf: str) -> DataFrame:
     """Reductions of earlier days, runs without one left out before counting: mean and best of the last 5 and 10, deviation of all, and the mean of the three before less that of the last three."""
-    r = pit.last_known(_runs(spark, sf), "horse", "reduction", 10, ORDER, pit.strict_day("horse"), "h")
+    r = pit.last_known_values(_runs(spark, sf), "horse", {"h": ("reduction", 10)}, ORDER, lambda w: w.orderBy("day").rangeBetween(Window.unboundedPreceding, -1))
     n, s, q = F.col("h_n"), F.col("h_sum").cast("double"), F.col("h_squares")
     spread = F.sqrt(F.greatest(F.lit(0.0), q / n - (s / n) * (s / n)))
     part = lambda a, k: F.slice("h", a, k)
@@ -116,10 +116,8 @@ SELECT x.uid, {real_sql("front", "front")}, {real_sql("closer", "closer")}, CASE
 
 def figure_history(spark: SparkSession, sf: str) -> DataFrame:
     """Speed figures before each run (best, mean and slope of the last five, this one against the last three), class ratings (mean of five, change, drop and rise by more than five), and odds (this one against the mean so far; sure if below four fifths of it)."""
-    r = _runs(spark, sf)
-    seen = pit.sequential("horse", *ORDER)
-    for value, n in (("figure", 5), ("rating", 5), ("price", 1)):
-        r = pit.last_known(r, "horse", value, n, ORDER, seen, f"h_{value}")
+    values = {f"h_{value}": (value, n) for value, n in (("figure", 5), ("rating", 5), ("price", 1))}
+    r = pit.last_known_values(_runs(spark, sf), "horse", values, ORDER, lambda w: w.orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1))
     f, c = F.col("h_figure"), F.col("h_rating")
     own = F.when(F.col("h_figure_n") >= 3, F.col("figure") - arrays.mean(F.slice(f, 1, 3)))
     change = F.round(F.col("rating") - F.get(c, F.lit(0)), 6)
