@@ -35,26 +35,34 @@ def longest_prefix(df: DataFrame, name: str, known: DataFrame, known_name: str,
     return hit.unionByName(missed.withColumns({out: F.lit(None).cast(kind), f"{out}_rest": F.lit(None).cast("string")}))
 
 
-def column_matches(left: DataFrame, right: DataFrame, least: float = 0.5, least_values: int = 20, lg_k: int = 12) -> DataFrame:
-    """Pairs of columns that hold the same values: ``left_column``, ``right_column``, ``contained`` (estimated share of the smaller side's values that the other has).
+def column_matches(left: DataFrame, right: DataFrame, least: float = 0.5, least_values: int = 20) -> DataFrame:
+    """Pairs of columns that hold the same values: ``left_column``, ``right_column``, ``contained`` (share of the smaller side's values that the other has).
 
-    Each table is scanned once, into a sketch of distinct values a column; no
-    name is looked at. Columns with fewer than ``least_values`` values match
-    anything and are left out. The figure is good to a few per cent.
+    Each table is scanned once and no name is looked at. Each different value
+    is shuffled once, with one bit for every column that holds it, so the
+    figures are exact. Columns with fewer than ``least_values`` values match
+    anything and are left out.
     """
-    spark = left.sparkSession
+    flat = lambda df: [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "variant"))]
+    sides = {"left": flat(left), "right": flat(right)}
+    columns = [(side, c) for side, names in sides.items() for c in names]
+    words = [f"_w{i}" for i in range(-(-len(columns) // 62))]
 
-    def sketches(df: DataFrame, side: str) -> DataFrame:
-        flat = [c for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "variant"))]
-        row = df.agg(*(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(lg_k)).alias(c) for c in flat))
-        return row.select(F.explode(F.array(*(F.struct(F.lit(c).alias(f"{side}_column"), F.col(c).alias(f"{side}_sketch")) for c in flat))).alias("x")).select("x.*").withColumn(f"{side}_n", F.hll_sketch_estimate(f"{side}_sketch")).where(F.col(f"{side}_n") >= least_values)
+    def cells(df: DataFrame, side: str) -> DataFrame:
+        bit = lambda at, i: F.lit(1 << (at % 62) if at // 62 == i else 0).cast("long")
+        places = [(columns.index((side, c)), c) for c in sides[side]]
+        each = (F.struct(F.col(c).cast("string").alias("value"), *(bit(at, i).alias(w) for i, w in enumerate(words))) for at, c in places)
+        return df.select(F.explode(F.array(*each)).alias("x")).select("x.*").where("value is not null")
 
-    a, b = sketches(left, "left"), sketches(right, "right")
-    pairs = a.crossJoin(F.broadcast(b))  # as many rows as the tables have columns
-    both = F.col("left_n") + F.col("right_n") - F.hll_sketch_estimate(F.hll_union("left_sketch", "right_sketch"))
-    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), both / F.least("left_n", "right_n")))
-    out = pairs.select("left_column", "right_column", share.alias("contained")).where(F.col("contained") >= least).collect()
-    return spark.createDataFrame([tuple(r) for r in out], "left_column string, right_column string, contained double")
+    held = cells(left, "left").unionByName(cells(right, "right")).groupBy("value").agg(*(F.bit_or(w).alias(w) for w in words))
+    masks = held.groupBy(*words).agg(F.count(F.lit(1)).alias("_n"))
+    has = lambda i: F.col(words[i // 62]).bitwiseAND(F.lit(1 << (i % 62)).cast("long")) != 0
+    in_side = lambda side: F.array_compact(F.array(*(F.when(has(i), F.lit(c)) for i, (s, c) in enumerate(columns) if s == side)))
+    masks = masks.select("_n", in_side("left").alias("_left"), in_side("right").alias("_right"))
+    size = lambda side: masks.select("_n", F.explode(f"_{side}").alias(f"{side}_column")).groupBy(f"{side}_column").agg(F.sum("_n").alias(f"{side}_n")).where(F.col(f"{side}_n") >= least_values)
+    both = masks.select("_n", F.explode("_left").alias("left_column"), "_right").select("_n", "left_column", F.explode("_right").alias("right_column")).groupBy("left_column", "right_column").agg(F.sum("_n").alias("both"))
+    share = F.col("both") / F.least("left_n", "right_n")
+    return both.join(F.broadcast(size("left")), "left_column").join(F.broadcast(size("right")), "right_column").select("left_column", "right_column", share.alias("contained")).where(F.col("contained") >= least)
 
 
 def named_column(df: DataFrame, candidates: list[str], share: float = 0.5) -> str | None:
