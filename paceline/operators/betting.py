@@ -25,14 +25,33 @@ def scaled(df: DataFrame, keys: list[str], stake: str, exposure: float = 0.3, le
     return df.withColumn(stake, F.when(total > exposure, F.col(stake) * exposure / total).otherwise(F.col(stake))).where(F.col(stake) >= least)
 
 
+def _fields(df: DataFrame, race: str, runner: str, p: str) -> DataFrame:
+    """One row a contest with its entrants (``no``, ``p``) as the array ``field``."""
+    return df.groupBy(F.col(race).alias("race")).agg(F.collect_list(F.struct(F.col(runner).alias("no"), F.col(p).alias("p"))).alias("field"))
+
+
+def _orders(field: Column, places: int) -> Column:
+    """Every ordered finish of the first ``places`` among a field's entrants: ``order``, ``probability`` and the shares ``gone``."""
+    out = F.transform(field, lambda x: F.struct(F.array(x["no"]).alias("order"), x["p"].alias("probability"), x["p"].alias("gone")))
+    left = lambda o: F.filter(field, lambda x: ~F.array_contains(o["order"], x["no"]))
+    then = lambda o, x: F.struct(F.concat(o["order"], F.array(x["no"])).alias("order"), (o["probability"] * F.try_divide(x["p"], 1 - o["gone"])).alias("probability"), (o["gone"] + x["p"]).alias("gone"))
+    for _ in range(places - 1):
+        out = F.flatten(F.transform(out, lambda o: F.transform(left(o), lambda x: then(o, x))))
+    return out
+
+
 def ordered_finish(df: DataFrame, race: str, runner: str, p: str, places: int = 3) -> DataFrame:
     """Harville probabilities of ordered finishes: each next place by the shares of those still left."""
-    one = df.select(F.col(race).alias("race"), F.col(runner).alias("no"), F.col(p).alias("p"))
-    out = one.select("race", F.array("no").alias("order"), F.col("p").alias("probability"), F.col("p").alias("gone"))
-    for _ in range(places - 1):
-        out = out.join(one, "race").where(~F.array_contains("order", F.col("no")))
-        out = out.select("race", F.concat("order", F.array("no")).alias("order"), (F.col("probability") * F.try_divide(F.col("p"), 1 - F.col("gone"))).alias("probability"), (F.col("gone") + F.col("p")).alias("gone"))
-    return out.drop("gone")
+    return _fields(df, race, runner, p).select("race", F.explode(_orders(F.col("field"), places)).alias("x")).select("race", "x.order", "x.probability")
+
+
+def likeliest_finish(df: DataFrame, race: str, runner: str, p: str, places: int = 3, digits: int = 9) -> DataFrame:
+    """The likeliest ordered finish of each contest, to so many digits; of equal ones the first as text (``ticket``). Tickets are weighed within the contest's row."""
+    tickets = F.transform(_orders(F.col("field"), places), lambda x: F.struct((-F.round(x["probability"], digits)).alias("less"), F.array_join(x["order"], "-").alias("ticket"), x["probability"].alias("probability")))
+    # Without a probability a ticket comes last.
+    known = F.filter(tickets, lambda x: x["less"].isNotNull())
+    best = F.coalesce(F.array_min(known), F.array_min(tickets))
+    return _fields(df, race, runner, p).select("race", best.alias("x")).where("x is not null").select("race", "x.ticket", "x.probability")
 
 
 def drawdown(df: DataFrame, keys: list[str], order: list[str], profit: str) -> DataFrame:
@@ -42,11 +61,6 @@ def drawdown(df: DataFrame, keys: list[str], order: list[str], profit: str) -> D
     return out.withColumn("peak", F.greatest(F.lit(0), F.max("balance").over(w))).withColumn("drawdown", F.col("peak") - F.col("balance"))
 
 
-def _fields(df: DataFrame, race: str, runner: str, p: str) -> DataFrame:
-    """One row a contest with its entrants (``no``, ``p``) as the array ``field``."""
-    return df.groupBy(F.col(race).alias("race")).agg(F.collect_list(F.struct(F.col(runner).alias("no"), F.col(p).alias("p"))).alias("field"))
-
-
 def simulate(df: DataFrame, race: str, runner: str, p: str, runs: int, seed: int) -> DataFrame:
     """Plackett-Luce finishes by Gumbel noise: win, place and show shares and mean position over ``runs`` draws.
 

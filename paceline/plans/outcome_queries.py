@@ -183,9 +183,7 @@ s AS (SELECT day, CASE WHEN t > 0.3 THEN stake * 0.3 / t ELSE stake END AS stake
 def harville_trifecta(spark: SparkSession, sf: str) -> DataFrame:
     """Probabilities of ordered first-three finishes of contests with four entrants or more, the likeliest of each."""
     d = _predicted(spark, sf).where("fs >= 4")
-    o = betting.ordered_finish(d, "race", "no", "p")
-    best = F.row_number().over(Window.partitionBy("race").orderBy(F.desc(F.round("probability", 9)), F.array_join("order", "-")))
-    return o.withColumn("k", best).where("k = 1").select("race", F.array_join("order", "-").alias("ticket"), r6("probability"))
+    return betting.likeliest_finish(d, "race", "no", "p").select("race", "ticket", r6("probability"))
 
 
 HARVILLE = f"""{P}, x AS (SELECT race, no, p FROM pr WHERE fs >= 4), t AS (SELECT a.race, concat_ws('-', a.no, b.no, c.no) AS ticket, a.p * (b.p / (1 - a.p)) * (c.p / (1 - (a.p + b.p))) AS pr FROM x AS a JOIN x AS b ON a.race = b.race AND a.no <> b.no JOIN x AS c ON a.race = c.race AND c.no NOT IN (a.no, b.no))
