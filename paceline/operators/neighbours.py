@@ -13,6 +13,7 @@ by a broadcast of bounded length (``skew.looked_up``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -59,7 +60,7 @@ def _tree(points: DataFrame, axes: list[str], full: int) -> tuple[DataFrame, Dat
     return union(cells), union(leaves)
 
 
-def nearest(queries: DataFrame, points: DataFrame, axes: list[str], k: int, key: str, scale: dict[str, float] | None = None, full: int | None = None) -> DataFrame:
+def nearest(queries: DataFrame, points: DataFrame, axes: list[str], k: int, key: str, scale: dict[str, float] | None = None, full: int | None = None, carry: tuple[str, ...] = (), measure: Callable[[Column], Column] | None = None, slack: float = 0.0) -> DataFrame:
     """The k points nearest to each query: columns of ``queries``, ``neighbour`` (the point's key), ``distance`` and ``rank`` from 1.
 
     Euclidean distance over ``axes`` (one to three numeric columns of both
@@ -67,12 +68,16 @@ def nearest(queries: DataFrame, points: DataFrame, axes: list[str], k: int, key:
     distances are ranked by the key. Queries and points with a null or
     non-finite axis, and points without a key, have no distance: such
     queries are left out. With fewer than k points all are returned.
+
+    ``measure`` is a finer distance from the query's row to a point, of which
+    it gets the columns ``carry``. All points up to ``slack`` (scaled) beyond
+    the k-th are weighed by it, and it ranks them.
     """
     dims, full = len(axes), full or max(4 * k, 32)
     if not 1 <= dims <= 3:
         raise ValueError("one to three axes")
     fine = reduce(lambda a, b: a & b, (F.col(a).isNotNull() & ~F.isnan(F.col(a).cast("double")) & (F.abs(F.col(a).cast("double")) != F.lit(float("inf"))) for a in axes))
-    queries, points = queries.where(fine), points.where(fine & F.col(key).isNotNull()).select(F.col(key).alias("neighbour"), *axes)
+    queries, points = queries.where(fine), points.where(fine & F.col(key).isNotNull()).select(F.col(key).alias("neighbour"), *axes, *carry)
     ends = queries.select(*axes).unionByName(points.select(*axes)).agg(*(f(F.col(a).cast("double")).alias(f"{n}_{a}") for a in axes for n, f in (("lo", F.min), ("hi", F.max)))).first()
     low = {a: ends[f"lo_{a}"] or 0.0 for a in axes}
     unit = {a: (scale or {}).get(a) or ((ends[f"hi_{a}"] or 0.0) - low[a]) or 1.0 for a in axes}
@@ -80,8 +85,8 @@ def nearest(queries: DataFrame, points: DataFrame, axes: list[str], k: int, key:
     widest = max([((ends[f"hi_{a}"] or 0.0) - low[a]) / unit[a] for a in axes] + [1e-300])
     names = [f"_z{i}" for i in range(dims)]
     scaled = lambda df: df.withColumns({z: (F.col(a).cast("double") - F.lit(low[a])) / F.lit(unit[a]) for z, a in zip(names, axes, strict=True)})
-    first = Window.partitionBy(*names).orderBy("neighbour")
-    distinct = scaled(points).drop(*axes).dropDuplicates(["neighbour", *names]).withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= k).drop("_k")
+    first = Window.partitionBy(*names, *carry).orderBy("neighbour")
+    distinct = scaled(points).drop(*axes).dropDuplicates(["neighbour", *names, *carry]).withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= k).drop("_k")
     share = [f"_u{i}" for i in range(dims)]
     spread = lambda df: df.withColumns({u: F.col(z) / F.lit(widest) for u, z in zip(share, names, strict=True)})
     cells, placed = _tree(kept(spread(distinct), "points"), share, full)
@@ -107,14 +112,22 @@ def nearest(queries: DataFrame, points: DataFrame, axes: list[str], k: int, key:
         bound = F.coalesce(F.min(F.when(F.col("so_far") >= k, F.col("far"))).over(Window.partitionBy("_q")), F.lit(float("inf")))
         # A little more than the bound, for what is lost in rounding.
         now = kept(bounded.withColumn("bound", bound).where("near <= bound * (1 + 1e-9) + 1e-12").select(*now.columns), "cells-left")
-    leaf = placed.groupBy(F.struct("level", "cell").alias("at")).agg(F.collect_list(F.struct("neighbour", *names)).alias("points"))
+    leaf = placed.groupBy(F.struct("level", "cell").alias("at")).agg(F.collect_list(F.struct("neighbour", *names, *carry)).alias("points"))
     pairs = joined_by_hot_key(now.where("leaf").select("_q", F.struct("level", "cell").alias("at")), leaf, "at").join(asked.select("_q", *(F.col(z).alias(f"q{z}") for z in names)), "_q")
     pairs = pairs.select("_q", *(f"q{z}" for z in names), F.explode("points").alias("p"))
     distance = F.sqrt(reduce(lambda a, b: a + b, ((F.col(f"q{z}") - F.col("p")[z]) * (F.col(f"q{z}") - F.col("p")[z]) for z in names)))
-    pairs = pairs.select("_q", F.col("p.neighbour").alias("neighbour"), distance.alias("distance"))
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy("distance", "neighbour"))).where(F.col("rank") <= k)
-    found = ranked.groupBy("_q").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour", "distance"))).alias("_found")).join(asked.select("_q", F.struct(*names).alias("_z")), "_q").select("_z", "_found")
+    pairs = pairs.select("_q", F.col("p.neighbour").alias("neighbour"), distance.alias("distance"), *(F.col("p")[c].alias(f"_at_{c}") for c in carry))
+    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy("distance", "neighbour")))
+    if measure:
+        last = F.max(F.when(F.col("rank") <= k, F.col("distance"))).over(Window.partitionBy("_q"))
+        ranked = ranked.withColumn("_last", last).where(F.col("distance") <= F.col("_last") + slack)
+    else:
+        ranked = ranked.where(F.col("rank") <= k)
+    found = ranked.groupBy("_q").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour", "distance", *(F.col(f"_at_{c}").alias(c) for c in carry)))).alias("_found")).join(asked.select("_q", F.struct(*names).alias("_z")), "_q").select("_z", "_found")
     out = joined_by_hot_key(scaled(queries).withColumn("_z", F.struct(*names)).drop(*names), found, "_z")
+    if measure:
+        weighed = F.slice(F.array_sort(F.transform("_found", lambda x: F.struct(measure(x).alias("distance"), x["neighbour"].alias("neighbour")))), 1, k)
+        return out.select(*queries.columns, F.posexplode(weighed).alias("_place", "_one")).select(*queries.columns, "_one.neighbour", "_one.distance", (F.col("_place") + 1).alias("rank"))
     return out.select(*queries.columns, F.explode("_found").alias("_one")).select(*queries.columns, "_one.neighbour", "_one.distance", "_one.rank")
 
 
@@ -143,10 +156,16 @@ def on_sphere(lat: Column, lon: Column) -> dict[str, Column]:
 def nearest_places(places: DataFrame, stations: DataFrame, key: str, k: int = 1, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """The k stations nearest to each place: columns of ``places``, ``neighbour``, ``km`` (great circle) and ``rank``.
 
-    Places without coordinates have none and are left out.
+    Places without coordinates have none and are left out. Straight distances
+    find the candidates; coordinates that differ by no more than their last
+    digits are told apart by the haversine of the angles, which keeps digits
+    that points of the sphere have lost. Equal distances go by the key.
     """
-    axes = ["_x", "_y", "_w"]
+    axes, a, o = ["_x", "_y", "_w"], F.radians(F.col(lat).cast("double")), F.radians(F.col(lon).cast("double"))
     put = lambda df: df.withColumns(on_sphere(F.col(lat).cast("double"), F.col(lon).cast("double")))
-    near = nearest(put(places), put(stations), axes, k, key, dict.fromkeys(axes, 1.0))
-    km = 2 * EARTH_KM * F.asin(F.least(F.lit(1.0), F.col("distance") / 2))
-    return near.withColumn("km", km).drop("distance", *axes)
+    half = lambda x: F.pow(F.sin(x / 2), F.lit(2.0))
+    to = lambda x: (F.radians(x["_lat"]), F.radians(x["_lon"]))
+    km = lambda x: 2 * EARTH_KM * F.asin(F.least(F.lit(1.0), F.sqrt(half(to(x)[0] - a) + F.cos(to(x)[0]) * F.cos(a) * half(to(x)[1] - o))))
+    there = put(stations).withColumns({"_lat": F.col(lat).cast("double"), "_lon": F.col(lon).cast("double")})
+    near = nearest(put(places), there, axes, k, key, dict.fromkeys(axes, 1.0), carry=("_lat", "_lon"), measure=km, slack=1e-13)
+    return near.withColumnRenamed("distance", "km").drop(*axes)
