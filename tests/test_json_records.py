@@ -90,3 +90,18 @@ def test_an_unbalanced_quote_collects_nothing_large(spark, tmp_path):
     out = json_records(spark, str(tmp_path / "a.json"), max_bytes=200)
     assert max(len(r.text) for r in out.collect()) <= 200
     assert [r.id for r in split_json_array(spark, str(tmp_path / "a.json"), RECORD).collect()][:1] == [1]
+
+
+def test_the_text_of_records_is_not_shuffled(spark, tmp_path):
+    rng = random.Random(5)
+    (tmp_path / "a.json").write_text(json.dumps([{"id": i, "name": rng.randbytes(100).hex()} for i in range(5000)]))
+    before = shuffled(spark)
+    split_json_array(spark, str(tmp_path / "a.json"), RECORD).write.format("noop").mode("overwrite").save()
+    assert shuffled(spark) - before < 0.05 * (tmp_path / "a.json").stat().st_size
+
+
+def shuffled(spark):
+    """Bytes that all stages so far wrote to shuffles."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
