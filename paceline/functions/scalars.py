@@ -142,16 +142,16 @@ def hour_minute(ms: Column) -> Column:
 def form_runs(x: Column) -> Column:
     """Runs of a form text with the year that the last token such as (23) before them names: place (null if none), outcome, discipline, year."""
     tokens = F.regexp_extract_all(x, F.lit(r"(\(\d{2}\)|(?:\d+|[DTAR])[amphsc])"), 1)
-    none = F.lit(None).cast("int")
-    shape = "struct<year:int,runs:array<struct<place:int,outcome:string,discipline:string,year:int>>>"
-
-    def step(seen: Column, t: Column) -> Column:
-        year, outcome = F.nullif(F.regexp_extract(t, r"^\((\d{2})\)$", 1), F.lit("")), F.regexp_extract(t, "^(.+).$", 1)
-        run = F.struct(outcome.try_cast("int").alias("place"), outcome.alias("outcome"), F.substring(t, -1, 1).alias("discipline"), seen["year"].alias("year"))
-        named, ran = F.struct(2000 + year.try_cast("int"), seen["runs"]).cast(shape), F.struct(seen["year"], F.concat(seen["runs"], F.array(run))).cast(shape)
-        return F.when(year.isNotNull(), named).otherwise(ran)
-
-    return F.aggregate(tokens, F.struct(none, F.array()).cast(shape), step)["runs"]
+    named = lambda t: F.startswith(t, F.lit("("))
+    year = lambda t: 2000 + F.substring(t, 2, 2).cast("int")
+    # Only the years are carried from token to token; runs are made once, beside them.
+    years = lambda ts: F.aggregate(ts, F.array().cast("array<int>"), lambda seen, t: F.concat(seen, F.array(F.when(named(t), year(t)).otherwise(F.try_element_at(seen, F.lit(-1))))))
+    outcome = lambda t: F.substring(t, F.lit(1), F.length(t) - 1)
+    # A cast that fails is slow, as it makes its error's text first: letters aren't tried.
+    place = lambda t: F.when(~outcome(t).isin("D", "T", "A", "R"), outcome(t).try_cast("int"))
+    run = lambda t, y: F.when(~named(t), F.struct(place(t).alias("place"), outcome(t).alias("outcome"), F.substring(t, -1, 1).alias("discipline"), y.alias("year")))
+    # An array of one binds the tokens, so that the text is searched once.
+    return F.get(F.transform(F.array(tokens), lambda ts: F.filter(F.zip_with(ts, years(ts), run), lambda r: r.isNotNull())), F.lit(0))
 
 
 # Bins by name (upper cuts, closed on the right or left, labels).
