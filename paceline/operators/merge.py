@@ -90,8 +90,13 @@ def fallback_join(base: DataFrame, side: DataFrame, first: list[str], second: li
 
 
 def majority(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    """Golden record in long form: the commonest filled value of each field with its confidence and number of rivals."""
-    long = df.select(*keys, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields))).alias("x")).select(*keys, "x.*").where("value is not null and value <> ''")
+    """Golden record in long form: the commonest filled value of each field with its confidence and number of rivals.
+
+    Rows go to their key before the votes are counted: counted first, nearly
+    each row's fields would stand in the memory of its task as groups of their own.
+    """
+    dealt = df.select(*keys, *fields).repartition(*keys)
+    long = dealt.select(*keys, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields))).alias("x")).select(*keys, "x.*").where("value is not null and value <> ''")
     votes = long.groupBy(*keys, "field", "value").agg(F.count(F.lit(1)).alias("votes"))
     w = Window.partitionBy(*keys, "field")
     ranked = votes.withColumns({"total": F.sum("votes").over(w), "n_values": F.count(F.lit(1)).over(w), "_k": F.row_number().over(w.orderBy(F.desc("votes"), "value"))})
