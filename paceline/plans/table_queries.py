@@ -96,12 +96,18 @@ FROM x WINDOW w AS (PARTITION BY track ORDER BY day RANGE BETWEEN UNBOUNDED PREC
 def trainer_table(spark: SparkSession, sf: str) -> DataFrame:
     """Trainers' careers: counts, rates, distinct horses and jockeys, runs of the 30, 90 and 365 days up to their own last run, jockeys with 2 or more runs (most first), runs by year."""
     r = runners(spark, sf).withColumn("last_day", F.max("day").over(Window.partitionBy("trainer")))
-    by = r.groupBy("trainer", "jockey").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
-    pairs = by.groupBy("trainer").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "jockey", "n"))).alias("l"))
+    by = r.groupBy("trainer", "jockey").agg(F.count(F.lit(1)).alias("n"))
+    pairs = by.groupBy(F.col("trainer").alias("of")).agg(integer(F.count("jockey"), "jockeys"), F.sort_array(F.collect_list(F.when(F.col("n") >= 2, F.struct((-F.col("n")).alias("m"), "jockey", "n")))).alias("l"))
     years = r.groupBy("trainer", F.year("race_date").alias("y")).agg(F.count(F.lit(1)).alias("n")).groupBy("trainer").agg(F.sort_array(F.collect_list(F.struct("y", "n"))).alias("l"))
     text = lambda a, k: F.array_join(F.transform(a, lambda x: F.concat_ws(":", x[k], x["n"])), ",")
-    t = r.groupBy("trainer").agg(integer(F.count(F.lit(1)), "runs"), integer(F.sum("won"), "wins"), integer(F.sum("placed"), "places"), real(F.avg("won"), "win_rate"), real(F.avg("position"), "mean_position"), integer(F.sum("gains"), "gains"), integer(F.count_distinct("horse"), "horses"), integer(F.count_distinct("jockey"), "jockeys"), integer(F.max("day"), "last_day"), *(integer(F.count_if(F.col("day") >= F.col("last_day") - d), f"runs_{d}") for d in (30, 90, 365)))
-    return t.join(pairs.select("trainer", text(F.slice("l", 1, 5), "jockey").alias("partners")), "trainer", "left").join(years.select("trainer", text("l", "y").alias("career")), "trainer", "left")
+    # Distinct horses are the groups of a sum that goes on to the trainer; counted beside the jockeys, each run would stand in memory three times.
+    since = {f"runs_{d}": F.count_if(F.col("day") >= F.col("last_day") - d) for d in (30, 90, 365)}
+    horses = r.groupBy("trainer", "horse").agg(F.count(F.lit(1)).alias("runs"), *(F.sum(c).alias(c) for c in ("won", "placed", "position", "gains")), F.max("day").alias("day"), *(c.alias(n) for n, c in since.items()))
+    rate = lambda c: F.sum(c).cast("double") / F.sum("runs")
+    t = horses.groupBy("trainer").agg(integer(F.sum("runs"), "runs"), integer(F.sum("won"), "wins"), integer(F.sum("placed"), "places"), real(rate("won"), "win_rate"), real(rate("position"), "mean_position"), integer(F.sum("gains"), "gains"), integer(F.count("horse"), "horses"), integer(F.max("day"), "last_day"), *(integer(F.sum(n), n) for n in since))
+    t = t.join(pairs, F.col("trainer").eqNullSafe(F.col("of"))).join(years.select("trainer", text("l", "y").alias("career")), "trainer", "left")
+    partners = F.when(F.col("trainer").isNotNull() & (F.size("l") > 0), text(F.slice("l", 1, 5), "jockey"))
+    return t.select("trainer", "runs", "wins", "places", "win_rate", "mean_position", "gains", "horses", "jockeys", "last_day", *since, partners.alias("partners"), "career")
 
 
 TRAINER_TABLE = f"""{R}, x AS (SELECT *, max(day) OVER (PARTITION BY trainer) AS ld FROM r),
