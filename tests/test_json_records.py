@@ -100,6 +100,14 @@ def test_the_text_of_records_is_not_shuffled(spark, tmp_path):
     assert shuffled(spark) - before < 0.05 * (tmp_path / "a.json").stat().st_size
 
 
+def test_the_text_of_a_map_is_not_shuffled(spark, tmp_path):
+    rng = random.Random(6)
+    (tmp_path / "m.json").write_text(json.dumps({f"key {i}": {"id": i, "name": rng.randbytes(100).hex()} for i in range(5000)}))
+    before = shuffled(spark)
+    split_json_map(spark, str(tmp_path / "m.json"), RECORD).write.format("noop").mode("overwrite").save()
+    assert shuffled(spark) - before < 0.05 * (tmp_path / "m.json").stat().st_size
+
+
 def shuffled(spark):
     """Bytes that all stages so far wrote to shuffles."""
     store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
