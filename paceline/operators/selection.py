@@ -19,7 +19,7 @@ from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.operators.quality import correlation
+from paceline.sources.shared import kept
 
 #: Small multiple of the identity that keeps a subset with repeated features solvable.
 RIDGE = 1e-6
@@ -51,6 +51,48 @@ def products(df: DataFrame, features: list[str], label: str, fold: str) -> dict[
     return {k: v.reshape(width, width) for k, v in out.items()}
 
 
+def moments(df: DataFrame, features: list[str]) -> tuple[dict[str, float | None], dict[tuple[str, str], float | None]]:
+    """Sample variances and Pearson's correlations of all pairs, each over the rows that have both, null where a side is constant there.
+
+    One scan finds the means, one adds up the products of what lies around
+    them; a task returns one row a pair.
+    """
+    k = len(features)
+    slim = df.select(*(F.col(f).cast("double").alias(f) for f in features))
+    means = [m or 0.0 for m in slim.agg(*(F.avg(f) for f in features)).first()]
+    plain = [("n", F.sum), ("s", F.sum), ("q", F.sum), ("p", F.sum), ("lo", F.min), ("hi", F.max)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, s, q, p = np.zeros((4, k, k))
+        lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            known = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns])
+            own = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            m, x = known.astype(float), np.where(known, own - means, 0.0)
+            n, s, q, p = n + m.T @ m, s + x.T @ m, q + (x * x).T @ m, p + x.T @ x
+            for j in range(1 if known.all() else k):
+                both = known & known[:, j : j + 1]
+                to = slice(None) if known.all() else slice(j, j + 1)
+                lo[:, to] = np.minimum(lo[:, to], np.where(both, own, np.inf).min(axis=0)[:, None])
+                hi[:, to] = np.maximum(hi[:, to], np.where(both, own, -np.inf).max(axis=0)[:, None])
+        at = np.indices((k, k)).reshape(2, -1)
+        yield pa.record_batch([*(pa.array(a, pa.int32()) for a in at), *(pa.array(v.ravel()) for v in (n, s, q, p, lo, hi))], ["i", "j", *(c for c, _ in plain)])
+
+    cells = slim.mapInArrow(run, "i int, j int, n double, s double, q double, p double, lo double, hi double").groupBy("i", "j").agg(*(g(c).alias(c) for c, g in plain)).collect()
+    of = {(r["i"], r["j"]): r for r in cells}
+    spread = lambda r: r["q"] - r["s"] * r["s"] / r["n"]
+    variances = {f: spread(r) / (r["n"] - 1) if (r := of.get((i, i))) and r["n"] > 1 else None for i, f in enumerate(features)}
+    pairs = {}
+    for i, b in enumerate(features):
+        for j, a in enumerate(features[:i]):
+            x, y = of.get((j, i)), of.get((i, j))
+            varies = x is not None and x["lo"] < x["hi"] and y["lo"] < y["hi"] and spread(x) * spread(y) > 0
+            pairs[a, b] = (x["p"] - x["s"] * y["s"] / x["n"]) / float(np.sqrt(spread(x) * spread(y))) if varies else None
+    return variances, pairs
+
+
 @dataclass
 class Scorer:
     """Cross-validated score of subsets: minus the Gaussian log loss of least squares fitted on the other folds, the higher the better."""
@@ -167,13 +209,13 @@ def majority(df: DataFrame, features: list[str], label: str, top: int, need: int
     The methods: it repeats no earlier feature (correlation), it varies, it is
     among the ``top`` by mutual information, an L1 logistic regression keeps
     it, and it is among the ``top`` by a forest's importances. Equal figures
-    are ranked by name.
+    are ranked by name. The rows are stored once, as the methods read them
+    many times.
     """
     spark = df.sparkSession
-    rows = df.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("_y"), *(F.col(f).cast("double").alias(f) for f in features))
-    pairs = [(a, b) for i, b in enumerate(features) for a in features[:i]]
-    moments = rows.agg(*(F.var_samp(f).alias(f"v_{f}") for f in features), *(correlation(a, b).alias(f"c_{i}") for i, (a, b) in enumerate(pairs))).first()
-    repeats = {b for i, (a, b) in enumerate(pairs) if abs(moments[f"c_{i}"] or 0.0) > most_corr}
+    rows = kept(df.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("_y"), *(F.col(f).cast("double").alias(f) for f in features)), "votes")
+    variances, pairs = moments(rows, features)
+    repeats = {b for (_, b), c in pairs.items() if abs(c or 0.0) > most_corr}
     told = {r["feature"]: r["mutual_information"] for r in mutual_information(rows, features, "_y").collect()}
     filled = Imputer(strategy="median", inputCols=features, outputCols=[f"_{f}" for f in features]).fit(rows).transform(rows)
     vectors = VectorAssembler(inputCols=[f"_{f}" for f in features], outputCol="_raw").transform(filled).select("_y", "_raw")
@@ -182,7 +224,7 @@ def majority(df: DataFrame, features: list[str], label: str, top: int, need: int
     trees = RandomForestClassifier(labelCol="_y", featuresCol="_raw", numTrees=20, maxDepth=6, seed=seed).fit(vectors).featureImportances
     best = lambda value: set(sorted(features, key=lambda f: (-value(f), f))[:top])
     by_told, by_trees = best(lambda f: told.get(f, 0.0)), best(lambda f: float(trees[features.index(f)]))
-    flags = {f: (f not in repeats, (moments[f"v_{f}"] or 0.0) > least_var, f in by_told, bool(abs(lasso[i]) > 1e-5), f in by_trees) for i, f in enumerate(features)}
+    flags = {f: (f not in repeats, (variances[f] or 0.0) > least_var, f in by_told, bool(abs(lasso[i]) > 1e-5), f in by_trees) for i, f in enumerate(features)}
     enough = need if sum(sum(v) >= need for v in flags.values()) >= least_kept else 2
     schema = "feature string, is_new boolean, varies boolean, tells boolean, lasso boolean, trees boolean, votes int, kept boolean"
     return spark.createDataFrame([(f, *v, sum(v), sum(v) >= enough) for f, v in flags.items()], schema)

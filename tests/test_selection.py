@@ -85,6 +85,30 @@ def test_vote(df):
     assert strict["twice_a"].kept == (strict["twice_a"].votes >= 2)
 
 
+def test_moments_of_pairs(spark):
+    rng = random.Random(3)
+    some = [(rng.gauss(1e6, 1), None if i % 7 == 0 else rng.random(), 4.9 if i % 7 else 8.0, 49.1, None) for i in range(700)]
+    names = ["a", "b", "c", "fixed", "none"]
+    rows = spark.createDataFrame([(*r, r[0] + r[2]) for r in some], ", ".join(f"{f} double" for f in [*names, "d"])).repartition(5)
+    variances, pairs = selection.moments(rows, [*names, "d"])
+    exact = rows.agg(*(F.var_samp(f).alias(f) for f in variances), *(quality.correlation(a, b).alias(f"{a}_{b}") for a, b in pairs)).first()
+    for f, v in variances.items():
+        assert (v is None and exact[f] is None) or v == pytest.approx(exact[f], rel=1e-6, abs=1e-12), f
+    # Where b is known, c is constant.
+    assert pairs["b", "c"] is None and pairs["a", "fixed"] is None and pairs["a", "none"] is None and len(pairs) == 15
+    for (a, b), c in pairs.items():
+        assert (c is None and exact[f"{a}_{b}"] is None) or c == pytest.approx(exact[f"{a}_{b}"], abs=1e-6), (a, b)
+    assert selection.moments(rows.limit(0), names) == (dict.fromkeys(names), {(a, b): None for i, b in enumerate(names) for a in names[:i]})
+
+
+def test_the_vote_reads_stored_rows(df, monkeypatch):
+    seen = []
+    own = selection.moments
+    monkeypatch.setattr(selection, "moments", lambda rows, features: seen.append(rows) or own(rows, features))
+    selection.majority(df.join(df.select("uid"), "uid"), FEATURES, "y", top=3)
+    assert "Join" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_temperature_by_descent(spark):
     rng = random.Random(1)
     data = []
