@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paceline.operators import pit
-from paceline.streaming.tracker import appended_once, by_time, replayed, run_available, tracked
+from paceline.streaming.tracker import Tracker, appended_once, by_time, replayed, run_available, tracked
 
 ORDER, CONTEXTS = ["day", "race"], ["track", "kind_of"]
 SCHEMA = "entity long, uid long, day int, race int, ts timestamp, won int, placed int, gains long, track string, kind_of string"
@@ -88,3 +88,32 @@ def test_unknown_entities_and_contexts_in_the_batch_record(spark, runs):
     assert nobody["runs"] is None and nobody["gains"] is None and nobody["track_runs"] is None
     assert out.where("track is null and track_runs is not null").count() == 0
     assert out.where(F.col("runs").isNull()).count() == 1
+
+
+class Handle:
+    """A state store that counts its calls."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            return False if name == "containsKey" else None
+
+        made = {"getValueState", "getMapState", "getListState"}
+        return (lambda *_: self) if name in made else call
+
+
+def test_calls_to_the_state_do_not_grow_with_the_contexts_met():
+    import pandas as pd
+
+    calls = []
+    for n in (5, 200):
+        handle, own = Handle(), Tracker(CONTEXTS, ORDER, 15, 20)
+        own.init(handle)
+        data = [(1, i, i, 0, BEGIN + datetime.timedelta(days=i), i % 2, 1, i, f"track {i}", f"kind {i}") for i in range(n)]
+        (out,) = own.handleInputRows((1,), iter([pd.DataFrame(data, columns=[c.split()[0] for c in SCHEMA.split(", ")])]), None)
+        assert out["n_contexts"].tolist() == list(range(n)) and out["gains"].iloc[-1] == sum(range(n - 1))
+        calls.append(handle.calls)
+    assert calls[0] == calls[1] < 10
