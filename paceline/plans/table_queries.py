@@ -94,7 +94,7 @@ FROM x WINDOW w AS (PARTITION BY track ORDER BY day RANGE BETWEEN UNBOUNDED PREC
 
 
 def trainer_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Trainers' careers: counts, rates, distinct horses and jockeys, runs of the 30, 90 and 365 days up to their own last run, jockeys with 2 or more runs (most first), runs by year."""
+    """Trainers' careers: counts, rates, distinct horses and jockeys, runs of the 30, 90 and 365 days up to their own last run, all jockeys with 2 or more runs (most first), runs by year."""
     r = runners(spark, sf).withColumn("last_day", F.max("day").over(Window.partitionBy("trainer")))
     by = r.groupBy("trainer", "jockey").agg(F.count(F.lit(1)).alias("n"))
     pairs = by.groupBy(F.col("trainer").alias("of")).agg(integer(F.count("jockey"), "jockeys"), F.sort_array(F.collect_list(F.when(F.col("n") >= 2, F.struct((-F.col("n")).alias("m"), "jockey", "n")))).alias("l"))
@@ -106,12 +106,12 @@ def trainer_table(spark: SparkSession, sf: str) -> DataFrame:
     rate = lambda c: F.sum(c).cast("double") / F.sum("runs")
     t = horses.groupBy("trainer").agg(integer(F.sum("runs"), "runs"), integer(F.sum("won"), "wins"), integer(F.sum("placed"), "places"), real(rate("won"), "win_rate"), real(rate("position"), "mean_position"), integer(F.sum("gains"), "gains"), integer(F.count("horse"), "horses"), integer(F.max("day"), "last_day"), *(integer(F.sum(n), n) for n in since))
     t = t.join(pairs, F.col("trainer").eqNullSafe(F.col("of"))).join(years.select("trainer", text("l", "y").alias("career")), "trainer", "left")
-    partners = F.when(F.col("trainer").isNotNull() & (F.size("l") > 0), text(F.slice("l", 1, 5), "jockey"))
+    partners = F.when(F.col("trainer").isNotNull() & (F.size("l") > 0), text("l", "jockey"))
     return t.select("trainer", "runs", "wins", "places", "win_rate", "mean_position", "gains", "horses", "jockeys", "last_day", *since, partners.alias("partners"), "career")
 
 
 TRAINER_TABLE = f"""{R}, x AS (SELECT *, max(day) OVER (PARTITION BY trainer) AS ld FROM r),
-p AS (SELECT trainer, string_agg(jockey || ':' || n, ',' ORDER BY n DESC, jockey) AS partners FROM (SELECT *, row_number() OVER (PARTITION BY trainer ORDER BY n DESC, jockey) AS k FROM (SELECT trainer, jockey, count(*) AS n FROM r GROUP BY 1, 2 HAVING count(*) >= 2)) WHERE k <= 5 GROUP BY 1),
+p AS (SELECT trainer, string_agg(jockey || ':' || n, ',' ORDER BY n DESC, jockey) AS partners FROM (SELECT trainer, jockey, count(*) AS n FROM r GROUP BY 1, 2 HAVING count(*) >= 2) GROUP BY 1),
 y AS (SELECT trainer, string_agg(yr || ':' || n, ',' ORDER BY yr) AS career FROM (SELECT trainer, year(race_date) AS yr, count(*) AS n FROM r GROUP BY ALL) GROUP BY 1),
 t AS (SELECT trainer, count(*) AS runs, sum(won)::BIGINT AS wins, sum(placed)::BIGINT AS places, {real_sql('avg(won)', 'win_rate')}, {real_sql('avg(position)', 'mean_position')}, sum(gains)::BIGINT AS gains, count(DISTINCT horse) AS horses, count(DISTINCT jockey) AS jockeys, max(day)::BIGINT AS last_day, {", ".join(f"count(*) FILTER (day >= ld - {d}) AS runs_{d}" for d in (30, 90, 365))} FROM x GROUP BY trainer)
 SELECT * FROM t LEFT JOIN p USING (trainer) LEFT JOIN y USING (trainer)"""
