@@ -5,7 +5,11 @@ the incidence matrix.
 
 Blocks: with all n-grams in one global order, two sets that are similar
 enough share an n-gram among the first n - ceil(t n) + 1 of each. The order
-puts frequent n-grams last, by a sketch of their counts over all documents.
+puts frequent n-grams last: those that a sketch of their counts over all
+documents shows above its floor, and those whose words are so frequent that
+as many n-grams of them are to be expected by chance. The sketch's floor rises
+with the corpus and hides what is below it; the words' counts don't, as
+a larger corpus has much the same words.
 These deciding columns are dealt into buckets. The sets of a column of few
 rows are paired where sizes and positions leave room for enough overlap; a
 longer column, such as that of a group of copies, chains its sets by size at
@@ -40,6 +44,8 @@ from paceline.llm.spread import discard, group_count, stored
 
 #: Counters of the frequency sketch (4 bytes each), how many make one row, and groups of tasks that add theirs up first.
 COUNTERS, BLOCK, SKETCH_PARTS = 1 << 20, 1 << 14, 512
+#: Counters of the words' sketch, and steps that a word's rarity has to a power of two.
+WORD_COUNTERS, STEPS = 1 << 18, 16
 #: Blocks over which a frequent n-gram's column is split.
 SALTS = 64
 #: N-grams of a set to one count of those that share a hash, and least number of counts.
@@ -75,10 +81,19 @@ class Rule:
         return (overlap > 0) & (100 * overlap >= self.percent * (n + m - overlap))
 
 
-def sets(w: tn.Words, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of each text's distinct n-grams, ordered by both; a shorter text is one n-gram."""
+def _spots(hashes: np.ndarray, counters: int) -> np.ndarray:
+    """Counters of hashes."""
+    return (hashes >> np.uint64(65 - counters.bit_length())).astype(np.int64)
+
+
+def sets(w: tn.Words, rule: Rule, rarity: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text and hash of each text's distinct n-grams, ordered by both, and the sum of their words' ``rarity``; a shorter text is one n-gram and the rarest."""
     at, grams = tn.windows(w, rule.size)
     text, n = w.text[at], w.counts
+    rare = np.zeros(len(grams), np.int64)
+    if rarity is not None:  # whole numbers, so that an n-gram has the same sum wherever it stands
+        total = np.append(0, np.cumsum(rarity[_spots(w.hashes, WORD_COUNTERS)]))
+        rare = total[at + rule.size] - total[at]
     short = np.flatnonzero((n > 0) & (n < rule.size))
     if len(short):
         lone = np.zeros(len(short), np.uint64)
@@ -86,11 +101,11 @@ def sets(w: tn.Words, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
             more = n[short] > k
             word = w.hashes[np.minimum(w.first[:-1][short] + k, len(w.hashes) - 1)]
             lone = np.where(more, tn.mix(lone * np.uint64(31) + word + np.uint64(k)), lone)
-        text, grams = np.concatenate([text, short]), np.concatenate([grams, lone])
+        text, grams, rare = np.concatenate([text, short]), np.concatenate([grams, lone]), np.concatenate([rare, np.full(len(short), 1 << 20)])
     order = np.lexsort((grams, text))
-    text, grams = text[order], grams[order]
+    text, grams, rare = text[order], grams[order], rare[order]
     new = np.append(True, (np.diff(text) != 0) | (grams[1:] != grams[:-1]))[: len(text)]
-    return text[new], grams[new]
+    return text[new], grams[new], rare[new]
 
 
 def _signatures(text: np.ndarray, grams: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,10 +117,10 @@ def _signatures(text: np.ndarray, grams: np.ndarray, n: int) -> tuple[np.ndarray
     return size, tn.mix(total[cuts[1:]] - total[cuts[:-1]]).view(np.int64)
 
 
-def _slices(column, rule: Rule) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _slices(column, rule: Rule) -> Iterator[tuple[int, int, tn.Words]]:
     data, offsets = tn.text_buffers(column)
     for lo, hi in tn.slices(offsets):
-        yield lo, hi, *sets(tn.words(data, offsets[lo : hi + 1], lower=True), rule)
+        yield lo, hi, tn.words(data, offsets[lo : hi + 1], lower=True)
 
 
 def _count_hashes(text: np.ndarray, grams: np.ndarray, size: np.ndarray) -> list[bytes]:
@@ -131,16 +146,19 @@ _SCAN = "id long, n int, sig long, hashes binary, block int, part int, counts bi
 
 def _scan(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, schema = np.zeros(COUNTERS, np.uint32), pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.int64()), ("hashes", pa.binary()), ("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+        sketch, seen, schema = np.zeros(COUNTERS, np.uint32), np.zeros(WORD_COUNTERS, np.uint32), pa.schema([("id", pa.int64()), ("n", pa.int32()), ("sig", pa.int64()), ("hashes", pa.binary()), ("block", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
         for b in batches:
             size, sig, hashes = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), []
-            for lo, hi, text, grams in _slices(b["text"], rule):
+            for lo, hi, w in _slices(b["text"], rule):
+                text, grams, _ = sets(w, rule)
                 size[lo:hi], sig[lo:hi] = _signatures(text, grams, hi - lo)
                 hashes += _count_hashes(text, grams, size[lo:hi])
-                sketch += np.bincount((grams >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                sketch += np.bincount(_spots(grams, COUNTERS), minlength=COUNTERS).astype(np.uint32)
+                seen += np.bincount(_spots(w.hashes, WORD_COUNTERS), minlength=WORD_COUNTERS).astype(np.uint32)
             nulls = [pa.nulls(b.num_rows, f.type) for f in schema][4:]
             yield pa.RecordBatch.from_arrays([b["id"], pa.array(size, pa.int32()), pa.array(sig), pa.array(hashes, pa.binary()), *nulls], schema=schema)
-        used = [k for k in range(COUNTERS // BLOCK) if sketch[k * BLOCK : (k + 1) * BLOCK].any()]
+        sketch = np.append(sketch, seen)
+        used = [k for k in range(-(-len(sketch) // BLOCK)) if sketch[k * BLOCK : (k + 1) * BLOCK].any()]
         part = [TaskContext.get().partitionId() % SKETCH_PARTS] * len(used)
         counts = [sketch[k * BLOCK : (k + 1) * BLOCK].astype(np.uint64).tobytes() for k in used]
         nulls = [pa.nulls(len(used), f.type) for f in schema][:4]
@@ -152,18 +170,41 @@ def _scan(rule: Rule):
 def _add_up(table: pa.Table) -> pa.Table:
     total = np.zeros(BLOCK, np.uint64)
     for x in table["counts"]:
-        total += np.frombuffer(x.as_buffer(), np.uint64)
+        counts = np.frombuffer(x.as_buffer(), np.uint64)
+        total[: len(counts)] += counts
     return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def _frequencies(scan: DataFrame) -> np.ndarray:
-    """The sketch over all documents (8 MB), added up by groups of tasks and then over these."""
+def _frequencies(scan: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The sketches of n-grams (8 MB) and words over all documents, added up by groups of tasks and then over these."""
     partial = scan.where("block is not null").select("block", "part", "counts")
     grouped = partial.groupBy("block", "part").applyInArrow(_add_up, "block int, counts binary")
-    out = np.zeros(COUNTERS, np.uint64)
+    out = np.zeros(-(-(COUNTERS + WORD_COUNTERS) // BLOCK) * BLOCK, np.uint64)
     for r in grouped.groupBy("block").applyInArrow(_add_up, "block int, counts binary").collect():
         out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], np.uint64)
-    return out
+    return out[:COUNTERS], out[COUNTERS : COUNTERS + WORD_COUNTERS]
+
+
+@dataclass(frozen=True)
+class Order:
+    """The global order of n-grams, rare ones first: counts above the sketch's floor, by counter, and the rarity of words, in STEPS to a power of two."""
+
+    above: np.ndarray
+    rarity: np.ndarray
+    base: int
+
+    @classmethod
+    def of(cls, grams: np.ndarray, words: np.ndarray) -> Order:
+        """From both sketches. What most counters hold is the floor: n-grams that fell together by chance."""
+        total = max(1, int(words.sum()))
+        rarity = np.rint(STEPS * (np.log2(total) - np.log2(np.maximum(words, 1).astype(np.float64)))).astype(np.int64)
+        return cls(grams.astype(np.int64) - int(np.median(grams)), rarity, int(STEPS * np.log2(total)))
+
+    def levels(self, grams: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of two of the n-grams' counts, as the sketch has them or as their words let expect, and the counts above the floor."""
+        above = self.above[_spots(grams, COUNTERS)]
+        counted = np.where(above > 0, np.frexp(np.maximum(above, 1).astype(np.float64))[1], np.iinfo(np.int64).min)
+        return np.maximum(counted, (self.base - rare) // STEPS + 1), above
 
 
 _PREFIX = "bucket int, heavy boolean, grams binary, sigs binary, sizes binary, places binary"
@@ -173,16 +214,16 @@ def _prefixes(rule: Rule, shared, buckets: int):
     """Each set's deciding n-grams with its size and their places in it, in blocks of columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        ranks = shared.value
         for b in batches:
-            for lo, hi, text, grams in _slices(b["text"], rule):
+            for lo, hi, w in _slices(b["text"], rule):
+                text, grams, rare = sets(w, rule, ranks.rarity)
                 size, sig = _signatures(text, grams, hi - lo)
                 _, one = np.unique(sig, return_index=True)  # equal sets are one row
                 only = np.zeros(hi - lo, bool)
                 only[one] = True
-                text, grams = text[only[text]], grams[only[text]]
-                seen = counts[(grams >> np.uint64(44)).astype(np.int64)]
-                level = np.frexp(seen.astype(np.float64))[1]
+                text, grams, rare = text[only[text]], grams[only[text]], rare[only[text]]
+                level, seen = ranks.levels(grams, rare)
                 order = np.lexsort((grams, level, text))
                 text, grams, seen = text[order], grams[order], seen[order]
                 first = np.searchsorted(text, np.arange(hi - lo))
@@ -362,7 +403,8 @@ def _incidence_rows(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             want = b["sig"].to_numpy()
-            for lo, hi, text, grams in _slices(b["text"], rule):
+            for lo, hi, w in _slices(b["text"], rule):
+                text, grams, _ = sets(w, rule)
                 _, sig = _signatures(text, grams, hi - lo)
                 cuts = np.searchsorted(text, np.arange(hi - lo + 1))
                 same = np.flatnonzero(sig == want[lo:hi])
@@ -436,7 +478,7 @@ def ngram_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col:
     scan = stored(docs.mapInArrow(_scan(rule), _SCAN), "ngram-scan")
     rows = scan.where("block is null").select("id", "n", "sig", "hashes")
     reps = stored(rows.where("n > 0 and id is not null").groupBy("sig").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("hashes").alias("hashes")), "ngram-sets")
-    shared = spark.sparkContext.broadcast(_frequencies(scan))
+    shared = spark.sparkContext.broadcast(Order.of(*_frequencies(scan)))
     columns = docs.where("id is not null").mapInArrow(_prefixes(rule, shared, group_count(docs)), _PREFIX)
     edges = stored(columns.groupBy("bucket").applyInArrow(_tied(rule), _EDGES), "ngram-edges")
     side = lambda k: reps.select(F.col("sig").alias(k), F.col("n").alias(f"n_{k}"), F.col("hashes").alias(f"hashes_{k}"))
